@@ -1,0 +1,62 @@
+from __future__ import annotations
+
+import uuid
+
+import pytest
+
+from millrace import cli
+from millrace.connection import target
+from millrace.sinks import database as db
+from millrace.sources.database import read_database
+from millrace.sources.files import read_table
+
+
+@pytest.fixture
+def store(spark, monkeypatch):
+    """The command line against an embedded database."""
+    table = f"c_{uuid.uuid4().hex[:12]}"
+    database = target(spark, table)
+    monkeypatch.setattr(cli, "postgres", lambda *address: database)
+    return database, table
+
+
+def test_to_files(spark, put_csv, tmp_path):
+    folder = put_csv("1.csv", {"event_id": "a"}, {"event_id": "a"}, {"action": "click"})
+    out = str(tmp_path / "out")
+    command = ["to-files", "--input_dir", folder, "--parquet_out", out, "--once", "--console"]
+    cli.main([*command, "--checkpoint_dir", str(tmp_path / "progress")], spark)
+    stored = read_table(spark, out)
+    assert "processed_at" in stored.columns and stored.count() == 2
+
+
+@pytest.mark.parametrize("on_duplicate", ["skip", "fail"])
+def test_to_database_verify_reset(spark, put_csv, tmp_path, store, capsys, on_duplicate):
+    database, table = store
+    folder = put_csv("1.csv", {"event_id": "a"}, {"event_id": "a"}, {"event_id": "b"})
+    progress = str(tmp_path / "progress")
+    command = ["to-database", "--input_dir", folder, "--pg_table", table, "--once"]
+    command += ["--on_duplicate", on_duplicate, "--checkpoint_dir"]
+    cli.main([*command, progress], spark)
+    cli.main([*command, progress], spark)
+    assert read_database(spark, database, table).count() == 2
+
+    cli.main(["verify", "--pg_table", table], spark)
+    assert "|  view|  2|" in capsys.readouterr().out
+
+    cli.main(["reset", "--pg_table", table, "--checkpoint_dir", progress], spark)
+    assert read_database(spark, database, table).count() == 0
+    fresh = capsys.readouterr().out.split()[-1]
+    cli.main([*command, fresh], spark)
+    assert read_database(spark, database, table).count() == 2
+
+
+def test_limits_exclude_each_other(capsys):
+    with pytest.raises(SystemExit):
+        cli.main(["to-files", "--checkpoint_dir", "x", "--max_files", "1", "--max_bytes", "1g"])
+
+
+def test_table_is_made_before_the_stream(spark, store):
+    database, table = store
+    assert not database.has_table(spark, table)
+    db.create_event_table(spark, database, table)
+    assert database.has_table(spark, table)
