@@ -12,6 +12,7 @@ from millrace.connection import Database, postgres
 from millrace.operators import report
 from millrace.session import session
 from millrace.sinks import database as db
+from millrace.sinks.files import BatchTable, reject_schema
 from millrace.sources.database import read_database
 from millrace.streaming import batches, jobs
 from millrace.streaming.metrics import MetricsLog
@@ -44,6 +45,8 @@ def _parser() -> argparse.ArgumentParser:
     to_database.add_argument("--on_duplicate", choices=["skip", "fail"], default="skip")
     to_database.add_argument("--metrics_dir", help="keep one row of metrics per batch here")
 
+    to_database.add_argument("--rejects_dir", help="keep rejected rows and the reason here")
+
     to_files = commands.add_parser("to-files", parents=[stream])
     to_files.add_argument("--parquet_out", default="data/processed/events_parquet")
     to_files.add_argument("--unique", action="store_true", help="store each key once")
@@ -79,7 +82,12 @@ def to_database(spark: SparkSession, args: argparse.Namespace, database: Databas
     db.create_event_table(spark, database, args.pg_table)
     writer = batches.merge_into if args.on_duplicate == "skip" else batches.append_to
     write = writer(database, args.pg_table)
-    query = jobs.start_batches(spark, _job(args), write, MetricsLog(args.metrics_dir))
+    job, metrics = _job(args), MetricsLog(args.metrics_dir)
+    if args.rejects_dir:
+        rejected = BatchTable(spark, args.rejects_dir, reject_schema())
+        query = jobs.start_split(spark, job, write, rejected, metrics)
+    else:
+        query = jobs.start_batches(spark, job, write, metrics)
     query.awaitTermination()
 
 

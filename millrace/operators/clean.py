@@ -12,10 +12,12 @@ from millrace.schema import INGEST_TIME, RAW_COLUMNS, event_columns
 def clean(raw: DataFrame, ingest_time: str = INGEST_TIME, strict_time: bool = False) -> DataFrame:
     """Valid rows in target types and target column order, stamped with the ingest time.
 
-    The filter stands on the raw columns, so the scan can take the parts it understands.
+    The filter stands on the raw columns, so the scan can take the parts it understands. Rows
+    that were stamped before keep their ingest time.
     """
     typed = safe_columns(strict_time)
-    typed[ingest_time] = F.current_timestamp()
+    stamped = ingest_time in raw.columns
+    typed[ingest_time] = F.col(ingest_time) if stamped else F.current_timestamp()
     return raw.where(is_valid(strict_time)).select(
         *(typed[name].alias(name) for name in event_columns(ingest_time))
     )

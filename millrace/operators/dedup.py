@@ -15,11 +15,11 @@ def one_per_key(rows: DataFrame, key: str = KEY) -> DataFrame:
     combined before the shuffle: each task sends at most one row per key, so a key that holds
     a third of all rows costs no more than any other.
     """
-    rest = [name for name in rows.columns if name != key]
-    kept = rows.groupBy(key).agg(F.min(F.struct(*rest)).alias("kept"))
-    return kept.select(
-        *(F.col(key) if name == key else F.col(f"kept.{name}").alias(name) for name in rows.columns)
-    )
+    columns = rows.columns
+    rest = ", ".join(f"`{name}`" for name in columns if name != key)
+    smallest = rows.groupBy(key).agg(F.expr(f"min(struct({rest}))").alias("kept"))
+    unique = smallest.select(key, "kept.*")
+    return unique if columns[0] == key else unique.select(*columns)
 
 
 def not_stored(rows: DataFrame, stored: DataFrame, key: str = KEY) -> DataFrame:

@@ -146,6 +146,9 @@ _BODIES = {
     "stream_two_sinks": """
   SELECT 'files' AS sink, CAST(sum(n) AS BIGINT) AS n FROM waves
   UNION ALL SELECT 'database', count(*) FROM uniq""",
+    "stream_quarantine": """
+  SELECT reason, count(*) AS n FROM broken WHERE reason IS NOT NULL GROUP BY reason
+  UNION ALL SELECT 'stored', count(*) FROM uniq""",
     "replay_after_reset": UNIQUE_ROWS,
     "batch_metrics": """
   SELECT CAST(wave AS BIGINT) AS batch_id, n AS rows, TRUE AS behind FROM waves""",

@@ -329,6 +329,18 @@ def stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionAll(second)
 
 
+@query
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pass: valid rows to a table, rejected rows to another with the reason."""
+    rejected = files.BatchTable(spark, scratch(spark, "rejected"), files.reject_schema())
+    table = files.BatchTable(spark, scratch(spark, "batches"))
+    write = batches.to_table(table)
+    _deliver(spark, sf_dir, lambda job: jobs.start_split(spark, job, write, rejected))
+    reasons = rejected.read(spark).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    stored = report.row_count(table.read(spark)).select(F.lit("stored").alias("reason"), "n")
+    return reasons.unionAll(stored)
+
+
 @query
 def replay_after_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append once, empty the table, and read the same folder again from a new checkpoint."""

@@ -4,8 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.schema import INGEST_TIME, KEY, RAW_COLUMNS, event_columns, event_schema
+from millrace.schema import (
+    INGEST_TIME,
+    KEY,
+    RAW_COLUMNS,
+    RAW_SCHEMA,
+    event_columns,
+    event_schema,
+)
 
 DAY = "event_date"
 
@@ -54,15 +62,23 @@ def append_to_table(events: DataFrame, name: str) -> None:
     events.select(*event_columns()).write.insertInto(name)
 
 
+def reject_schema(ingest_time: str = INGEST_TIME) -> T.StructType:
+    """Schema of rejected rows: as they arrived, when they did, and the rule they broke."""
+    return T.StructType([*RAW_SCHEMA.fields]).add(ingest_time, "timestamp").add("reason", "string")
+
+
 class BatchTable:
     """A Parquet table with one folder per micro-batch.
 
     Writing a batch replaces its folder, so a replayed batch leaves the same rows once.
     """
 
-    def __init__(self, spark: SparkSession, path: str, ingest_time: str = INGEST_TIME) -> None:
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType | None = None
+    ) -> None:
         self.path = path
-        self.schema = event_schema(ingest_time).add("batch_id", "long")
+        fields = (schema or event_schema()).fields
+        self.schema = T.StructType([*fields]).add("batch_id", "long")
         # Makes the folder and no file, so that the first batch finds a table to compare with.
         empty = spark.createDataFrame([], self.schema)
         empty.write.mode("append").partitionBy("batch_id").parquet(path)
@@ -75,6 +91,6 @@ class BatchTable:
         """Keys stored by the other batches; the batch's own folder is not read."""
         return self.read(spark).where(F.col("batch_id") != batch_id).select(KEY)
 
-    def replace(self, events: DataFrame, batch_id: int) -> None:
+    def replace(self, rows: DataFrame, batch_id: int) -> None:
         """Write a batch in place of what an earlier attempt left."""
-        events.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.connection import Database
+from millrace.operators.clean import clean, rejects
 from millrace.operators.dedup import not_stored, one_per_key
+from millrace.schema import INGEST_TIME
 from millrace.sinks import database as db
 from millrace.sinks.files import BatchTable
 from millrace.streaming.metrics import BatchMetric, MetricsLog
@@ -33,6 +35,30 @@ def batch_callback(write: Writer, metrics: MetricsLog) -> Callable[[DataFrame, i
     return handle
 
 
+def split_callback(
+    write: Writer,
+    rejected: BatchTable,
+    metrics: MetricsLog,
+    ingest_time: str = INGEST_TIME,
+    strict_time: bool = False,
+) -> Callable[[DataFrame, int], None]:
+    """A callback for raw batches: valid rows go on to `write`, the others to `rejected`.
+
+    The batch is kept while both halves are written, so its files are parsed once.
+    """
+    handle = batch_callback(write, metrics)
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            rejected.replace(rejects(kept, strict_time), batch_id)
+            handle(clean(kept, ingest_time, strict_time), batch_id)
+        finally:
+            kept.unpersist()
+
+    return split
+
+
 def to_table(table: BatchTable, across_batches: bool = True) -> Writer:
     """Write a batch to its folder of a Parquet table; rows are counted while they are written.
 
@@ -59,19 +85,10 @@ def to_table(table: BatchTable, across_batches: bool = True) -> Writer:
 
 
 def append_to(database: Database, table: str) -> Writer:
-    """Insert into a database table; a key of an earlier batch fails the batch.
-
-    The database writer reports no row count, so the batch is kept for counting and writing.
-    """
+    """Insert into a database table; a key of an earlier batch fails the batch as a whole."""
 
     def write(rows: DataFrame, batch_id: int) -> int:
-        kept = rows.persist()
-        try:
-            count = kept.count()
-            db.append(kept, database, table)
-            return count
-        finally:
-            kept.unpersist()
+        return db.merge(rows, database, table, skip_known=False)
 
     return write
 

@@ -8,13 +8,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.operators.clean import clean
 from millrace.schema import INGEST_TIME, KEY
 from millrace.session import settings
+from millrace.sinks.files import BatchTable
 from millrace.sources.files import watch_events
-from millrace.streaming.batches import Writer, batch_callback
+from millrace.streaming.batches import Writer, batch_callback, split_callback
 from millrace.streaming.metrics import MetricsLog
 
 STATE_STORE = {
@@ -39,12 +41,15 @@ class StreamJob:
     strict_time: bool = False
     strict_header: bool = False
 
-    def events(self, spark: SparkSession) -> DataFrame:
-        """The cleaned stream."""
-        raw = watch_events(
+    def raw(self, spark: SparkSession) -> DataFrame:
+        """The stream as it arrives."""
+        return watch_events(
             spark, self.input_dir, self.max_files, self.max_bytes, self.strict_header
         )
-        return clean(raw, self.ingest_time, self.strict_time)
+
+    def events(self, spark: SparkSession) -> DataFrame:
+        """The cleaned stream."""
+        return clean(self.raw(spark), self.ingest_time, self.strict_time)
 
     def trigger(self, writer: DataStreamWriter) -> DataStreamWriter:
         if self.trigger_seconds is None:
@@ -106,6 +111,24 @@ def start_batches(
     return job.started(job.events(spark)).foreachBatch(handle).start()
 
 
+def start_split(
+    spark: SparkSession,
+    job: StreamJob,
+    write: Writer,
+    rejected: BatchTable,
+    metrics: MetricsLog | None = None,
+) -> StreamingQuery:
+    """Like `start_batches`, and rejected rows are kept with the reason.
+
+    Rows are stamped in the stream, so a replayed batch has the ingest time it had before.
+    """
+    raw = job.raw(spark).withColumn(job.ingest_time, F.current_timestamp())
+    handle = split_callback(
+        write, rejected, metrics or MetricsLog(), job.ingest_time, job.strict_time
+    )
+    return job.started(raw).foreachBatch(handle).start()
+
+
 def wait(spark: SparkSession) -> None:
     """Block until any query of the session ends; raise if it failed."""
     spark.streams.awaitAnyTermination()

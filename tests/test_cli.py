@@ -9,6 +9,7 @@ from millrace.connection import target
 from millrace.sinks import database as db
 from millrace.sources.database import read_database
 from millrace.sources.files import read_table
+from millrace.streaming.metrics import read_metrics
 
 
 @pytest.fixture
@@ -50,6 +51,19 @@ def test_to_database_verify_reset(spark, put_csv, tmp_path, store, capsys, on_du
     assert read_database(spark, database, table).count() == 2
 
 
+def test_to_database_keeps_rejects_and_metrics(spark, put_csv, tmp_path, store):
+    database, table = store
+    folder = put_csv("1.csv", {"event_id": "a"}, {"event_id": None})
+    places = {"checkpoint": "progress", "rejects": "rejects", "metrics": "metrics"}
+    options = []
+    for name, place in places.items():
+        options += [f"--{name}_dir", str(tmp_path / place)]
+    cli.main(["to-database", "--input_dir", folder, "--pg_table", table, "--once", *options], spark)
+    assert read_database(spark, database, table).count() == 1
+    assert read_table(spark, str(tmp_path / "rejects")).first()["reason"] == "missing_event_id"
+    assert read_metrics(spark, str(tmp_path / "metrics")).first()["rows"] == 1
+
+
 def test_limits_exclude_each_other(capsys):
     with pytest.raises(SystemExit):
         cli.main(["to-files", "--checkpoint_dir", "x", "--max_files", "1", "--max_bytes", "1g"])

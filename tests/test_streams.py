@@ -11,7 +11,7 @@ from millrace.operators.clean import clean
 from millrace.operators.report import falling_behind
 from millrace.schema import RAW_COLUMNS
 from millrace.sinks import database as db
-from millrace.sinks.files import BatchTable
+from millrace.sinks.files import BatchTable, reject_schema
 from millrace.sources.database import read_database
 from millrace.sources.files import read_events, read_table
 from millrace.streaming import batches, jobs
@@ -45,6 +45,20 @@ def drain(spark, job, write, metrics=None):
     return query
 
 
+def failing_once(write, at: int):
+    """Fails a batch after its rows are written and before it is committed."""
+    failed = []
+
+    def wrapped(rows, batch_id):
+        count = write(rows, batch_id)
+        if batch_id == at and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost")
+        return count
+
+    return wrapped
+
+
 def test_stream_equals_batch(spark, put_csv, job, tmp_path):
     put_csv("1.csv", {"event_id": "a"}, {"event_id": "a"}, {"action": "click"})
     folder = put_csv("2.csv", {"event_id": "b", "price": "1.005"}, {"event_time": "?"})
@@ -92,6 +106,32 @@ def test_batch_without_valid_rows_writes_nothing(spark, put_csv, job, tmp_path,
     assert not (tmp_path / "table" / "batch_id=0").exists()
 
 
+def test_rejected_rows_are_kept_with_their_reason(spark, put_csv, job, tmp_path):
+    put_csv("1.csv", {"event_id": "a"}, {"action": "click", "price": "?"}, {"user_id": "x"})
+    folder = put_csv("2.csv", {"event_time": "12"}, {"event_id": "b"}, {"event_id": "b"})
+    rejected = BatchTable(spark, str(tmp_path / "rejected"), reject_schema())
+    table = BatchTable(spark, str(tmp_path / "table"))
+    write = failing_once(batches.to_table(table), at=1)
+    stream = job(folder, max_files=1)
+    with pytest.raises(StreamingQueryException, match="lost"):
+        jobs.start_split(spark, stream, write, rejected).awaitTermination()
+    jobs.start_split(spark, stream, write, rejected).awaitTermination()
+    assert ids(table.read(spark)) == ["a", "b"]
+    found = {row.reason: row for row in rejected.read(spark).collect()}
+    assert set(found) == {"bad_action", "bad_user_id", "bad_event_time"}
+    assert found["bad_action"].price == "?" and found["bad_action"].stored_at is not None
+    per_batch = table.read(spark).select("batch_id", "stored_at")
+    stamps = rejected.read(spark).select("batch_id", "stored_at").unionAll(per_batch)
+    assert stamps.distinct().count() == 2
+
+
+def test_bytes_bound_a_batch(spark, put_csv, job, tmp_path):
+    for n in range(4):
+        folder = put_csv(f"{n}.csv", {"event_id": f"e{n}"})
+    query = drain(spark, job(folder, max_bytes="1"), lambda rows, batch_id: rows.count())
+    assert len([batch for batch in query.recentProgress if batch.numInputRows]) == 4
+
+
 def test_metric_line(caplog, spark):
     with caplog.at_level("INFO", logger="millrace"):
         MetricsLog().add(spark, BatchMetric(3, 124, 0.2))
@@ -99,20 +139,6 @@ def test_metric_line(caplog, spark):
     assert BatchMetric(0, 5, 0.0).rows_per_s == 5.0
 
 
-def failing_once(write, at: int):
-    """Fails a batch after its rows are written and before it is committed."""
-    failed = []
-
-    def wrapped(rows, batch_id):
-        count = write(rows, batch_id)
-        if batch_id == at and not failed:
-            failed.append(batch_id)
-            raise RuntimeError("lost")
-        return count
-
-    return wrapped
-
-
 @pytest.mark.parametrize("kind", ["files", "database"])
 def test_replayed_batch_leaves_its_rows_once(spark, put_csv, job, store, tmp_path, kind):
     put_csv("1.csv", {"event_id": "a"}, {"event_id": "b"})
