@@ -23,7 +23,7 @@ def _parser() -> argparse.ArgumentParser:
     commands = parser.add_subparsers(dest="command", required=True)
 
     stream = argparse.ArgumentParser(add_help=False)
-    stream.add_argument("--input_dir", default="data/incoming", help="folder to watch")
+    stream.add_argument("--input_dir", required=True, help="folder to watch")
     stream.add_argument("--checkpoint_dir", required=True, help="progress, one folder per stream")
     stream.add_argument("--trigger_seconds", type=int, default=5)
     stream.add_argument("--once", action="store_true", help="take what is waiting, then stop")
@@ -34,12 +34,12 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--strict_header", action="store_true", help="refuse reordered columns")
 
     relational = argparse.ArgumentParser(add_help=False)
-    # Address of the usual target. The password comes from PGPASSWORD.
+    # The password comes from PGPASSWORD.
     relational.add_argument("--pg_host", default="localhost")
     relational.add_argument("--pg_port", default="5432")
-    relational.add_argument("--pg_db", default="realtime_ecommerce")
-    relational.add_argument("--pg_user", default="realtime_user")
-    relational.add_argument("--pg_table", default="ecommerce_events")
+    relational.add_argument("--pg_db", default="events")
+    relational.add_argument("--pg_user")
+    relational.add_argument("--pg_table", default="events")
 
     to_database = commands.add_parser("to-database", parents=[stream, relational])
     to_database.add_argument("--on_duplicate", choices=["skip", "fail"], default="skip")
@@ -48,9 +48,10 @@ def _parser() -> argparse.ArgumentParser:
     to_database.add_argument("--rejects_dir", help="keep rejected rows and the reason here")
 
     to_files = commands.add_parser("to-files", parents=[stream])
-    to_files.add_argument("--parquet_out", default="data/processed/events_parquet")
+    to_files.add_argument("--parquet_out", required=True)
     to_files.add_argument("--unique", action="store_true", help="store each key once")
     to_files.add_argument("--thin", action="store_true", help="expect keys with many copies")
+    to_files.add_argument("--state_partitions", type=int, help="fixed by the first start")
     to_files.add_argument("--console", action="store_true", help="show the rows as well")
 
     reset = commands.add_parser("reset", parents=[relational])
@@ -94,7 +95,13 @@ def to_database(spark: SparkSession, args: argparse.Namespace, database: Databas
 def to_files(spark: SparkSession, args: argparse.Namespace) -> None:
     """Stream events into a Parquet folder, and show them if asked to."""
     job = _job(args, ingest_time="processed_at")
-    started = [jobs.start_files(spark, job, args.parquet_out, args.unique, args.thin)]
+    if args.unique:
+        query = jobs.start_unique_files(
+            spark, job, args.parquet_out, args.thin, args.state_partitions
+        )
+    else:
+        query = jobs.start_files(spark, job, args.parquet_out)
+    started = [query]
     if args.console:
         started.append(jobs.start_console(spark, job))
     if args.once:

@@ -16,7 +16,7 @@ from millrace.operators.audit import audit
 from millrace.operators.clean import clean, default_ingest_time, rejects, strict_events
 from millrace.operators.dedup import one_per_key
 from millrace.schema import INGEST_TIME, RAW_COLUMNS
-from millrace.session import scratch
+from millrace.session import partitions_for, scratch
 from millrace.sinks import database as db
 from millrace.sinks import files
 from millrace.sources.database import key_ranges, read_database
@@ -280,20 +280,23 @@ def _deliver(
     return job
 
 
-def _to_files(spark: SparkSession, sf_dir: str, **options: bool) -> DataFrame:
-    path = scratch(spark, "events")
-    _deliver(spark, sf_dir, lambda job: jobs.start_files(spark, job, path, **options))
-    return read_table(spark, path)
-
-
 @query
 def stream_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(_to_files(spark, sf_dir))
+    path = scratch(spark, "events")
+    _deliver(spark, sf_dir, lambda job: jobs.start_files(spark, job, path))
+    return comparable(read_table(spark, path))
 
 
 @query
 def stream_unique_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(_to_files(spark, sf_dir, unique=True, thin=True))
+    path = scratch(spark, "events")
+
+    def run(job: jobs.StreamJob):
+        partitions = partitions_for(spark, job.input_dir)
+        return jobs.start_unique_files(spark, job, path, True, partitions)
+
+    _deliver(spark, sf_dir, run)
+    return comparable(read_table(spark, path))
 
 
 @query

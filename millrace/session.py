@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the jobs rely on. Everything else stays as the cluster sets it.
 SETTINGS = {
@@ -54,3 +54,27 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.unset(name)
             else:
                 spark.conf.set(name, value)
+
+
+@contextmanager
+def kept(rows: DataFrame) -> Iterator[DataFrame]:
+    """Rows that several steps need, computed once and dropped after the block.
+
+    The setting lets Spark merge small shuffle partitions of the kept rows as it does elsewhere;
+    otherwise a small batch would be written as one file per shuffle partition.
+    """
+    adaptive = {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true"}
+    with settings(rows.sparkSession, adaptive):
+        cached = rows.persist()
+    try:
+        yield cached
+    finally:
+        cached.unpersist()
+
+
+def partitions_for(spark: SparkSession, path: str, bytes_each: int = 256 * 2**20) -> int:
+    """How many partitions suit the files under a folder: by size, and at least one per core."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = system.getContentSummary(folder).getLength()
+    return max(spark.sparkContext.defaultParallelism, -(-size // bytes_each))

@@ -12,6 +12,7 @@ from millrace.connection import Database
 from millrace.operators.clean import clean, rejects
 from millrace.operators.dedup import not_stored, one_per_key
 from millrace.schema import INGEST_TIME
+from millrace.session import kept
 from millrace.sinks import database as db
 from millrace.sinks.files import BatchTable
 from millrace.streaming.metrics import BatchMetric, MetricsLog
@@ -49,12 +50,9 @@ def split_callback(
     handle = batch_callback(write, metrics)
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
-        try:
-            rejected.replace(rejects(kept, strict_time), batch_id)
-            handle(clean(kept, ingest_time, strict_time), batch_id)
-        finally:
-            kept.unpersist()
+        with kept(batch) as raw:
+            rejected.replace(rejects(raw, strict_time), batch_id)
+            handle(clean(raw, ingest_time, strict_time), batch_id)
 
     return split
 
@@ -70,11 +68,8 @@ def to_table(table: BatchTable, across_batches: bool = True) -> Writer:
     def write(rows: DataFrame, batch_id: int) -> int:
         if not across_batches:
             return put(rows, batch_id)
-        kept = rows.persist()  # both the comparison and the write need it
-        try:
-            return put(not_stored(kept, table.keys_outside(kept.sparkSession, batch_id)), batch_id)
-        finally:
-            kept.unpersist()
+        with kept(rows) as own:  # both the comparison and the write need it
+            return put(not_stored(own, table.keys_outside(own.sparkSession, batch_id)), batch_id)
 
     def put(rows: DataFrame, batch_id: int) -> int:
         counted = Observation()
@@ -109,10 +104,7 @@ def to_all(*writers: Writer) -> Writer:
     """
 
     def write(rows: DataFrame, batch_id: int) -> int:
-        kept = rows.persist()
-        try:
-            return [writer(kept, batch_id) for writer in writers][0]
-        finally:
-            kept.unpersist()
+        with kept(rows) as shared:
+            return [writer(shared, batch_id) for writer in writers][0]
 
     return write

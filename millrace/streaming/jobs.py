@@ -85,16 +85,28 @@ def first_seen(events: DataFrame, thin: bool = False, late_by: str | None = None
     return events.dropDuplicates([KEY])
 
 
-def start_files(
-    spark: SparkSession, job: StreamJob, path: str, unique: bool = False, thin: bool = False
+def start_files(spark: SparkSession, job: StreamJob, path: str) -> StreamingQuery:
+    """Events to Parquet, each exactly once per delivery."""
+    return job.started(job.events(spark)).format("parquet").start(path)
+
+
+def start_unique_files(
+    spark: SparkSession,
+    job: StreamJob,
+    path: str,
+    thin: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Events to Parquet, each exactly once per delivery; with `unique`, once per key."""
-    events = job.events(spark)
-    if unique:
-        events = first_seen(events, thin)
-    # State partitions are fixed when a checkpoint is new: size spark.sql.shuffle.partitions.
-    with settings(spark, STATE_STORE if unique else {}):
-        return job.started(events).format("parquet").start(path)
+    """Events to Parquet, each key exactly once.
+
+    The number of state partitions is fixed by the first start of a checkpoint: choose it for
+    the keys to come. Without it the session's shuffle partitions count.
+    """
+    values = dict(STATE_STORE)
+    if state_partitions:
+        values["spark.sql.shuffle.partitions"] = str(state_partitions)
+    with settings(spark, values):
+        return job.started(first_seen(job.events(spark), thin)).format("parquet").start(path)
 
 
 def start_console(spark: SparkSession, job: StreamJob, rows: int = 20) -> StreamingQuery:

@@ -10,6 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 log = logging.getLogger("millrace")
 
+# Log lines of a batch.
+WRITTEN = "batch %d: %d rows | %.2fs | %.1f rows/s"
+SKIPPED = "batch %d: 0 rows (skipped)"
+
 METRICS_SCHEMA = "batch_id long, rows long, seconds double, rows_per_s double"
 
 
@@ -39,19 +43,13 @@ class MetricsLog:
         self.path = path
 
     def add(self, spark: SparkSession, metric: BatchMetric) -> None:
-        log.info(
-            "batch %d: %d rows | %.2fs | %.1f rows/s",
-            metric.batch_id,
-            metric.rows,
-            metric.seconds,
-            metric.rows_per_s,
-        )
+        log.info(WRITTEN, metric.batch_id, metric.rows, metric.seconds, metric.rows_per_s)
         if self.path:
             row = spark.createDataFrame([metric.record()], METRICS_SCHEMA)
             row.write.mode("overwrite").json(f"{self.path}/batch_{metric.batch_id}")
 
     def skipped(self, batch_id: int) -> None:
-        log.info("batch %d: 0 rows (skipped)", batch_id)
+        log.info(SKIPPED, batch_id)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:

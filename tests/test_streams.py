@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -97,6 +98,13 @@ def test_batches_are_bounded(spark, put_csv, job, tmp_path):
     assert seen.where("seconds > 0 AND rows > 0").count() == 3
 
 
+def test_small_batch_is_one_file(spark, put_csv, job, tmp_path):
+    folder = put_csv("1.csv", *({"event_id": f"e{n}"} for n in range(50)))
+    table = BatchTable(spark, str(tmp_path / "table"))
+    drain(spark, job(folder), batches.to_table(table))
+    assert len(list((tmp_path / "table" / "batch_id=0").glob("*.parquet"))) == 1
+
+
 def test_batch_without_valid_rows_writes_nothing(spark, put_csv, job, tmp_path, caplog):
     folder = put_csv("1.csv", {"action": "click"})
     table = BatchTable(spark, str(tmp_path / "table"))
@@ -178,10 +186,13 @@ def test_clean_rerun(spark, put_csv, job, store):
 def test_state_remembers_keys_over_restarts(spark, put_csv, job, tmp_path):
     out = str(tmp_path / "out")
     folder = put_csv("1.csv", *[{"event_id": "hot"}] * 300, {"event_id": "a"})
-    jobs.start_files(spark, job(folder), out, unique=True, thin=True).awaitTermination()
+    start = partial(jobs.start_unique_files, spark, thin=True, state_partitions=2)
+    start(job(folder), out).awaitTermination()
     put_csv("2.csv", *[{"event_id": "hot"}] * 300, {"event_id": "b"})
-    jobs.start_files(spark, job(folder), out, unique=True, thin=True).awaitTermination()
+    start(job(folder), out).awaitTermination()
     assert ids(read_table(spark, out)) == ["a", "b", "hot"]
+    assert len(list((tmp_path / "progress-first" / "state" / "0").glob("[0-9]*"))) == 2
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 
 
 def test_thinning_drops_copies_before_the_shuffle(spark, raw):
