@@ -12,6 +12,16 @@ MIDDLE = "/root/testdata/sf0.01"
 MEASURED = {"raw_feed_count": 10_986, "clean_count": 4_197, "distinct_event_ids": 3_810}
 
 
+SAME_TYPE = {
+    "VARCHAR": "string",
+    "INTEGER": "int",
+    "BIGINT": "bigint",
+    "DOUBLE": "double",
+    "TIMESTAMP": "timestamp_ntz",
+    "BOOLEAN": "boolean",
+}
+
+
 @pytest.fixture(scope="module")
 def oracle():
     return open_oracle(SF)
@@ -24,7 +34,10 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(registered.queries()))
 def test_query_equals_sql(spark, oracle, name):
     found = registered.queries()[name](spark, SF)
-    expected = oracle.execute(registered.oracle_sql()[name])
+    sql = registered.oracle_sql()[name]
+    types = {row[0]: SAME_TYPE[row[1]] for row in oracle.execute(f"DESCRIBE {sql}").fetchall()}
+    assert dict(found.dtypes) == types
+    expected = oracle.execute(sql)
     columns = [column[0] for column in expected.description]
     assert not differences(found.collect(), expected.fetchall(), found.columns, columns)
 
