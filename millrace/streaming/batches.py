@@ -69,6 +69,7 @@ def to_table(table: BatchTable, across_batches: bool = True) -> Writer:
         if not across_batches:
             return put(rows, batch_id)
         with kept(rows) as own:  # both the comparison and the write need it
+            own.count()  # now Spark knows its size, and sends few keys instead of shuffling all
             return put(not_stored(own, table.keys_outside(own.sparkSession, batch_id)), batch_id)
 
     def put(rows: DataFrame, batch_id: int) -> int:

@@ -12,6 +12,8 @@ from millrace.operators import report
 from millrace.operators.audit import audit, require_clean
 from millrace.operators.clean import clean
 from millrace.operators.dedup import not_stored, one_per_key
+from millrace.session import kept
+from millrace.session import settings as changed
 
 # Recorded batches (rows, seconds, rows per second) of a published run with a
 # trigger of ten seconds.
@@ -80,6 +82,21 @@ def test_not_stored(spark):
     assert not_stored(rows, stored.where("false")).count() == 3
 
 
+def test_stored_keys_are_not_shuffled_for_a_small_batch(spark, raw, tmp_path):
+    path = str(tmp_path / "stored")
+    spark.range(400_000).select(F.concat(F.lit("key "), "id").alias("event_id")).write.parquet(path)
+    batch = one_per_key(clean(raw({"event_id": "key 7"}, {"event_id": "new"})))
+    with changed(spark, {"spark.sql.autoBroadcastJoinThreshold": "100KB"}), kept(batch) as rows:
+        assert rows.count() == 2
+        new = not_stored(rows, spark.read.parquet(path))
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert [row.event_id for row in new.collect()] == ["new"]
+    above_scan = plan[: plan.index("FileScan")].splitlines()
+    below_semi = above_scan[[("LeftSemi" in line) for line in above_scan].index(True) :]
+    assert "BroadcastHashJoin" in below_semi[0]
+    assert not any("Exchange hashpartitioning" in line for line in below_semi)
+
+
 def violations(frame):
     return {row.constraint_name: row.violations for row in frame.collect()}
 
