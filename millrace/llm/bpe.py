@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.textops import small_batches
+from millrace.llm.textops import prepare
 
 # Words that a worker remembers; with their ids and tokens about 100 MB.
 REMEMBERED = 250_000
@@ -311,7 +311,7 @@ def _encode(tokenizer_path: str):
 
 def encode_documents(documents: DataFrame, tokenizer_path: str) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    small_batches(documents.sparkSession)
+    prepare(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long"), "text")
     return texts.mapInArrow(
         _encode(tokenizer_path),

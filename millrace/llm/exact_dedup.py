@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.textops import prepare
 from millrace.session import scratch
 
 REMAINDER_BITS = 32
@@ -152,6 +153,7 @@ def repeated_fingerprints(fingerprints: DataFrame, parts: int) -> DataFrame:
 def exact_duplicates(documents: DataFrame) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     spark = documents.sparkSession
+    prepare(spark)
     text = F.coalesce(F.col("text"), F.lit(""))
     texts = documents.select(
         "doc_id",

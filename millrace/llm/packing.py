@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.llm.textops import small_batches
+from millrace.llm.textops import prepare
 from millrace.session import scratch
 
 CAPACITY = 2048
@@ -236,7 +236,7 @@ def _place(rules: dict[int, dict[str, np.ndarray]]):
 def pack(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = documents.sparkSession
-    small_batches(spark)
+    prepare(spark)
     path = scratch(spark, "pieces")
     texts = documents.select(F.col("doc_id").cast("long"), "text")
     texts.mapInArrow(_tokenise(tokenizer_path, capacity), PIECES).write.parquet(path)

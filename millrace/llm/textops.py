@@ -7,7 +7,10 @@ executor gives the same rows.
 from __future__ import annotations
 
 import functools
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +34,38 @@ BLOCK_BYTES = 1 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the memory that one Arrow batch of whole texts takes in a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def prepare(spark: SparkSession) -> None:
+    """Make ready for Python code in tasks.
+
+    Bounds the memory that an Arrow batch of whole texts takes, and sends this package to the
+    executors, which need not have it installed.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    context = spark.sparkContext
+    if context.applicationId not in _SENT:
+        root = Path(__file__).resolve().parent.parent
+        target = Path(tempfile.mkdtemp(prefix="millrace-code-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(target, "w") as archive:
+            for file in sorted(root.rglob("*.py")):
+                archive.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(target))
+        _SENT.add(context.applicationId)
+
+
+_SENT: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's file, which is never copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of an id as text, modulo a number; 0 where the id is null."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % modulus, F.lit(0))
