@@ -2,8 +2,8 @@
 
 A document's histograms of character classes and of common words are compared with references of
 each language by Jensen-Shannon distance, and the nearest language counts. The references are the
-histograms of all documents of a language, added up in one pass over the table. Short documents
-are guarded: their histograms say little, so they are judged by the base rules alone.
+histograms of all documents of a language that look like prose, added up in one pass over the
+table. Short documents are guarded: their histograms say little, so the limits are wider there.
 
 Defined results
 * null text has no words and fails the base rules, and so does any text of fewer than 20 words;
@@ -16,30 +16,43 @@ Windows of eight words are compared by a 64-bit hash of 64-bit word hashes.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import scratch
+
 LEAST_WORDS = 20
 WINDOW = 8
 REPEATED_PERCENT = 30
-# Guards: fewer characters or words than this, and the histogram is not judged.
-GUARD_CHARS = 100
-GUARD_WORDS = 100
-# Largest distances to the nearest language.
+# Largest distances to the nearest language, and the characters and words from which they hold.
+# Guard: below them a histogram is noisy, and the limits grow with the inverse root of the size.
 CHAR_DISTANCE = 0.20
-WORD_DISTANCE = 0.62
+FULL_CHARS = 600
+WORD_DISTANCE = 0.26
+FULL_WORDS = 200
+# Shorter texts do not shape a reference.
+GUARD_CHARS = 100
 # Languages compared at most: the most frequent ones. A label column is no place for more.
 LANGUAGES = 64
 
 SPACE = r"[\x20\x09-\x0D]"
 # Character classes in the order in which they are taken out of the text.
-CHAR_CLASSES = ("[a-z]+", r"[\x20\x09-\x0D]+", "[A-Z]+", "[.,;:?'\"()-]+", "[0-9]+", r"[^\x00-\x7F]+")
+CHAR_CLASSES = (
+    "[a-z]+", r"[\x20\x09-\x0D]+", "[A-Z]+", "[.,;:?'\"()-]+", "[0-9]+", "[#*$%&|<>!]+",
+    r"[^\x00-\x7F]+",
+)
+CAPITALS, SYMBOLS = 2, 5
+# Documents with a larger share (percent) of these do not shape a reference.
+MOST_SYMBOLS = 1
+MOST_CAPITALS = 15
 # Common words of some languages.
 COMMON = {
-    "en": "the of and to in is that was for it with as on be at by this are not from or an a he",
-    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es",
-    "fr": "de la le et les des en un du une que est pour qui dans par pas au sur avec il ce",
-    "es": "de la que el en y a los se del las un por con no una su para es al lo como",
+    "en": "the of and to in is that was for it with as on be by this are",
+    "de": "der die und in den von zu das mit sich des auf für ist im dem ein",
+    "fr": "de la le et les des en un du une que est pour qui dans par pas",
+    "es": "de la que el en y los se del las un por con no una su para",
 }
 WORDS = tuple(dict.fromkeys(word for text in COMMON.values() for word in text.split()))
 
@@ -48,61 +61,80 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda total, x: total + x)
 
 
-def char_counts(text: Column) -> Column:
-    """Characters per class, the rest last."""
-    counts, rest = [], text
-    for pattern in CHAR_CLASSES:
-        less = F.regexp_replace(rest, pattern, "")
-        counts.append((F.char_length(rest) - F.char_length(less)).cast("long"))
-        rest = less
-    return F.array(*counts, F.char_length(rest).cast("long"))
-
-
-def common_hits(text: Column) -> Column:
-    """The common words of a text, each between two spaces of its own."""
-    words = F.split(F.lower(text), r"[^\p{L}]+")
-    hits = F.filter(words, lambda w: w.isin(*WORDS))
-    return F.concat(F.lit(" "), F.array_join(hits, "  "), F.lit(" "))
-
-
-def letter_words(text: Column) -> Column:
-    """Runs of letters."""
-    return F.regexp_count(text, F.lit(r"\p{L}+")).cast("long")
-
-
-def word_counts(hits: Column, total: Column) -> Column:
-    """Occurrences per common word, all other words last."""
+def word_counts(hits: Column, others: Column) -> Column:
+    """Occurrences per common word, from hits that stand between two spaces each; others last."""
     counts = []
     for word in WORDS:
         size = len(word.encode()) + 2
         less = F.octet_length(F.replace(hits, F.lit(f" {word} "), F.lit("")))
         counts.append(((F.octet_length(hits) - less) / size).cast("long"))
-    others = total - sum(counts[1:], counts[0])
-    return F.array(*counts, F.greatest(others, F.lit(0)).cast("long"))
+    return F.array(*counts, others.cast("long"))
 
 
 def histograms(documents: DataFrame, *kept: Column) -> DataFrame:
-    """Columns kept, with the two histograms chars and words."""
+    """Columns kept, with the text as _text and the two histograms chars and words.
+
+    Each step is a projection of its own whose results the next one uses more than once, so
+    that nothing is computed twice.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    parts = documents.select(
-        *kept, text.alias("_text"), common_hits(text).alias("_hits"), letter_words(text).alias("_all")
+    parts = documents.select(*kept, text.alias("_text"))
+    names = parts.columns
+    parts = parts.select(*names, F.split(F.lower("_text"), r"[^\p{L}]+").alias("_runs"))
+    blanks = (F.get("_runs", F.lit(0)) == "").cast("int") + (
+        (F.size("_runs") > 1) & (F.get("_runs", F.size("_runs") - 1) == "")
+    ).cast("int")
+    parts = parts.select(
+        *names,
+        (F.size("_runs") - blanks).alias("_all"),
+        F.filter("_runs", lambda w: w.isin(*WORDS)).alias("_hits"),
+    )
+    parts = parts.select(
+        *names,
+        (F.col("_all") - F.size("_hits")).alias("_others"),
+        F.concat(F.lit(" "), F.array_join("_hits", "  "), F.lit(" ")).alias("_joined"),
     )
-    return parts.select(
-        *(c for c in parts.columns if not c.startswith("_")),
-        "_text",
-        char_counts(F.col("_text")).alias("chars"),
-        word_counts(F.col("_hits"), F.col("_all")).alias("words"),
+    counts = word_counts(F.col("_joined"), F.col("_others"))
+    parts = parts.select(*names, F.col("_text").alias("_rest"), counts.alias("words"))
+    names.append("words")
+    lengths = []
+    for i, pattern in enumerate(CHAR_CLASSES):
+        less = F.regexp_replace("_rest", pattern, "")
+        parts = parts.select(
+            *names, *lengths, F.char_length("_rest").alias(f"_c{i}"), less.alias("_rest")
+        )
+        lengths.append(f"_c{i}")
+    parts = parts.select(*names, *lengths, F.char_length("_rest").alias(f"_c{len(CHAR_CLASSES)}"))
+    lengths.append(f"_c{len(CHAR_CLASSES)}")
+    counts = [F.col(a) - F.col(b) for a, b in zip(lengths, lengths[1:], strict=False)]
+    counts = [c.cast("long") for c in (*counts, F.col(lengths[-1]))]
+    return parts.select(*names, F.array(*counts).alias("chars"))
+
+
+def ordinary() -> Column:
+    """Whether a text's make-up is that of prose, so that it may shape a reference."""
+    total = _sum(F.col("chars"))
+    return (
+        (total >= GUARD_CHARS)
+        & (100 * F.col("chars")[SYMBOLS] <= MOST_SYMBOLS * total)
+        & (100 * F.col("chars")[CAPITALS] <= MOST_CAPITALS * total)
     )
 
 
-def references(documents: DataFrame) -> list[tuple[str, list[float], list[float]]]:
-    """Language, shares of character classes, shares of common words; from all documents."""
+Reference = tuple[str | None, list[float], list[float]]
+
+
+def references(rows: DataFrame) -> list[Reference]:
+    """Language, shares of character classes, shares of common words, from counted rows.
+
+    Counts of all documents that look like prose are added up per language; languages without
+    any such document have no reference.
+    """
     sizes = {"chars": len(CHAR_CLASSES) + 1, "words": len(WORDS) + 1}
-    rows = histograms(documents, F.col("lang").alias("lang"))
     sums = [
         F.sum(F.col(name)[i]).alias(f"{name}{i}") for name, n in sizes.items() for i in range(n)
     ]
-    found = rows.groupBy("lang").agg(F.count("*").alias("n"), *sums)
+    found = rows.where(ordinary()).groupBy("lang").agg(F.count("*").alias("n"), *sums)
     top = found.orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1).collect()
     named = [row for row in top if row.lang is not None] or top
 
@@ -113,22 +145,37 @@ def references(documents: DataFrame) -> list[tuple[str, list[float], list[float]
     return [(row.lang, shares(row, "chars"), shares(row, "words")) for row in named]
 
 
-def distance(counts: Column, reference: list[float]) -> Column:
-    """Jensen-Shannon distance (base 2, from 0 to 1) of counts to the shares of a reference."""
-    total = F.greatest(_sum(counts), F.lit(1)).cast("double")
+def _informed(share: Column) -> Column:
+    return F.when(share > 0, share * F.log2(share)).otherwise(0.0)
 
-    def part(x: Column, middle: Column) -> Column:
-        return F.when(x > 0, x * F.log2(x / middle)).otherwise(0.0)
 
-    def term(count: Column, y: Column) -> Column:
-        x = count / total
-        return part(x, (x + y) / 2) + part(y, (x + y) / 2)
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
 
-    shares = F.array(*(F.lit(value) for value in reference))
-    both = F.aggregate(
-        F.zip_with(counts, shares, term), F.lit(0.0), lambda total, x: total + x
+
+def divergence(shares: Column, own: Column, reference: list[float]) -> Column:
+    """Jensen-Shannon divergence (base 2) of shares to those of a reference.
+
+    With I(p) the sum of p log p, it is half of I(p) + I(q) minus I of the mean of both. own is
+    the I of the shares, which is the same for all references.
+    """
+    other = sum(y * math.log2(y) for y in reference if y > 0)
+    means = F.zip_with(
+        shares, F.array(*map(F.lit, reference)), lambda x, y: _informed((x + y) / 2)
     )
-    return F.sqrt(F.greatest(both / 2, F.lit(0.0)))
+    return F.greatest((own + other) / 2 - _total(means), F.lit(0.0))
+
+
+def distances(rows: DataFrame, nearest: list, name: str, at: int, result: str) -> DataFrame:
+    """Add the distance of a histogram to its nearest reference; 0 where there is none."""
+    names = rows.columns
+    count = F.greatest(_sum(F.col(name)), F.lit(1)).cast("double")
+    rows = rows.withColumn("_count", count)
+    rows = rows.withColumn("_shares", F.transform(name, lambda x: x / F.col("_count")))
+    rows = rows.withColumn("_own", _total(F.transform("_shares", _informed)))
+    found = [divergence(F.col("_shares"), F.col("_own"), reference[at]) for reference in nearest]
+    least = F.least(*found) if len(found) > 1 else found[0] if found else F.lit(0.0)
+    return rows.withColumn(result, F.round(F.sqrt(least), 6)).select(*names, result)
 
 
 def base_counts(documents: DataFrame, *kept: Column) -> DataFrame:
@@ -186,26 +233,30 @@ def base_counts(documents: DataFrame, *kept: Column) -> DataFrame:
     )
 
 
-def judge(documents: DataFrame, *kept: Column) -> DataFrame:
-    """Columns kept, with base counts, base_failed, the distances and the verdict kept."""
-    nearest = references(documents)
-    rows = base_counts(documents, *kept)
-    rows = rows.withColumn("n_chars_judged", _sum(F.col("chars")))
-    rows = rows.withColumn("n_words_judged", _sum(F.col("words")))
+def _scaled(limit: float, size: Column, full: int) -> Column:
+    """A limit that grows for sizes below the full one, as the noise of a histogram does."""
+    return limit * F.sqrt(F.greatest(full / F.greatest(size, F.lit(1)), F.lit(1.0)))
+
 
-    def least(name: str, at: int) -> Column:
-        distances = [distance(F.col(name), reference[at]) for reference in nearest]
-        found = F.least(*distances) if len(distances) > 1 else distances[0] if distances else F.lit(0.0)
-        return F.round(found, 6)
+def judge(documents: DataFrame, kept: Column) -> DataFrame:
+    """The column kept, with base counts, base_failed, the distances and the verdict kept.
 
-    rows = rows.withColumn("char_distance", least("chars", 1))
-    rows = rows.withColumn("word_distance", least("words", 2))
+    The counts of all texts are written once; references and verdicts are made from them.
+    """
+    spark = documents.sparkSession
+    path = scratch(spark, "quality-counts")
+    base_counts(documents, kept, F.col("lang").alias("lang")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    nearest = references(rows)
+    rows = rows.withColumn("_chars", _sum(F.col("chars")))
+    rows = rows.withColumn("_words", _sum(F.col("words")))
+    rows = distances(rows, nearest, "chars", 1, "char_distance")
+    rows = distances(rows, nearest, "words", 2, "word_distance")
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words")
     )
-    far = (
-        (F.col("n_chars_judged") >= GUARD_CHARS) & (F.col("char_distance") > CHAR_DISTANCE)
-    ) | ((F.col("n_words_judged") >= GUARD_WORDS) & (F.col("word_distance") > WORD_DISTANCE))
+    far = F.col("char_distance") > _scaled(CHAR_DISTANCE, F.col("_chars"), FULL_CHARS)
+    far = far | (F.col("word_distance") > _scaled(WORD_DISTANCE, F.col("_words"), FULL_WORDS))
     return rows.withColumns({"base_failed": failed, "kept": ~failed & ~far})
 
 
@@ -217,7 +268,7 @@ RESULT = (
 
 def quality(documents: DataFrame) -> DataFrame:
     """One row per document: RESULT."""
-    return judge(documents, F.col("doc_id").alias("doc_id")).select(*RESULT)
+    return judge(documents, F.col("doc_id").cast("long").alias("doc_id")).select(*RESULT)
 
 
 def drop_low_quality(documents: DataFrame) -> DataFrame:
