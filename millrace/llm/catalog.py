@@ -1,4 +1,4 @@
-"""The registered text queries and their SQL. Tokenizer files are named here, never copied."""
+"""The registered text queries, and their SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from millrace.llm import (
     langid,
     line_dedup,
     minhash,
+    oracle,
     packing,
     quality_rules,
     warc,
@@ -24,7 +25,6 @@ from millrace.session import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(function: Query) -> Query:
@@ -42,14 +42,6 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-ORACLE["op2_exact_dedup"] = """
-WITH d AS (SELECT doc_id, coalesce("text", '') AS t FROM documents),
-g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
-SELECT d.doc_id, g.keep_id, g.group_size,
-       d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(d.t) AS text_sha256
-FROM d JOIN g USING (t)"""
-
-
 @query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.identify(table(spark, sf_dir, "documents"))
@@ -69,18 +61,6 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, folder)
 
 
-ORACLE["op5_warc"] = """
-WITH p AS (SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes,
-                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
-q AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
-SELECT page_id, url, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 100 AND first IS NOT NULL AND page_id IS DISTINCT FROM first
-            THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first
-            THEN first END AS refers_to
-FROM q"""
-
-
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
@@ -104,40 +84,6 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
-# The operator's rule in SQL: hashes of lines, the rolling hash, boundaries, first occurrences.
-ORACLE["op9_line_dedup"] = f"""
-WITH d AS (SELECT DISTINCT doc_id, "text" AS t FROM documents WHERE "text" IS NOT NULL),
-n AS (SELECT row_number() OVER () AS row_no, doc_id, t, string_split(t, chr(10)) AS ls FROM d),
-l AS (SELECT row_no, doc_id, t, len(ls) AS n_lines, unnest(ls) AS line,
-             generate_subscripts(ls, 1) - 1 AS i FROM n),
-h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
-r AS (SELECT *, ((h + {line_dedup.MULTIPLIER} * coalesce(lag(h) OVER w, 0))
-                 % {line_dedup.MODULUS}) % {line_dedup.DIVISOR} = 0 AS ends
-      FROM h WINDOW w AS (PARTITION BY row_no ORDER BY i)),
-c AS (SELECT *, coalesce(lag(ends) OVER w AND NOT lag(ends, 2) OVER w
-                         AND i - 1 BETWEEN 1 AND n_lines - 3, FALSE) AS begins
-      FROM r WINDOW w AS (PARTITION BY row_no ORDER BY i)),
-k AS (SELECT *, sum(CAST(begins AS INT)) OVER (PARTITION BY row_no ORDER BY i) AS chunk FROM c),
-g AS (SELECT row_no, doc_id, t, chunk, min(i) AS a, max(i) + 1 AS b,
-             string_agg(line, chr(10) ORDER BY i) AS content,
-             count(*) FILTER (regexp_matches(line, '[^ \t\n\v\f\r]')) AS worded
-      FROM k GROUP BY ALL),
-o AS (SELECT *, worded >= {line_dedup.LEAST_LINES} AS long,
-             row_number() OVER (PARTITION BY content, worded >= {line_dedup.LEAST_LINES}
-                                ORDER BY doc_id, chunk) AS place FROM g),
-u AS (SELECT row_no, doc_id, t,
-             string_agg(content, chr(10) ORDER BY chunk)
-               FILTER (NOT (long AND place > 1)) AS kept,
-             coalesce(sum(b - a) FILTER (NOT (long AND place > 1)), 0) AS kept_lines,
-             coalesce(string_agg(a || '-' || b, ',' ORDER BY chunk)
-               FILTER (long AND place > 1), '') AS removed
-      FROM o GROUP BY ALL)
-SELECT x.doc_id, CASE WHEN x."text" IS NULL THEN NULL ELSE coalesce(u.kept, '') END AS "text",
-       CAST(coalesce(len(string_split(x."text", chr(10))), 0) AS BIGINT) AS n_lines,
-       CAST(coalesce(u.kept_lines, 0) AS BIGINT) AS kept_lines, coalesce(u.removed, '') AS removed
-FROM documents x LEFT JOIN u ON x.doc_id IS NOT DISTINCT FROM u.doc_id AND x."text" = u.t"""
-
-
 # Words of a shingle and similarity in percent, as the query's contract sets them.
 NEAR = minhash.NearRule(words=3, percent=85)
 
@@ -153,5 +99,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+ORACLE: dict[str, str] = {
+    "op2_exact_dedup": oracle.EXACT_DEDUP,
+    "op4_quality_rules": oracle.quality(),
+    "op5_warc": oracle.WARC,
+    "op9_line_dedup": oracle.LINE_DEDUP,
+    "op10_minhash": oracle.minhash(NEAR.words, NEAR.percent),
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
