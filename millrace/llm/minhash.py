@@ -8,11 +8,11 @@ are candidates, and every link is confirmed on the full shingle sets.
 
 How groups are kept small, without losing links:
 * rows with equal shingle sets are one class from the start, so copies never pair;
-* each bucket links its members to its smallest one (as many pairs as members);
-* what these links do not already join is compared within its bucket across the components
-  found so far, so a large group of near copies is not paired with itself.
-Pairs whose one-bit signatures differ far beyond what the similarity allows are not confirmed
-(five standard deviations, besides the exact bound that set sizes give).
+* in each of a few rounds every class is paired with one center of its buckets;
+* what these links do not already join is compared within its buckets across the components
+  found so far, so a large group of near copies is not paired with itself. Of these pairs, those
+  whose one-bit signatures differ far beyond what the similarity allows are not confirmed (4.5
+  standard deviations, besides the exact bound that set sizes give).
 
 Defined results
 * text is lower-cased in A-Z only; words are runs of anything but space and \\t to \\r;
@@ -50,29 +50,32 @@ from millrace.llm.textops import (
 from millrace.session import scratch
 
 UNIVERSE_BITS = 20
+# Rounds of pairs with centers, each as many as classes, before what is left is paired.
+TURNS = 3
 # Shingles whose coordinates are computed at once.
-SHINGLES_AT_ONCE = 2048
+SHINGLES_AT_ONCE = 256
 
 
 @dataclass(frozen=True)
 class NearRule:
-    """Words of a shingle, similarity in percent, and the shape of the signature."""
+    """Words of a shingle, similarity in percent, and the shape of the signature.
+
+    The first bands * rows coordinates are banded; of all `size` one bit each is kept, to tell
+    pairs that cannot be similar enough.
+    """
 
     words: int = 5
     percent: int = 80
     bands: int = 32
     rows: int = 5
+    size: int = 1024
     seed: int = 20240
 
-    @property
-    def size(self) -> int:
-        return self.bands * self.rows
-
     @property
     def differing_bits(self) -> int:
-        """Most bits that one-bit signatures of a link differ in, to five deviations."""
+        """Most bits that one-bit signatures of a link differ in, to 4.5 deviations."""
         differ = (1 - self.percent / 100) / 2
-        return math.ceil(self.size * differ + 5 * math.sqrt(self.size * differ * (1 - differ)))
+        return math.ceil(self.size * differ + 4.5 * math.sqrt(self.size * differ * (1 - differ)))
 
 
 @functools.lru_cache(maxsize=2)
@@ -107,7 +110,7 @@ def signature(shingles: np.ndarray, rule: NearRule) -> np.ndarray:
 
 def band_keys(least: np.ndarray, rule: NearRule) -> np.ndarray:
     keys = mix(np.arange(rule.bands, dtype=np.uint64) + np.uint64(rule.seed))
-    for column in least.reshape(rule.bands, rule.rows).T:
+    for column in least[: rule.bands * rule.rows].reshape(rule.bands, rule.rows).T:
         keys = mix(keys + column.astype(np.uint64))
     return keys.view(np.int64)
 
@@ -198,23 +201,62 @@ def _possible(rule: NearRule) -> Column:
     return sizes & (sum(differ[1:], differ[0]) <= rule.differing_bits)
 
 
-def _side(classes: DataFrame, side: str) -> DataFrame:
-    names = ("id", "n", "bits")
-    renamed = [F.col(name).alias(side if name == "id" else f"{name}_{side}") for name in names]
-    return classes.select(*renamed)
-
-
-def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, rule: NearRule) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, rule: NearRule) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough."""
-    needed = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id")))
-    rows = classes.join(needed.distinct(), "id", "left_semi").select("id", "row.*")
-    same = texts["doc_id"].eqNullSafe(rows["doc_id"]) & (texts["text_hash"] == rows["text_hash"])
-    held = texts.join(rows, same).select("id", "text")
-    held = held.groupBy("id").agg(F.any_value("text").alias("text"))
-    right = held.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    left = held.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+    left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     full = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return full.mapInArrow(_confirm(rule), "a long, b long")
+    return _kept(full.mapInArrow(_confirm(rule), "a long, b long"), "links")
+
+
+def _labelled(buckets: DataFrame, member: DataFrame | None) -> DataFrame:
+    """Rows of the buckets with the component that each class belongs to so far."""
+    if member is None:
+        return buckets.withColumn("component", F.col("id"))
+    named = member.withColumnRenamed("node", "id")
+    joined = buckets.join(named, "id", "left")
+    return joined.withColumn("component", F.coalesce("component", "id"))
+
+
+def _stars(labelled: DataFrame, turn: int) -> DataFrame:
+    """A pair with a center for each class that shares a bucket with another component.
+
+    A bucket's center is its member that shares buckets with most others (the text that copies
+    were made from, or one near it), and a class takes the first of its buckets' centers: one
+    pair per class. After the first turn chance has a part in it, to find other centers.
+    """
+    chance = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(1000)) / 1000
+    priority = -F.col("weight") * ((1 + 3 * chance) if turn else F.lit(1.0))
+    centers = labelled.groupBy("key").agg(
+        F.min(F.struct(priority.alias("priority"), "id", "component")).alias("center"),
+        F.min("component").alias("x"),
+        F.max("component").alias("y"),
+    )
+    open_rows = labelled.join(centers.where("x < y").select("key", "center"), "key")
+    open_rows = open_rows.where("component <> center.component")
+    taken = open_rows.groupBy("id").agg(F.min("center").alias("center"))
+    return taken.select(F.least("id", "center.id").alias("a"), F.greatest("id", "center.id").alias("b"))
+
+
+def _across(labelled: DataFrame, classes: DataFrame, rule: NearRule) -> DataFrame:
+    """Possible pairs that share a bucket and are in different components, each pair once."""
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    rows = labelled.join(mixed.where("x < y").select("key"), "key", "left_semi")
+    rows = _kept(rows.join(classes.select("id", "n", "bits", "keys"), "id"), "open")
+    names = ("id", "component", "n", "bits", "keys")
+    left, right = (
+        rows.select("key", "band", *(F.col(name).alias(f"{name}_{side}") for name in names))
+        for side in "ab"
+    )
+    # Of the buckets that a pair shares, only that of the first band makes the pair.
+    same = F.zip_with("keys_a", "keys_b", lambda x, y: x == y)
+    found = left.join(right.drop("band"), "key").where(
+        (F.col("id_a") < F.col("id_b"))
+        & (F.col("component_a") != F.col("component_b"))
+        & _possible(rule)
+        & (F.array_position(same, F.lit(True)) == F.col("band") + 1)
+    )
+    return found.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
 
 def signed(documents: DataFrame, rule: NearRule) -> tuple[DataFrame, DataFrame]:
@@ -244,41 +286,32 @@ def near_duplicates(documents: DataFrame, rule: NearRule = NearRule()) -> DataFr
     )
     classes = _kept(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
-    # Buckets with two classes or more, with the smallest of each.
-    bands = classes.select("id", F.explode("keys").alias("key"))
-    shared = bands.groupBy("key").agg(F.min("id").alias("center"), F.max("id").alias("other"))
-    shared = shared.where("center < other").select("key", "center")
-    bucketed = _kept(bands.join(shared, "key"), "buckets")
-
-    sides = [_side(classes, side) for side in "ab"]
-    stars = bucketed.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b"))
-    stars = stars.distinct().join(sides[0], "a").join(sides[1], "b").where(_possible(rule))
-    stars = _kept(stars.select("a", "b"), "pairs")
-    links = _kept(_links(stars, classes, texts, rule), "links")
-    member = components(links)
-
-    # Buckets that hold several components still: pairs across them that were not seen yet.
-    labelled = bucketed.join(member.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component")
-    )
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    open_rows = labelled.join(mixed.where("x < y").select("key"), "key", "left_semi")
-    open_rows = _kept(
-        open_rows.join(classes.select("id", "n", "bits"), "id"), "open"
-    )
-    left, right = (
-        open_rows.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "component", "n", "bits")))
-        for side in "ab"
-    )
-    across = left.join(right, "key").where(
-        (F.col("id_a") < F.col("id_b")) & (F.col("component_a") != F.col("component_b"))
-        & _possible(rule)
-    )
-    across = across.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-    across = _kept(across.join(stars, ["a", "b"], "left_anti"), "pairs")
-    more = _kept(_links(across, classes, texts, rule), "links")
-    if not more.isEmpty():
-        member = components(links.unionAll(more))
+    # Buckets with two classes or more, and the texts of their classes.
+    bands = classes.select("id", F.posexplode("keys").alias("band", "key"))
+    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sized = _kept(bands.join(shared, "key"), "buckets")
+    weight = sized.groupBy("id").agg(F.sum("size").alias("weight"))
+    buckets = _kept(sized.drop("size").join(weight, "id"), "buckets")
+    needed = buckets.select("id").distinct().join(classes, "id").select("id", "row.*")
+    same = texts["doc_id"].eqNullSafe(needed["doc_id"]) & (texts["text_hash"] == needed["text_hash"])
+    held = texts.join(needed, same).select("id", "text")
+    held = _kept(held.groupBy("id").agg(F.any_value("text").alias("text")), "texts")
+
+    links, seen, member = None, None, None
+    for turn in range(TURNS + 1):
+        labelled = _labelled(buckets, member)
+        if turn < TURNS:
+            pairs = _stars(labelled, turn).distinct()
+        else:
+            pairs = _across(labelled, classes, rule)
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        pairs = _kept(pairs, "pairs")
+        found = _links(pairs, held, rule)
+        seen = pairs if seen is None else seen.unionAll(pairs)
+        links = found if links is None else links.unionAll(found)
+        if member is None or not found.isEmpty():
+            member = components(links)
 
     named = classes.join(member.withColumnRenamed("node", "id"), "id", "left").select(
         "set", "least", "first", F.coalesce("component", "id").alias("component")

@@ -130,7 +130,7 @@ def test_long_and_short_trees_agree(word_tools):
 
 
 def test_signature_is_circulant():
-    rule = minhash.NearRule(words=3, percent=85, bands=4, rows=3)
+    rule = minhash.NearRule(words=3, percent=85, bands=4, rows=3, size=20)
     scatter, _ = minhash.permutations(rule.seed, rule.size)
     rng = np.random.default_rng(rule.seed)
     size = 1 << minhash.UNIVERSE_BITS
