@@ -12,10 +12,11 @@ from millrace.connection import Database, postgres
 from millrace.operators import report
 from millrace.session import session
 from millrace.sinks import database as db
-from millrace.sinks.files import BatchTable, reject_schema
+from millrace.sinks.files import BatchTable, reject_schema, write_lookup_table
 from millrace.sources.database import read_database
+from millrace.sources.files import read_table
 from millrace.streaming import batches, jobs
-from millrace.streaming.metrics import MetricsLog
+from millrace.streaming.metrics import MetricsLog, ProgressLog
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -32,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     bound.add_argument("--max_bytes", help="bytes per batch at most, such as 64g")
     stream.add_argument("--strict_time", action="store_true", help="times need a date")
     stream.add_argument("--strict_header", action="store_true", help="refuse reordered columns")
+    stream.add_argument("--multi_line", action="store_true", help="line breaks within quotes")
 
     relational = argparse.ArgumentParser(add_help=False)
     # The password comes from PGPASSWORD.
@@ -39,21 +41,25 @@ def _parser() -> argparse.ArgumentParser:
     relational.add_argument("--pg_port", default="5432")
     relational.add_argument("--pg_db", default="events")
     relational.add_argument("--pg_user")
-    relational.add_argument("--pg_table", default="events")
+    relational.add_argument("--pg_table", default="events", help="may name its schema")
 
     to_database = commands.add_parser("to-database", parents=[stream, relational])
     to_database.add_argument("--on_duplicate", choices=["skip", "fail"], default="skip")
     to_database.add_argument("--metrics_dir", help="keep one row of metrics per batch here")
-
+    to_database.add_argument("--progress_dir", help="keep Spark's figures of each trigger here")
+    to_database.add_argument("--connections", type=int, default=db.CONNECTIONS)
     to_database.add_argument("--rejects_dir", help="keep rejected rows and the reason here")
 
     to_files = commands.add_parser("to-files", parents=[stream])
     to_files.add_argument("--parquet_out", required=True)
     to_files.add_argument("--unique", action="store_true", help="store each key once")
-    to_files.add_argument("--thin", action="store_true", help="expect keys with many copies")
     to_files.add_argument("--state_partitions", type=int, help="fixed by the first start")
     to_files.add_argument("--console", action="store_true", help="show the rows as well")
 
+    layout = commands.add_parser("layout", help="lay stored events out for lookups")
+    layout.add_argument("--parquet_in", required=True)
+    layout.add_argument("--parquet_out", required=True)
+
     reset = commands.add_parser("reset", parents=[relational])
     reset.add_argument("--checkpoint_dir", required=True)
     commands.add_parser("check", parents=[relational])
@@ -70,6 +76,7 @@ def _job(args: argparse.Namespace, **extra: str) -> jobs.StreamJob:
         max_bytes=args.max_bytes,
         strict_time=args.strict_time,
         strict_header=args.strict_header,
+        multi_line=args.multi_line,
         **extra,
     )
 
@@ -82,8 +89,10 @@ def to_database(spark: SparkSession, args: argparse.Namespace, database: Databas
     """Stream events into the table."""
     db.create_event_table(spark, database, args.pg_table)
     writer = batches.merge_into if args.on_duplicate == "skip" else batches.append_to
-    write = writer(database, args.pg_table)
-    job, metrics = _job(args), MetricsLog(args.metrics_dir)
+    write = writer(database, args.pg_table, args.connections)
+    job, metrics = _job(args, name="to-database"), MetricsLog(args.metrics_dir)
+    if args.progress_dir:
+        spark.streams.addListener(ProgressLog(spark, args.progress_dir, job.name))
     if args.rejects_dir:
         rejected = BatchTable(spark, args.rejects_dir, reject_schema())
         query = jobs.start_split(spark, job, write, rejected, metrics)
@@ -97,7 +106,7 @@ def to_files(spark: SparkSession, args: argparse.Namespace) -> None:
     job = _job(args, ingest_time="processed_at")
     if args.unique:
         query = jobs.start_unique_files(
-            spark, job, args.parquet_out, args.thin, args.state_partitions
+            spark, job, args.parquet_out, args.state_partitions
         )
     else:
         query = jobs.start_files(spark, job, args.parquet_out)
@@ -111,6 +120,12 @@ def to_files(spark: SparkSession, args: argparse.Namespace) -> None:
         jobs.wait(spark)
 
 
+def layout(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Stored events, as files by batch or not, to a table by day with rows in user order."""
+    events = read_table(spark, args.parquet_in).drop("batch_id")
+    write_lookup_table(events, args.parquet_out)
+
+
 def reset(spark: SparkSession, args: argparse.Namespace, database: Database) -> str:
     """Empty the table and name an unused checkpoint folder for the next run."""
     db.empty(spark, database, args.pg_table)
@@ -147,6 +162,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         to_files(spark, args)
     elif args.command == "to-database":
         to_database(spark, args, _database(args))
+    elif args.command == "layout":
+        layout(spark, args)
     elif args.command == "reset":
         reset(spark, args, _database(args))
     elif args.command == "check":

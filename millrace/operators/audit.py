@@ -28,7 +28,7 @@ def audit(rows: DataFrame, strict_time: bool = False) -> DataFrame:
     """
     checks = _checks(rows.columns, strict_time)
     per_key = rows.groupBy(KEY).agg(
-        F.count_if(is_valid(strict_time)).alias("valid"),
+        F.count_if(is_valid(strict_time, rows.columns)).alias("valid"),
         *(F.count_if(test).alias(name) for name, test in checks.items()),
     )
     surplus = F.sum(F.greatest(F.col("valid") - 1, F.lit(0)))

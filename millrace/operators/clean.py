@@ -18,14 +18,15 @@ def clean(raw: DataFrame, ingest_time: str = INGEST_TIME, strict_time: bool = Fa
     typed = safe_columns(strict_time)
     stamped = ingest_time in raw.columns
     typed[ingest_time] = F.col(ingest_time) if stamped else F.current_timestamp()
-    return raw.where(is_valid(strict_time)).select(
+    return raw.where(is_valid(strict_time, raw.columns)).select(
         *(typed[name].alias(name) for name in event_columns(ingest_time))
     )
 
 
 def rejects(raw: DataFrame, strict_time: bool = False) -> DataFrame:
     """The rows `clean` leaves out, as they arrived, with the first rule each one breaks."""
-    return raw.withColumn("reason", reject_reason(strict_time)).where("reason IS NOT NULL")
+    reason = reject_reason(strict_time, raw.columns)
+    return raw.withColumn("reason", reason).where("reason IS NOT NULL")
 
 
 def strict_events(rows: DataFrame, ingest_time: str = INGEST_TIME) -> DataFrame:

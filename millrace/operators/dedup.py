@@ -20,14 +20,3 @@ def one_per_key(rows: DataFrame, key: str = KEY) -> DataFrame:
     smallest = rows.groupBy(key).agg(F.expr(f"min(struct({rest}))").alias("kept"))
     unique = smallest.select(key, "kept.*")
     return unique if columns[0] == key else unique.select(*columns)
-
-
-def not_stored(rows: DataFrame, stored: DataFrame, key: str = KEY) -> DataFrame:
-    """Rows whose key is not stored yet; `rows` holds each key once.
-
-    The stored keys are first narrowed to those of `rows`. When Spark knows `rows` to be small
-    (kept and counted before), it sends their keys to the stored side, which is then read, one
-    column of it, and not shuffled.
-    """
-    seen = stored.select(key).join(rows.select(key), key, "left_semi")
-    return rows.join(seen, key, "left_anti")

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.schema import INGEST_TIME, KEY
+from millrace.schema import DAY, INGEST_TIME, KEY
 
 
 def row_count(rows: DataFrame) -> DataFrame:
@@ -31,8 +31,14 @@ def latest(events: DataFrame, k: int = 5, by: str = INGEST_TIME, key: str = KEY)
 
 
 def in_time_range(events: DataFrame, start: datetime, end: datetime) -> DataFrame:
-    """Events from `start` up to, not including, `end`."""
-    return events.where((F.col("event_time") >= F.lit(start)) & (F.col("event_time") < F.lit(end)))
+    """Events from `start` up to, not including, `end`.
+
+    A table laid out by day is read in the folders of those days only.
+    """
+    found = (F.col("event_time") >= F.lit(start)) & (F.col("event_time") < F.lit(end))
+    if DAY in events.columns:
+        found = found & F.col(DAY).between(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
+    return events.where(found)
 
 
 def of_user(events: DataFrame, user_id: int) -> DataFrame:
@@ -70,6 +76,11 @@ def summarise_batches(metrics: DataFrame) -> DataFrame:
     )
 
 
-def falling_behind(metrics: DataFrame, trigger_seconds: float) -> DataFrame:
-    """Each batch with a flag that says it took longer than the trigger interval."""
-    return metrics.withColumn("behind", F.col("seconds") > F.lit(float(trigger_seconds)))
+def falling_behind(triggers: DataFrame, interval: float) -> DataFrame:
+    """Each batch with a flag that says its whole trigger took longer than the interval.
+
+    `trigger_s` counts everything from listing files to committing progress, as `progress` has
+    it: a batch whose own write is quick may still hold up the next one.
+    """
+    late = F.col("trigger_s") > F.lit(float(interval))
+    return triggers.withColumns({"interval_s": F.lit(float(interval)), "behind": late})

@@ -10,7 +10,8 @@ base AS (
          CASE WHEN e.event_id % 89 = 0 THEN 'x' ELSE '' END || CAST(e.user_id AS VARCHAR) AS user_id,
          e.event_type AS action,
          CAST(p.p_partkey AS VARCHAR) AS product_id,
-         p.p_name AS product_name,
+         CASE WHEN e.event_id % 13 = 0 THEN p.p_name || ' 27", "black", size ""L""'
+              ELSE p.p_name END AS product_name,
          p.p_type AS category,
          CASE WHEN e.event_type = 'purchase' AND e.event_id % 83 <> 0 THEN
               CASE WHEN e.event_id % 79 = 0 THEN 'abc'
@@ -24,7 +25,7 @@ base AS (
 feed AS (
   SELECT * FROM base
   UNION ALL
-  SELECT * REPLACE (8 AS file_no) FROM base WHERE event_id LIKE '%7')
+  SELECT * REPLACE (8 AS file_no, 'app' AS source) FROM base WHERE event_id LIKE '%7')
 """
 
 
@@ -42,7 +43,7 @@ typed AS (
          action, {_int("product_id")} AS product_id, product_name, category,
          TRY_CAST(price AS DECIMAL(10,2)) AS price, {_int("quantity")} AS quantity, source,
          file_no, price AS raw_price, quantity AS raw_quantity,
-         CASE WHEN file_no <= 3 THEN 0 ELSE 1 END AS wave
+         CASE WHEN file_no <= 3 THEN 0 WHEN file_no <= 7 THEN 1 ELSE 2 END AS wave
   FROM feed),
 clean AS (
   SELECT * FROM typed
@@ -54,6 +55,9 @@ ranked AS (
            quantity NULLS FIRST, source NULLS FIRST) AS place
   FROM clean),
 uniq AS (SELECT * FROM ranked WHERE place = 1),
+arrived AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY wave) AS turn FROM clean),
+first_arrived AS (SELECT * FROM arrived WHERE turn = 1),
+early AS (SELECT * FROM clean WHERE wave = 0),
 waves AS (SELECT wave, count(DISTINCT event_id) AS n FROM clean GROUP BY wave)
 """
 
@@ -92,6 +96,19 @@ AUDIT = """
 IN_DAY = "event_time >= TIMESTAMP '2024-01-05' AND event_time < TIMESTAMP '2024-01-06'"
 
 UNIQUE_ROWS = f"SELECT {ROW} FROM uniq"
+# A row that is unique over all batches is the one that arrived first.
+FIRST_ROWS = f"SELECT {ROW} FROM first_arrived"
+TEXTS = (
+    "event_id, event_time, user_id, action, product_id, product_name, category, quantity, source"
+)
+DAMAGED = """,
+numbered AS (SELECT *, CAST(substr(event_id, 2) AS BIGINT) AS number FROM clean),
+damaged AS (
+  SELECT * REPLACE (CASE WHEN number % 101 <> 0 THEN user_id END AS user_id,
+                    CASE WHEN number % 103 = 0 THEN 'click' ELSE action END AS action),
+         number % 107 = 0 AS no_time FROM numbered),
+whole AS (SELECT * FROM damaged WHERE user_id IS NOT NULL AND action IN ('view', 'purchase'))
+"""
 UNIQUE_ACTIONS = "SELECT action, count(*) AS n FROM uniq GROUP BY action"
 
 _BODIES = {
@@ -116,42 +133,59 @@ _BODIES = {
         price_lost="raw_price IS NOT NULL AND price IS NULL",
         quantity_lost="raw_quantity IS NOT NULL AND quantity IS NULL",
     ),
-    "stored_constraint_audit": AUDIT.format(
-        rows="uniq", valid="uniq", price_lost="FALSE", quantity_lost="FALSE"
+    "stored_constraint_audit": DAMAGED + AUDIT.format(
+        rows="damaged", valid="whole", price_lost="FALSE", quantity_lost="FALSE"
     )
-    + "  UNION ALL SELECT 'null_stored_at', CAST(0 AS BIGINT)",
-    "time_range_lookup": f"SELECT {ROW} FROM clean WHERE {IN_DAY}",
-    "user_lookup": f"SELECT {ROW} FROM clean WHERE user_id = 12",
-    "product_lookup": f"SELECT {ROW} FROM clean WHERE product_id = 7",
-    "action_lookup": f"SELECT {ROW} FROM clean WHERE action = 'purchase'",
+    + "  UNION ALL SELECT 'null_stored_at', count(*) FROM damaged WHERE no_time",
+    "time_range_lookup": f"SELECT {ROW} FROM uniq WHERE {IN_DAY}",
+    "user_lookup": f"SELECT {ROW} FROM uniq WHERE user_id = 12",
+    "product_lookup": f"SELECT {ROW} FROM uniq WHERE product_id = 7",
+    "action_lookup": f"SELECT {ROW} FROM uniq WHERE action = 'purchase'",
     "stored_lookups": f"""
-  SELECT 'day' AS lookup, count(*) AS n FROM uniq WHERE {IN_DAY}
-  UNION ALL SELECT 'user', count(*) FROM uniq WHERE user_id = 12
-  UNION ALL SELECT 'product', count(*) FROM uniq WHERE product_id = 7
-  UNION ALL SELECT 'action', count(*) FROM uniq WHERE action = 'purchase'""",
-    "csv_roundtrip": f"SELECT {RAW} FROM feed",
-    "create_if_absent": UNIQUE_ACTIONS,
+  SELECT {ROW}, 'day' AS lookup FROM first_arrived WHERE {IN_DAY}
+  UNION ALL SELECT {ROW}, 'user' FROM first_arrived WHERE user_id = 12
+  UNION ALL SELECT {ROW}, 'product' FROM first_arrived WHERE product_id = 7
+  UNION ALL SELECT {ROW}, 'action' FROM first_arrived WHERE action = 'purchase'""",
+    "csv_roundtrip": f"SELECT {RAW}, CAST(NULL AS VARCHAR) AS malformed FROM feed",
+    "create_if_absent": UNIQUE_ROWS,
     "jdbc_append_roundtrip": UNIQUE_ROWS,
-    "jdbc_merge_twice": """
-  SELECT action, count(*) AS n,
-         (SELECT n FROM waves WHERE wave = 0) AS added_1,
+    "jdbc_merge_twice": f"""
+  SELECT {ROW}, (SELECT n FROM waves WHERE wave = 0) AS added_1,
          (SELECT count(*) FROM uniq) - (SELECT n FROM waves WHERE wave = 0) AS added_2
-  FROM uniq GROUP BY action""",
+  FROM (SELECT * FROM early
+        UNION ALL SELECT * EXCLUDE (place) FROM uniq
+        WHERE event_id NOT IN (SELECT event_id FROM early))""",
     "jdbc_subquery": UNIQUE_ACTIONS,
     "full_refresh": UNIQUE_ROWS,
     "stream_parquet": f"SELECT {ROW} FROM clean",
-    "stream_unique_parquet": UNIQUE_ROWS,
-    "stream_batch_sink": UNIQUE_ROWS,
-    "stream_to_database": UNIQUE_ROWS,
-    "stream_two_sinks": """
-  SELECT 'files' AS sink, CAST(sum(n) AS BIGINT) AS n FROM waves
-  UNION ALL SELECT 'database', count(*) FROM uniq""",
-    "stream_quarantine": """
-  SELECT reason, count(*) AS n FROM broken WHERE reason IS NOT NULL GROUP BY reason
-  UNION ALL SELECT 'stored', count(*) FROM uniq""",
+    "stream_unique_parquet": FIRST_ROWS,
+    "stream_batch_sink": f"SELECT {ROW}, CAST(wave AS BIGINT) AS batch_id FROM clean",
+    "stream_to_database": FIRST_ROWS,
+    "stream_two_sinks": f"""
+  SELECT {ROW}, 'files' AS sink FROM clean
+  UNION ALL SELECT {ROW}, 'database' FROM first_arrived""",
+    "stream_quarantine": f"""
+  SELECT {TEXTS}, CAST(CASE WHEN file_no <= 3 THEN 0 WHEN file_no <= 7 THEN 1 ELSE 2 END AS BIGINT)
+         AS batch_id, reason FROM broken WHERE reason IS NOT NULL
+  UNION ALL
+  SELECT event_id, strftime(event_time, '%Y-%m-%d %H:%M:%S.%f'), CAST(user_id AS VARCHAR), action,
+         CAST(product_id AS VARCHAR), product_name, category, CAST(quantity AS VARCHAR), source,
+         CAST(wave AS BIGINT), 'stored' FROM clean""",
     "replay_after_reset": UNIQUE_ROWS,
     "batch_metrics": """
-  SELECT CAST(wave AS BIGINT) AS batch_id, n AS rows, TRUE AS behind FROM waves""",
+  SELECT CAST(CASE wave WHEN 0 THEN 0 ELSE wave + 1 END AS BIGINT) AS batch_id, n AS rows,
+         FALSE AS skipped, TRUE AS timed FROM waves
+  UNION ALL SELECT 1, 0, TRUE, FALSE""",
+    "trigger_progress": """
+  SELECT CAST(CASE WHEN file_no <= 3 THEN 0 WHEN file_no <= 7 THEN 1 ELSE 2 END AS BIGINT)
+         AS batch_id, count(*) > 0 AS had_input, FALSE AS behind FROM feed GROUP BY 1""",
+    "days_behind": """
+  SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS day, count(*) AS input_rows,
+         epoch_us(max(event_time)) - epoch_us(min(event_time)) > 86000 * CAST(1000000 AS BIGINT) AS behind
+  FROM clean GROUP BY 1""",
+    "latest_stored": """
+  SELECT event_id, action, product_id, source FROM first_arrived
+  ORDER BY wave DESC, event_id LIMIT 5""",
     "metrics_summary": """
   SELECT 'rows' AS measure, count(*) AS batches, CAST(min(n) AS DOUBLE) AS lowest,
          CAST(max(n) AS DOUBLE) AS highest, avg(n) AS mean,

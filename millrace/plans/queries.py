@@ -15,28 +15,32 @@ from millrace.operators import report
 from millrace.operators.audit import audit
 from millrace.operators.clean import clean, default_ingest_time, rejects, strict_events
 from millrace.operators.dedup import one_per_key
-from millrace.schema import INGEST_TIME, RAW_COLUMNS
-from millrace.session import partitions_for, scratch
+from millrace.schema import INGEST_TIME, RAW_COLUMNS, event_schema
+from millrace.session import remove, scratch
 from millrace.sinks import database as db
 from millrace.sinks import files
-from millrace.sources.database import key_ranges, read_database
+from millrace.sources.database import read_database, read_table_in_ranges
 from millrace.sources.feed import raw_feed
 from millrace.sources.files import read_events, read_table
 from millrace.streaming import batches, jobs
-from millrace.streaming.metrics import MetricsLog, read_metrics
+from millrace.streaming.metrics import MetricsLog, ProgressLog, read_metrics, read_triggers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# The feed arrives in two waves. The second brings copies of events of both.
+# The feed arrives in waves: two of first deliveries, then the copies of events of both.
 LAST_FILE_OF_FIRST_WAVE = 3
+LAST_FILE_OF_SECOND_WAVE = 7
 
 DAY = (datetime(2024, 1, 5), datetime(2024, 1, 6))
 USER = 12
 PRODUCT = 7
 
-# The feed's identifiers are "e" and a number.
-KEY_CUTS = [f"e{digit}" for digit in range(2, 10)]
+# Rows that one task reads from the database.
+ROWS_PER_READ = 5_000
+
+# Seconds between the first and the last event that a day's delivery may span.
+DAY_SECONDS = 86_000
 
 TABLE = "shop_events"
 
@@ -47,9 +51,10 @@ def query(function: Query) -> Query:
     return function
 
 
-def comparable(events: DataFrame) -> DataFrame:
+def comparable(events: DataFrame, *more: str) -> DataFrame:
     """Events without the ingest time, in types that other engines hand out alike."""
     return events.select(
+        *more,
         *(F.col(name) for name in RAW_COLUMNS if name not in ("event_time", "price")),
         F.col("event_time").cast("timestamp_ntz").alias("event_time"),
         F.col("price").cast("double").alias("price"),
@@ -145,50 +150,69 @@ def constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stored_constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit(_unique(spark, sf_dir))
+    """Audit of a table that was written, without a database to guard it, with violations.
+
+    The table holds each delivery, so keys repeat, and has gaps in required columns.
+    """
+    path = scratch(spark, "audited")
+    events = _clean(spark, sf_dir)
+    number = F.col("event_id").substr(2, 20).cast("long")
+    damaged = events.withColumns(
+        {
+            "user_id": F.when(number % 101 != 0, F.col("user_id")),
+            "action": F.when(number % 103 == 0, "click").otherwise(F.col("action")),
+            INGEST_TIME: F.when(number % 107 != 0, F.col(INGEST_TIME)),
+        }
+    )
+    damaged.write.parquet(path)
+    return audit(read_table(spark, path))
 
 
 # --- lookups ---------------------------------------------------------------------------------
 
 
+def _laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored events in a table laid out for lookups."""
+    path = scratch(spark, "lookups")
+    files.write_lookup_table(_unique(spark, sf_dir), path)
+    return read_table(spark, path)
+
+
 @query
 def time_range_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(report.in_time_range(_clean(spark, sf_dir), *DAY))
+    return comparable(report.in_time_range(_laid_out(spark, sf_dir), *DAY))
 
 
 @query
 def user_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(report.of_user(_clean(spark, sf_dir), USER))
+    return comparable(report.of_user(_laid_out(spark, sf_dir), USER))
 
 
 @query
 def product_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(report.of_product(_clean(spark, sf_dir), PRODUCT))
+    return comparable(report.of_product(_laid_out(spark, sf_dir), PRODUCT))
 
 
 @query
 def action_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(report.of_action(_clean(spark, sf_dir), "purchase"))
+    return comparable(report.of_action(_laid_out(spark, sf_dir), "purchase"))
 
 
 @query
 def stored_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lookups on a table laid out for them, one count each."""
-    path = scratch(spark, "lookups")
-    files.write_lookup_table(_unique(spark, sf_dir), path)
-    events = read_table(spark, path)
-    day = (F.col(files.DAY) >= F.lit(DAY[0].date())) & (F.col(files.DAY) < F.lit(DAY[1].date()))
+    """The rows of each lookup, on the layout made from what a stream stored."""
+    stored, laid_out = scratch(spark, "events"), scratch(spark, "lookups")
+    _deliver(spark, sf_dir, lambda job: jobs.start_unique_files(spark, job, stored))
+    files.write_lookup_table(read_table(spark, stored).drop("batch_id"), laid_out)
+    events = read_table(spark, laid_out)
     found = {
-        "day": report.in_time_range(events.where(day), *DAY),
+        "day": report.in_time_range(events, *DAY),
         "user": report.of_user(events, USER),
         "product": report.of_product(events, PRODUCT),
         "action": report.of_action(events, "purchase"),
     }
-    counts = [
-        report.row_count(rows).select(F.lit(name).alias("lookup"), "n")
-        for name, rows in found.items()
-    ]
-    return counts[0].unionAll(counts[1]).unionAll(counts[2]).unionAll(counts[3])
+    parts = [comparable(rows).withColumn("lookup", F.lit(name)) for name, rows in found.items()]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
 
 
 # --- files and tables ------------------------------------------------------------------------
@@ -203,11 +227,14 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def create_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a table of the catalog that was created again after it was filled."""
     name, path = f"{TABLE}_{uuid.uuid4().hex}", scratch(spark, "catalog")
     files.create_event_table(spark, name, path)
     files.append_to_table(_unique(spark, sf_dir), name)
     files.create_event_table(spark, name, path)
-    return report.action_counts(spark.table(name))
+    spark.table(name).isEmpty()  # the catalog's way to the rows works
+    spark.sql(f"DROP TABLE {name}")  # its folder stays, the name does not
+    return comparable(spark.read.schema(event_schema()).parquet(path))
 
 
 # --- database --------------------------------------------------------------------------------
@@ -222,7 +249,7 @@ def _database(spark: SparkSession) -> tuple[Database, str]:
 
 
 def _stored(spark: SparkSession, database: Database, table: str) -> DataFrame:
-    return read_database(spark, database, table, key_ranges("event_id", KEY_CUTS))
+    return read_table_in_ranges(spark, database, table, "event_id", ROWS_PER_READ)
 
 
 @query
@@ -234,13 +261,13 @@ def jdbc_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def jdbc_merge_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first deliveries, then all: the second merge adds what is new."""
+    """The rows of a first delivery, then all: the second merge adds what is new."""
     database, table = _database(spark)
     feed = raw_feed(spark, sf_dir)
     early = feed.where(F.col("file_no") <= LAST_FILE_OF_FIRST_WAVE)
     added = [db.merge(one_per_key(clean(part)), database, table) for part in (early, feed)]
-    return report.action_counts(_stored(spark, database, table)).select(
-        "*", *(F.lit(n).cast("long").alias(f"added_{i}") for i, n in enumerate(added, 1))
+    return comparable(_stored(spark, database, table)).withColumns(
+        {f"added_{i}": F.lit(n).cast("long") for i, n in enumerate(added, 1)}
     )
 
 
@@ -265,18 +292,31 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------------
 
 
+def _waves(spark: SparkSession, sf_dir: str, empty_wave: bool = False) -> list[DataFrame]:
+    """The feed in three deliveries; if asked for, one without any valid row between them."""
+    feed, file_no = raw_feed(spark, sf_dir), F.col("file_no")
+    first = feed.where(file_no <= LAST_FILE_OF_FIRST_WAVE)
+    second = feed.where(file_no.between(LAST_FILE_OF_FIRST_WAVE + 1, LAST_FILE_OF_SECOND_WAVE))
+    copies = feed.where(file_no > LAST_FILE_OF_SECOND_WAVE)
+    invalid = [first.where(~F.coalesce(is_valid(), F.lit(False)))] if empty_wave else []
+    return [first, *invalid, second, copies]
+
+
 def _deliver(
-    spark: SparkSession, sf_dir: str, run: Callable[[jobs.StreamJob], object]
+    spark: SparkSession,
+    sf_dir: str,
+    run: Callable[[jobs.StreamJob], object],
+    empty_wave: bool = False,
+    name: str | None = None,
 ) -> jobs.StreamJob:
-    """Bring the feed in two waves and let the stream catch up, from its checkpoint, after each."""
+    """Bring the feed in waves and let the stream catch up, from its checkpoint, after each."""
     job = jobs.StreamJob(
-        scratch(spark, "incoming"), scratch(spark, "progress"), trigger_seconds=None
+        scratch(spark, "incoming"), scratch(spark, "progress"), trigger_seconds=None, name=name
     )
-    feed = raw_feed(spark, sf_dir)
-    early = F.col("file_no") <= LAST_FILE_OF_FIRST_WAVE
-    for wave in (early, ~early):
-        files.write_event_files(feed.where(wave), job.input_dir)
+    for wave in _waves(spark, sf_dir, empty_wave):
+        files.write_event_files(wave, job.input_dir)
         run(job).awaitTermination()
+    remove(spark, job.input_dir)
     return job
 
 
@@ -290,21 +330,17 @@ def stream_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_unique_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "events")
-
-    def run(job: jobs.StreamJob):
-        partitions = partitions_for(spark, job.input_dir)
-        return jobs.start_unique_files(spark, job, path, True, partitions)
-
-    _deliver(spark, sf_dir, run)
+    _deliver(spark, sf_dir, lambda job: jobs.start_unique_files(spark, job, path))
     return comparable(read_table(spark, path))
 
 
 @query
 def stream_batch_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that are unique each, in folders of their own; copies come again later."""
     table = files.BatchTable(spark, scratch(spark, "batches"))
     write = batches.to_table(table)
     _deliver(spark, sf_dir, lambda job: jobs.start_batches(spark, job, write))
-    return comparable(table.read(spark))
+    return comparable(table.read(spark), "batch_id")
 
 
 @query
@@ -320,14 +356,11 @@ def stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One pass, two targets: a file table unique per batch, a database unique over all."""
     folder = files.BatchTable(spark, scratch(spark, "batches"))
     database, table = _database(spark)
-    write = batches.to_all(
-        batches.to_table(folder, across_batches=False), batches.merge_into(database, table)
-    )
+    write = batches.to_all(batches.to_table(folder), batches.merge_into(database, table))
     _deliver(spark, sf_dir, lambda job: jobs.start_batches(spark, job, write))
-    counts = {"files": folder.read(spark), "database": _stored(spark, database, table)}
+    sinks = {"files": folder.read(spark), "database": _stored(spark, database, table)}
     first, second = (
-        report.row_count(rows).select(F.lit(name).alias("sink"), "n")
-        for name, rows in counts.items()
+        comparable(rows).withColumn("sink", F.lit(name)) for name, rows in sinks.items()
     )
     return first.unionAll(second)
 
@@ -339,9 +372,15 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = files.BatchTable(spark, scratch(spark, "batches"))
     write = batches.to_table(table)
     _deliver(spark, sf_dir, lambda job: jobs.start_split(spark, job, write, rejected))
-    reasons = rejected.read(spark).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
-    stored = report.row_count(table.read(spark)).select(F.lit("stored").alias("reason"), "n")
-    return reasons.unionAll(stored)
+    texts = [F.col(name).cast("string").alias(name) for name in RAW_COLUMNS if name != "price"]
+    stored = table.read(spark).withColumns(
+        {"event_time": F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")}
+    )
+    parts = [
+        rejected.read(spark).select(*texts, "batch_id", "reason"),
+        stored.select(*texts, "batch_id", F.lit("stored").alias("reason")),
+    ]
+    return parts[0].unionAll(parts[1])
 
 
 @query
@@ -358,20 +397,52 @@ def replay_after_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(_stored(spark, database, table))
 
 
-def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _metrics(spark: SparkSession, sf_dir: str, empty_wave: bool = False) -> DataFrame:
     path = scratch(spark, "metrics")
     table = files.BatchTable(spark, scratch(spark, "batches"))
-    write = batches.to_table(table, across_batches=False)
-    metrics = MetricsLog(path)
-    _deliver(spark, sf_dir, lambda job: jobs.start_batches(spark, job, write, metrics))
+    write, metrics = batches.to_table(table), MetricsLog(path)
+    _deliver(
+        spark, sf_dir, lambda job: jobs.start_batches(spark, job, write, metrics), empty_wave
+    )
     return read_metrics(spark, path)
 
 
 @query
 def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per batch. Any batch takes longer than a trigger interval of zero."""
-    behind = report.falling_behind(_metrics(spark, sf_dir), trigger_seconds=0)
-    return behind.select("batch_id", "rows", "behind")
+    """Rows per batch. One batch has no valid row: it writes nothing and is noted as skipped."""
+    found = _metrics(spark, sf_dir, empty_wave=True)
+    timed = (F.col("seconds") > 0) & (F.col("rows_per_s") > 0)
+    return found.select("batch_id", "rows", "skipped", timed.alias("timed"))
+
+
+@query
+def trigger_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The triggers that had input, from Spark's progress; none of them took an hour.
+
+    How many rows a trigger read depends on which filters the scan takes, so it is not compared.
+    """
+    path, name = scratch(spark, "triggers"), f"progress_{uuid.uuid4().hex}"
+    table = files.BatchTable(spark, scratch(spark, "batches"))
+    listener, write = ProgressLog(spark, path, name), batches.to_table(table)
+    spark.streams.addListener(listener)
+    try:
+        _deliver(spark, sf_dir, lambda job: jobs.start_batches(spark, job, write), name=name)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    finally:
+        spark.streams.removeListener(listener)
+    triggers = report.falling_behind(read_triggers(spark, path), interval=3600)
+    return triggers.select("batch_id", (F.col("input_rows") > 0).alias("had_input"), "behind")
+
+
+@query
+def days_behind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Falling behind with a threshold that some rows pass: each day's span as a duration."""
+    seconds = F.unix_micros("event_time") / 1_000_000
+    days = _clean(spark, sf_dir).groupBy(F.to_date("event_time").alias("day")).agg(
+        F.count(F.lit(1)).alias("input_rows"), (F.max(seconds) - F.min(seconds)).alias("trigger_s")
+    )
+    late = report.falling_behind(days, DAY_SECONDS)
+    return late.select(F.col("day").cast("string").alias("day"), "input_rows", "behind")
 
 
 @query
@@ -380,11 +451,20 @@ def metrics_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.summarise_batches(_metrics(spark, sf_dir)).where("measure = 'rows'")
 
 
+@query
+def latest_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest by ingest time: rows of the last batch share it, so the key decides."""
+    path = scratch(spark, "events")
+    _deliver(spark, sf_dir, lambda job: jobs.start_unique_files(spark, job, path))
+    newest = report.latest(read_table(spark, path))
+    return newest.select("event_id", "action", "product_id", "source")
+
+
 @query
 def stored_at_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each batch has one ingest time."""
     table = files.BatchTable(spark, scratch(spark, "batches"))
-    write = batches.to_table(table, across_batches=False)
+    write = batches.to_table(table)
     _deliver(spark, sf_dir, lambda job: jobs.start_batches(spark, job, write))
     per_time = table.read(spark).groupBy("batch_id", INGEST_TIME).agg(F.lit(1).alias("one"))
     return per_time.groupBy("batch_id").agg(F.count(INGEST_TIME).alias("times"))

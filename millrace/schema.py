@@ -32,12 +32,17 @@ ACTIONS = ("view", "purchase")
 
 KEY = "event_id"
 INGEST_TIME = "stored_at"
+# Folders of a table that is laid out for lookups.
+DAY = "event_date"
 
 # Columns a stored row must have a value in (the ingest time has a default).
 REQUIRED = ("event_id", "event_time", "user_id", "action", "product_id")
 
 RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS])
 
+# Where readers of event files keep a line that has too few or too many fields.
+MALFORMED = "malformed"
+
 
 def event_columns(ingest_time: str = INGEST_TIME) -> list[str]:
     """Column order of the stored table; the ingest time follows the event time."""

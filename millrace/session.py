@@ -30,48 +30,50 @@ def session(app_name: str = "millrace", **extra: str) -> SparkSession:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, unused path under the folder that the cluster names in spark.checkpoint.dir.
 
-    Only where the session names none (tests on one machine) a temporary folder is used,
-    and the session keeps it for the next call.
+    Only where the session names none and runs in one process (tests) a temporary folder is
+    used, and the session keeps it for the next call. Elsewhere that is an error: executors
+    would each write to a disk of their own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         base = "file:" + tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
 
 
 @contextmanager
-def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    """Session settings for the time of a block. A streaming query keeps those it started with."""
-    before = {name: spark.conf.get(name, None) for name in values}
-    for name, value in values.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[SparkSession]:
+    """A session of its own with other settings; the given one keeps what it has.
+
+    Two jobs started at the same time do not see each other's. A streaming query keeps the
+    settings of the session that it was started from.
+    """
+    own = spark.newSession()
+    for name, value in {**spark.conf.getAll, **values}.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    yield own
 
 
 @contextmanager
 def kept(rows: DataFrame) -> Iterator[DataFrame]:
-    """Rows that several steps need, computed once and dropped after the block.
-
-    The setting lets Spark merge small shuffle partitions of the kept rows as it does elsewhere;
-    otherwise a small batch would be written as one file per shuffle partition.
-    """
-    adaptive = {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true"}
-    with settings(rows.sparkSession, adaptive):
-        cached = rows.persist()
+    """Rows that several steps need, computed once and dropped after the block."""
+    cached = rows.persist()
     try:
         yield cached
     finally:
         cached.unpersist()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate rows."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def partitions_for(spark: SparkSession, path: str, bytes_each: int = 256 * 2**20) -> int:
     """How many partitions suit the files under a folder: by size, and at least one per core."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

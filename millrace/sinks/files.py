@@ -7,20 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.schema import (
+    DAY,
     INGEST_TIME,
-    KEY,
+    MALFORMED,
     RAW_COLUMNS,
     RAW_SCHEMA,
     event_columns,
     event_schema,
 )
-
-DAY = "event_date"
+from millrace.sources.files import QUOTING
 
 
 def write_event_files(raw: DataFrame, path: str, mode: str = "append") -> None:
     """Raw rows as CSV files with a header; a file appears only once it is complete."""
-    raw.select(*RAW_COLUMNS).write.mode(mode).option("header", True).csv(path)
+    raw.select(*RAW_COLUMNS).write.mode(mode).option("header", True).options(**QUOTING).csv(path)
 
 
 def write_arrivals(feed: DataFrame, path: str) -> None:
@@ -30,7 +30,7 @@ def write_arrivals(feed: DataFrame, path: str) -> None:
     much of the feed into several of the advisory size, so no task writes a hot one alone.
     """
     rows = feed.hint("rebalance", "file_no")
-    rows.write.partitionBy("file_no").option("header", True).csv(path)
+    rows.write.partitionBy("file_no").option("header", True).options(**QUOTING).csv(path)
 
 
 def write_lookup_table(events: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -64,7 +64,8 @@ def append_to_table(events: DataFrame, name: str) -> None:
 
 def reject_schema(ingest_time: str = INGEST_TIME) -> T.StructType:
     """Schema of rejected rows: as they arrived, when they did, and the rule they broke."""
-    return T.StructType([*RAW_SCHEMA.fields]).add(ingest_time, "timestamp").add("reason", "string")
+    fields = T.StructType([*RAW_SCHEMA.fields]).add(MALFORMED, "string")
+    return fields.add(ingest_time, "timestamp").add("reason", "string")
 
 
 class BatchTable:
@@ -87,10 +88,9 @@ class BatchTable:
         """All batches, with their `batch_id`."""
         return spark.read.schema(self.schema).parquet(self.path)
 
-    def keys_outside(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """Keys stored by the other batches; the batch's own folder is not read."""
-        return self.read(spark).where(F.col("batch_id") != batch_id).select(KEY)
-
     def replace(self, rows: DataFrame, batch_id: int) -> None:
-        """Write a batch in place of what an earlier attempt left."""
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        """Write a batch in place of what an earlier attempt left.
+
+        Rebalancing gives a small batch one file, however many tasks its rows come from.
+        """
+        rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")

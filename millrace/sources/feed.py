@@ -18,7 +18,8 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     Product attributes are looked up per event. The product table grows with the data, so no
     broadcast is forced: Spark broadcasts it while its size allows and otherwise joins by key,
     splitting hot products at run time. A re-delivered copy is a second element of the file
-    list, so the events are read and joined once.
+    list, so the events are read and joined once; copies name another source than the first
+    delivery, which shows which of them a path keeps.
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     products = spark.read.parquet(f"{sf_dir}/part.parquet")
@@ -43,7 +44,10 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "action": F.col("event_type"),
         "product_id": F.col("p_partkey").cast("string"),
-        "product_name": F.col("p_name"),
+        # Some names hold quotes, doubled quotes, commas and a comma within quotes.
+        "product_name": F.when(
+            number % 13 == 0, F.concat(F.col("p_name"), F.lit(' 27", "black", size ""L""'))
+        ).otherwise(F.col("p_name")),
         "category": F.col("p_type"),
         "price": F.when(purchase & (number % 83 != 0), price),
         "quantity": F.when(purchase, (number % 5 + 1).cast("string")),
@@ -53,6 +57,8 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = F.when(event_id.endswith("7"), F.array(first, F.lit(LATE_FILE))).otherwise(
         F.array(first)
     )
-    return found.select(
+    rows = found.select(
         *(values[name].alias(name) for name in RAW_COLUMNS), F.explode(files).alias("file_no")
     )
+    late = F.when(F.col("file_no") == LATE_FILE, "app").otherwise(F.col("source"))
+    return rows.withColumn("source", late)

@@ -3,13 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from millrace.schema import RAW_SCHEMA
+from millrace.schema import MALFORMED, RAW_SCHEMA
 
+# A quote within a quoted field is doubled, as most writers of CSV do.
+QUOTING = {"quote": '"', "escape": '"'}
+# A line with too few or too many fields is kept whole in this column.
+SCHEMA = T.StructType([*RAW_SCHEMA.fields]).add(MALFORMED, "string")
 
-def _csv_options(strict_header: bool) -> dict[str, str]:
+
+def _csv_options(strict_header: bool, multi_line: bool) -> dict[str, str]:
     return {
         "header": "true",
+        **QUOTING,
+        # Line breaks within quotes. Such files are read by one task each, so off by default.
+        "multiLine": str(multi_line).lower(),
+        "mode": "PERMISSIVE",
+        # The width of a line shows only when all its fields are parsed.
+        "columnPruning": "false",
+        "columnNameOfCorruptRecord": MALFORMED,
         # Only finished files: writers may leave others in the watched folder.
         "pathGlobFilter": "*.csv",
         "recursiveFileLookup": "true",
@@ -18,9 +31,15 @@ def _csv_options(strict_header: bool) -> dict[str, str]:
     }
 
 
-def read_events(spark: SparkSession, path: str, strict_header: bool = False) -> DataFrame:
-    """All event files under a folder, every column as text."""
-    return spark.read.schema(RAW_SCHEMA).options(**_csv_options(strict_header)).csv(path)
+def read_events(
+    spark: SparkSession, path: str, strict_header: bool = False, multi_line: bool = False
+) -> DataFrame:
+    """All event files under a folder, every column as text.
+
+    `malformed` holds the line where its number of fields is not that of the columns, else NULL.
+    """
+    options = _csv_options(strict_header, multi_line)
+    return spark.read.schema(SCHEMA).options(**options).csv(path)
 
 
 def watch_events(
@@ -29,6 +48,7 @@ def watch_events(
     max_files: int | None = None,
     max_bytes: str | None = None,
     strict_header: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """The folder as a stream: each file is read once per checkpoint.
 
@@ -37,7 +57,7 @@ def watch_events(
     """
     limits = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
     limits = {name: value for name, value in limits.items() if value is not None}
-    reader = spark.readStream.schema(RAW_SCHEMA).options(**_csv_options(strict_header))
+    reader = spark.readStream.schema(SCHEMA).options(**_csv_options(strict_header, multi_line))
     return reader.options(**limits).csv(path)
 
 

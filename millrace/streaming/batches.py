@@ -3,35 +3,70 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.connection import Database
 from millrace.operators.clean import clean, rejects
-from millrace.operators.dedup import not_stored, one_per_key
+from millrace.operators.dedup import one_per_key
 from millrace.schema import INGEST_TIME
 from millrace.session import kept
 from millrace.sinks import database as db
 from millrace.sinks.files import BatchTable
 from millrace.streaming.metrics import BatchMetric, MetricsLog
 
-# Writes the deduplicated rows of a batch and returns how many it wrote.
-Writer = Callable[[DataFrame, int], int]
 
+class Batch(NamedTuple):
+    """A micro-batch: its number and the stream it belongs to, the same when it is replayed."""
 
-def batch_callback(write: Writer, metrics: MetricsLog) -> Callable[[DataFrame, int], None]:
+    number: int
+    stream: str
+
+
+# Writes the deduplicated rows of a batch and returns how many the batch added.
+Writer = Callable[[DataFrame, Batch], int]
+Handler = Callable[[DataFrame, int], None]
+
+
+def stream_id(rows: DataFrame, checkpoint_dir: str) -> str:
+    """The identity that a checkpoint gives its stream; it outlives restarts."""
+    return rows.sparkSession.read.text(f"{checkpoint_dir}/metadata").first()[0]
+
+
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution while a batch is written, also in a stream whose own plan has none.
+
+    Streams with state plan without it. What is done with a batch's rows is an ordinary job, and
+    should merge small partitions, or a small batch ends in as many files as there are of state.
+    """
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def batch_callback(write: Writer, metrics: MetricsLog, checkpoint_dir: str) -> Handler:
     """A callback for foreachBatch. The time covers dedup and write, not the emptiness test."""
+    named: list[str] = []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if not named:
+            named.append(stream_id(batch, checkpoint_dir))
         if batch.isEmpty():
-            metrics.skipped(batch_id)
+            metrics.add(batch.sparkSession, batch_id, BatchMetric(0, 0.0, skipped=True))
             return
         start = time.monotonic()
-        rows = write(one_per_key(batch), batch_id)
-        metric = BatchMetric(batch_id, rows, time.monotonic() - start)
-        metrics.add(batch.sparkSession, metric)
+        with adaptive(batch.sparkSession):
+            rows = write(one_per_key(batch), Batch(batch_id, named[0]))
+        metrics.add(batch.sparkSession, batch_id, BatchMetric(rows, time.monotonic() - start))
 
     return handle
 
@@ -40,60 +75,58 @@ def split_callback(
     write: Writer,
     rejected: BatchTable,
     metrics: MetricsLog,
+    checkpoint_dir: str,
     ingest_time: str = INGEST_TIME,
     strict_time: bool = False,
-) -> Callable[[DataFrame, int], None]:
+) -> Handler:
     """A callback for raw batches: valid rows go on to `write`, the others to `rejected`.
 
     The batch is kept while both halves are written, so its files are parsed once.
     """
-    handle = batch_callback(write, metrics)
+    handle = batch_callback(write, metrics, checkpoint_dir)
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        with kept(batch) as raw:
+        with adaptive(batch.sparkSession), kept(batch) as raw:
             rejected.replace(rejects(raw, strict_time), batch_id)
             handle(clean(raw, ingest_time, strict_time), batch_id)
 
     return split
 
 
-def to_table(table: BatchTable, across_batches: bool = True) -> Writer:
+def to_table(table: BatchTable) -> Writer:
     """Write a batch to its folder of a Parquet table; rows are counted while they are written.
 
-    With `across_batches`, rows whose key an other batch stored are left out. That reads the
-    key column of the whole table per batch: right for a few large batches. For many small
-    ones, drop repeated keys in the stream (`first_seen`) and set it to False.
+    Keys of other batches are not looked at: a stream that drops repeated keys before
+    (`start_batches(unique=True)`) makes them unique over all batches, at a cost per batch that
+    does not grow with the table.
     """
 
-    def write(rows: DataFrame, batch_id: int) -> int:
-        if not across_batches:
-            return put(rows, batch_id)
-        with kept(rows) as own:  # both the comparison and the write need it
-            own.count()  # now Spark knows its size, and sends few keys instead of shuffling all
-            return put(not_stored(own, table.keys_outside(own.sparkSession, batch_id)), batch_id)
-
-    def put(rows: DataFrame, batch_id: int) -> int:
+    def write(rows: DataFrame, batch: Batch) -> int:
         counted = Observation()
-        table.replace(rows.observe(counted, F.count(F.lit(1)).alias("n")), batch_id)
+        table.replace(rows.observe(counted, F.count(F.lit(1)).alias("n")), batch.number)
         return counted.get["n"]
 
     return write
 
 
-def append_to(database: Database, table: str) -> Writer:
+def append_to(
+    database: Database, table: str, connections: int = db.CONNECTIONS
+) -> Writer:
     """Insert into a database table; a key of an earlier batch fails the batch as a whole."""
 
-    def write(rows: DataFrame, batch_id: int) -> int:
-        return db.merge(rows, database, table, skip_known=False)
+    def write(rows: DataFrame, batch: Batch) -> int:
+        return db.merge(rows, database, table, False, connections, batch)
 
     return write
 
 
-def merge_into(database: Database, table: str) -> Writer:
+def merge_into(
+    database: Database, table: str, connections: int = db.CONNECTIONS
+) -> Writer:
     """Insert the rows whose key is new; replays and repeated deliveries add nothing."""
 
-    def write(rows: DataFrame, batch_id: int) -> int:
-        return db.merge(rows, database, table)
+    def write(rows: DataFrame, batch: Batch) -> int:
+        return db.merge(rows, database, table, True, connections, batch)
 
     return write
 
@@ -104,8 +137,8 @@ def to_all(*writers: Writer) -> Writer:
     The count reported is that of the first target.
     """
 
-    def write(rows: DataFrame, batch_id: int) -> int:
+    def write(rows: DataFrame, batch: Batch) -> int:
         with kept(rows) as shared:
-            return [writer(shared, batch_id) for writer in writers][0]
+            return [writer(shared, batch) for writer in writers][0]
 
     return write

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.operators.clean import clean
-from millrace.schema import INGEST_TIME, KEY
+from millrace.schema import INGEST_TIME, KEY, event_schema
 from millrace.session import settings
 from millrace.sinks.files import BatchTable
 from millrace.sources.files import watch_events
-from millrace.streaming.batches import Writer, batch_callback, split_callback
+from millrace.streaming.batches import Writer, batch_callback, split_callback, to_table
 from millrace.streaming.metrics import MetricsLog
 
 STATE_STORE = {
@@ -40,11 +40,20 @@ class StreamJob:
     ingest_time: str = INGEST_TIME
     strict_time: bool = False
     strict_header: bool = False
+    # Line breaks within quoted fields; files are then not split.
+    multi_line: bool = False
+    # For the progress that a listener sees.
+    name: str | None = None
 
     def raw(self, spark: SparkSession) -> DataFrame:
         """The stream as it arrives."""
         return watch_events(
-            spark, self.input_dir, self.max_files, self.max_bytes, self.strict_header
+            spark,
+            self.input_dir,
+            self.max_files,
+            self.max_bytes,
+            self.strict_header,
+            self.multi_line,
         )
 
     def events(self, spark: SparkSession) -> DataFrame:
@@ -59,6 +68,8 @@ class StreamJob:
     def started(self, events: DataFrame) -> DataStreamWriter:
         """A writer for `events` with this job's output mode, checkpoint and trigger."""
         writer = events.writeStream.outputMode("append")
+        if self.name:
+            writer = writer.queryName(self.name)
         return self.trigger(writer.option("checkpointLocation", self.checkpoint_dir))
 
 
@@ -70,18 +81,16 @@ def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.take(pa.array(np.sort(first)))
 
 
-def first_seen(events: DataFrame, thin: bool = False, late_by: str | None = None) -> DataFrame:
+def first_seen(events: DataFrame, thin: bool = True) -> DataFrame:
     """Drop repeated keys across all batches, with the keys seen so far as stream state.
 
-    Work per batch grows with the batch, not with the table. `thin` drops copies within each
-    Arrow batch before the shuffle, for feeds in which one key may fill much of a batch. Without
-    `late_by` every key is remembered and the result is exact; with it, keys are forgotten once
-    the event time has moved on by that much, so a later copy needs a target that checks keys.
+    Every key is remembered, so the result is exact whatever the order of event times, and work
+    per batch grows with the batch, not with the table. A key's row is that of the first batch
+    that brings it; which of several copies within that batch is not defined. `thin` drops
+    copies within each Arrow batch before the shuffle, as a key may fill much of a batch.
     """
     if thin:
         events = events.mapInArrow(_thin, events.schema)
-    if late_by:
-        return events.withWatermark("event_time", late_by).dropDuplicatesWithinWatermark([KEY])
     return events.dropDuplicates([KEY])
 
 
@@ -90,23 +99,24 @@ def start_files(spark: SparkSession, job: StreamJob, path: str) -> StreamingQuer
     return job.started(job.events(spark)).format("parquet").start(path)
 
 
+def _unique(spark: SparkSession, state_partitions: int | None) -> dict[str, str]:
+    """Settings of a stream with state; the first start of a checkpoint fixes the partitions."""
+    partitions = state_partitions or spark.sparkContext.defaultParallelism
+    return STATE_STORE | {"spark.sql.shuffle.partitions": str(partitions)}
+
+
 def start_unique_files(
-    spark: SparkSession,
-    job: StreamJob,
-    path: str,
-    thin: bool = False,
-    state_partitions: int | None = None,
+    spark: SparkSession, job: StreamJob, path: str, state_partitions: int | None = None
 ) -> StreamingQuery:
-    """Events to Parquet, each key exactly once.
+    """Events to a Parquet table by batch, each key exactly once.
 
-    The number of state partitions is fixed by the first start of a checkpoint: choose it for
-    the keys to come. Without it the session's shuffle partitions count.
+    Without a number, there are as many state partitions as cores; choose more for many keys.
+    A small batch becomes one file.
     """
-    values = dict(STATE_STORE)
-    if state_partitions:
-        values["spark.sql.shuffle.partitions"] = str(state_partitions)
-    with settings(spark, values):
-        return job.started(first_seen(job.events(spark), thin)).format("parquet").start(path)
+    table = BatchTable(spark, path, event_schema(job.ingest_time))
+    return start_batches(
+        spark, job, to_table(table), unique=True, state_partitions=state_partitions
+    )
 
 
 def start_console(spark: SparkSession, job: StreamJob, rows: int = 20) -> StreamingQuery:
@@ -116,11 +126,23 @@ def start_console(spark: SparkSession, job: StreamJob, rows: int = 20) -> Stream
 
 
 def start_batches(
-    spark: SparkSession, job: StreamJob, write: Writer, metrics: MetricsLog | None = None
+    spark: SparkSession,
+    job: StreamJob,
+    write: Writer,
+    metrics: MetricsLog | None = None,
+    unique: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Deduplicate each micro-batch and hand it to `write`."""
-    handle = batch_callback(write, metrics or MetricsLog())
-    return job.started(job.events(spark)).foreachBatch(handle).start()
+    """Deduplicate each micro-batch and hand it to `write`.
+
+    With `unique`, keys of earlier batches are dropped as well (`first_seen`).
+    """
+    handle = batch_callback(write, metrics or MetricsLog(), job.checkpoint_dir)
+    events = job.events(spark)
+    if not unique:
+        return job.started(events).foreachBatch(handle).start()
+    with settings(spark, _unique(spark, state_partitions)) as own:
+        return job.started(first_seen(job.events(own))).foreachBatch(handle).start()
 
 
 def start_split(
@@ -136,7 +158,12 @@ def start_split(
     """
     raw = job.raw(spark).withColumn(job.ingest_time, F.current_timestamp())
     handle = split_callback(
-        write, rejected, metrics or MetricsLog(), job.ingest_time, job.strict_time
+        write,
+        rejected,
+        metrics or MetricsLog(),
+        job.checkpoint_dir,
+        job.ingest_time,
+        job.strict_time,
     )
     return job.started(raw).foreachBatch(handle).start()
 

@@ -1,12 +1,14 @@
-"""One row of metrics per micro-batch."""
+"""Rows of metrics: one per micro-batch, and one per trigger from Spark's own progress."""
 
 from __future__ import annotations
 
+import json
 import logging
+import threading
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQueryListener
 
 log = logging.getLogger("millrace")
 
@@ -14,54 +16,133 @@ log = logging.getLogger("millrace")
 WRITTEN = "batch %d: %d rows | %.2fs | %.1f rows/s"
 SKIPPED = "batch %d: 0 rows (skipped)"
 
-METRICS_SCHEMA = "batch_id long, rows long, seconds double, rows_per_s double"
+METRICS_SCHEMA = "batch_id long, rows long, seconds double, rows_per_s double, skipped boolean"
+TRIGGERS_SCHEMA = "batch_id long, input_rows long, trigger_s double, rows_per_s double"
+
+# Batches whose rows share a file: at a batch every 5 seconds, 18 files a day.
+BATCHES_PER_FILE = 1000
+
+
+class RowLog:
+    """Rows by batch number, as JSON lines in few files, written by the driver.
+
+    The file of a group of batches is replaced as a whole when a row is added, under a temporary
+    name first, so a reader never sees half of it and a replayed batch replaces its row.
+    """
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+        self.group: int | None = None
+        self.rows: dict[int, dict] = {}
+        self.lock = threading.Lock()
+
+    def put(self, spark: SparkSession, batch_id: int, row: dict) -> None:
+        with self.lock:
+            group = batch_id // BATCHES_PER_FILE
+            name = f"{self.path}/batches_{group:08d}.json"
+            if group != self.group:
+                self.rows = {r["batch_id"]: r for r in map(json.loads, _lines(spark, name))}
+                self.group = group
+            self.rows[batch_id] = {"batch_id": batch_id, **row}
+            _replace(spark, name, [json.dumps(self.rows[n]) for n in sorted(self.rows)])
+
+
+def _store(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _lines(spark: SparkSession, name: str) -> list[str]:
+    """Lines of one small file, none if it is not there."""
+    store, path = _store(spark, name)
+    if not store.exists(path):
+        return []
+    stream = store.open(path)
+    try:
+        content = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return content.splitlines()
+
+
+def _replace(spark: SparkSession, name: str, lines: list[str]) -> None:
+    store, path = _store(spark, name)
+    _, hidden = _store(spark, f"{name.rpartition('/')[0]}/_new_{name.rpartition('/')[2]}")
+    stream = store.create(hidden, True)
+    try:
+        stream.write(bytearray(("\n".join(lines) + "\n").encode()))
+    finally:
+        stream.close()
+    if not store.rename(hidden, path):  # stores that do not rename onto a file
+        store.delete(path, False)
+        store.rename(hidden, path)
 
 
 @dataclass(frozen=True)
 class BatchMetric:
     """What one batch wrote and how long deduplicating and writing took."""
 
-    batch_id: int
     rows: int
     seconds: float
+    skipped: bool = False
 
     @property
     def rows_per_s(self) -> float:
         return self.rows / self.seconds if self.seconds > 0 else float(self.rows)
 
-    def record(self) -> dict:
-        return asdict(self) | {"rows_per_s": self.rows_per_s}
-
 
 class MetricsLog:
-    """Logs every batch and, if given a folder, keeps its row there.
-
-    A replayed batch replaces its row.
-    """
+    """Logs every batch, also a skipped one, and keeps its row if given a folder."""
 
     def __init__(self, path: str | None = None) -> None:
-        self.path = path
+        self.rows = RowLog(path) if path else None
 
-    def add(self, spark: SparkSession, metric: BatchMetric) -> None:
-        log.info(WRITTEN, metric.batch_id, metric.rows, metric.seconds, metric.rows_per_s)
-        if self.path:
-            row = spark.createDataFrame([metric.record()], METRICS_SCHEMA)
-            row.write.mode("overwrite").json(f"{self.path}/batch_{metric.batch_id}")
-
-    def skipped(self, batch_id: int) -> None:
-        log.info(SKIPPED, batch_id)
+    def add(self, spark: SparkSession, batch_id: int, metric: BatchMetric) -> None:
+        if metric.skipped:
+            log.info(SKIPPED, batch_id)
+        else:
+            log.info(WRITTEN, batch_id, metric.rows, metric.seconds, metric.rows_per_s)
+        if self.rows:
+            row = asdict(metric) | {"rows_per_s": metric.rows_per_s}
+            self.rows.put(spark, batch_id, row)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """The rows a `MetricsLog` kept."""
-    return spark.read.schema(METRICS_SCHEMA).option("recursiveFileLookup", True).json(path)
+    return spark.read.schema(METRICS_SCHEMA).json(path)
+
+
+class ProgressLog(StreamingQueryListener):
+    """Keeps the figures of every trigger of one query that had input, from its start to its end.
+
+    Add it before the query starts (`spark.streams.addListener`). Spark itself remembers only
+    the last hundred triggers.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, name: str | None = None) -> None:
+        super().__init__()
+        self.spark, self.name, self.rows = spark, name, RowLog(path)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        made = event.progress
+        if made.numInputRows and self.name in (None, made.name):
+            row = {
+                "input_rows": made.numInputRows,
+                "trigger_s": made.durationMs["triggerExecution"] / 1000,
+                "rows_per_s": made.processedRowsPerSecond,
+            }
+            self.rows.put(self.spark, made.batchId, row)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
-def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Spark's own figures for the last batches: rows read, and seconds of the whole trigger."""
-    rows = [
-        (p.batchId, p.numInputRows, p.durationMs["triggerExecution"] / 1000, p.processedRowsPerSecond)
-        for p in query.recentProgress  # bounded by spark.sql.streaming.numRecentProgressUpdates
-        if p.numInputRows
-    ]
-    return spark.createDataFrame(rows, METRICS_SCHEMA)
+def read_triggers(spark: SparkSession, path: str) -> DataFrame:
+    """The rows a `ProgressLog` kept."""
+    return spark.read.schema(TRIGGERS_SCHEMA).json(path)

@@ -34,9 +34,9 @@ GOOD = {
     "event_time": "2026-01-05T10:15:30.123456+00:00",
     "user_id": "1",
     "action": "view",
-    "product_id": "1001",
-    "product_name": "Rice (5kg)",
-    "category": "Groceries",
+    "product_id": "17",
+    "product_name": "Teapot (blue)",
+    "category": "Kitchen",
     "price": None,
     "quantity": None,
     "source": "web",

@@ -64,6 +64,17 @@ def test_to_database_keeps_rejects_and_metrics(spark, put_csv, tmp_path, store):
     assert read_metrics(spark, str(tmp_path / "metrics")).first()["rows"] == 1
 
 
+def test_layout(spark, put_csv, tmp_path):
+    folder = put_csv("1.csv", {"event_id": "a"}, {"event_id": "a"}, {"event_id": "b"})
+    out, laid = str(tmp_path / "out"), str(tmp_path / "laid")
+    command = ["to-files", "--input_dir", folder, "--parquet_out", out, "--once", "--unique"]
+    cli.main([*command, "--checkpoint_dir", str(tmp_path / "progress")], spark)
+    cli.main(["layout", "--parquet_in", out, "--parquet_out", laid], spark)
+    found = read_table(spark, laid)
+    assert "event_date" in found.columns and "batch_id" not in found.columns
+    assert sorted(row.event_id for row in found.collect()) == ["a", "b"]
+
+
 def test_limits_exclude_each_other(capsys):
     with pytest.raises(SystemExit):
         cli.main(["to-files", "--checkpoint_dir", "x", "--max_files", "1", "--max_bytes", "1g"])

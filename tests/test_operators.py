@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 from millrace.operators import report
 from millrace.operators.audit import audit, require_clean
 from millrace.operators.clean import clean
-from millrace.operators.dedup import not_stored, one_per_key
-from millrace.session import kept
-from millrace.session import settings as changed
+from millrace.operators.dedup import one_per_key
 
 # Recorded batches (rows, seconds, rows per second) of a published run with a
 # trigger of ten seconds.
@@ -75,28 +73,6 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert plan.index("min(") < plan.index("Exchange") < plan.rindex("partial_min(")
 
 
-def test_not_stored(spark):
-    rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "event_id string, n int")
-    stored = spark.createDataFrame([("b",), ("x",)], "event_id string")
-    assert {r.event_id for r in not_stored(rows, stored).collect()} == {"a", "c"}
-    assert not_stored(rows, stored.where("false")).count() == 3
-
-
-def test_stored_keys_are_not_shuffled_for_a_small_batch(spark, raw, tmp_path):
-    path = str(tmp_path / "stored")
-    spark.range(400_000).select(F.concat(F.lit("key "), "id").alias("event_id")).write.parquet(path)
-    batch = one_per_key(clean(raw({"event_id": "key 7"}, {"event_id": "new"})))
-    with changed(spark, {"spark.sql.autoBroadcastJoinThreshold": "100KB"}), kept(batch) as rows:
-        assert rows.count() == 2
-        new = not_stored(rows, spark.read.parquet(path))
-        plan = new._jdf.queryExecution().executedPlan().toString()
-        assert [row.event_id for row in new.collect()] == ["new"]
-    above_scan = plan[: plan.index("FileScan")].splitlines()
-    below_semi = above_scan[[("LeftSemi" in line) for line in above_scan].index(True) :]
-    assert "BroadcastHashJoin" in below_semi[0]
-    assert not any("Exchange hashpartitioning" in line for line in below_semi)
-
-
 def violations(frame):
     return {row.constraint_name: row.violations for row in frame.collect()}
 
@@ -167,10 +143,12 @@ def test_summary_of_the_recorded_run(recorded):
 
 
 def test_falling_behind(spark, recorded):
-    assert report.falling_behind(recorded, 10).where("behind").count() == 0
+    triggers = recorded.withColumnRenamed("seconds", "trigger_s")
+    assert report.falling_behind(triggers, 10).where("behind").count() == 0
     # The recorded catch-up batch, trigger of five seconds.
-    backlog = spark.createDataFrame([(0, 87694, 9.19, 9539.7)], recorded.schema)
+    backlog = spark.createDataFrame([(0, 87694, 9.19, 9539.7)], triggers.schema)
     assert report.falling_behind(backlog, 5).first()["behind"] is True
+    assert report.falling_behind(backlog, 9.19).first()["behind"] is False
 
 
 def test_recorded_counts(spark):

@@ -16,7 +16,13 @@ from millrace.sinks.files import BatchTable, reject_schema
 from millrace.sources.database import read_database
 from millrace.sources.files import read_events, read_table
 from millrace.streaming import batches, jobs
-from millrace.streaming.metrics import BatchMetric, MetricsLog, progress, read_metrics
+from millrace.streaming.metrics import (
+    BatchMetric,
+    MetricsLog,
+    ProgressLog,
+    read_metrics,
+    read_triggers,
+)
 
 
 @pytest.fixture
@@ -52,7 +58,7 @@ def failing_once(write, at: int):
 
     def wrapped(rows, batch_id):
         count = write(rows, batch_id)
-        if batch_id == at and not failed:
+        if batch_id.number == at and not failed:
             failed.append(batch_id)
             raise RuntimeError("lost")
         return count
@@ -92,10 +98,42 @@ def test_batches_are_bounded(spark, put_csv, job, tmp_path):
     per_batch = table.read(spark).groupBy("batch_id").agg(F.count_distinct("stored_at").alias("n"))
     assert {row.n for row in per_batch.collect()} == {1}
     assert recorded.where("seconds > 0 AND rows_per_s > 0").count() == 3
-    assert falling_behind(recorded, 0).where("behind").count() == 3
-    assert falling_behind(recorded, 3600).where("behind").count() == 0
-    seen = progress(spark, query)
-    assert seen.where("seconds > 0 AND rows > 0").count() == 3
+    assert len(list((tmp_path / "metrics").glob("*.json"))) == 1
+    assert query.exception() is None
+
+
+def test_progress_of_every_trigger_is_kept(spark, put_csv, job, tmp_path):
+    for n in range(4):
+        folder = put_csv(f"{n}.csv", {"event_id": f"e{n}"}, {"action": "click"})
+    path, named = str(tmp_path / "triggers"), f"p{uuid.uuid4().hex}"
+    listener = ProgressLog(spark, path, named)
+    spark.streams.addListener(listener)
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    table = BatchTable(spark, str(tmp_path / "table"))
+    try:
+        drain(spark, job(folder, max_files=1, name=named), batches.to_table(table))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+        spark.streams.removeListener(listener)
+    found = read_triggers(spark, path)
+    assert sorted(tuple(row) for row in found.select("batch_id", "input_rows").collect()) == [
+        (n, 2) for n in range(4)
+    ]
+    assert falling_behind(found, 0).where("behind").count() == 4
+    assert falling_behind(found, 3600).where("behind").count() == 0
+
+
+def test_a_replayed_row_replaces_its_own(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    MetricsLog(path).add(spark, 0, BatchMetric(7, 1.0))
+    again = MetricsLog(path)  # after a restart
+    again.add(spark, 1, BatchMetric(0, 0.0, skipped=True))
+    again.add(spark, 0, BatchMetric(9, 2.0))
+    again.add(spark, 1000, BatchMetric(1, 1.0))
+    rows = sorted(tuple(row) for row in read_metrics(spark, path).collect())
+    assert rows == [(0, 9, 2.0, 4.5, False), (1, 0, 0.0, 0.0, True), (1000, 1, 1.0, 1.0, False)]
 
 
 def test_small_batch_is_one_file(spark, put_csv, job, tmp_path):
@@ -142,9 +180,9 @@ def test_bytes_bound_a_batch(spark, put_csv, job, tmp_path):
 
 def test_metric_line(caplog, spark):
     with caplog.at_level("INFO", logger="millrace"):
-        MetricsLog().add(spark, BatchMetric(3, 124, 0.2))
+        MetricsLog().add(spark, 3, BatchMetric(124, 0.2))
     assert caplog.messages == ["batch 3: 124 rows | 0.20s | 620.0 rows/s"]
-    assert BatchMetric(0, 5, 0.0).rows_per_s == 5.0
+    assert BatchMetric(5, 0.0).rows_per_s == 5.0
 
 
 @pytest.mark.parametrize("kind", ["files", "database"])
@@ -157,14 +195,34 @@ def test_replayed_batch_leaves_its_rows_once(spark, put_csv, job, store, tmp_pat
         write, read = batches.to_table(table), lambda: table.read(spark)
     else:
         write, read = batches.merge_into(*store), lambda: read_database(spark, *store)
-    write = failing_once(write, at=1)
-    stream = job(folder, max_files=1)
+    write, stream = failing_once(write, at=1), job(folder, max_files=1)
+
+    def run():
+        start = jobs.start_batches(spark, stream, write, unique=kind == "files")
+        start.awaitTermination()
+
     with pytest.raises(StreamingQueryException, match="lost"):
-        drain(spark, stream, write)
-    drain(spark, stream, write)
+        run()
+    run()
     assert ids(read()) == ["a", "b", "c", "d"]
 
 
+def test_first_delivery_wins_over_batches(spark, put_csv, job, store, tmp_path):
+    put_csv("1.csv", {"event_id": "a", "source": "web"})
+    folder = put_csv("2.csv", {"event_id": "a", "source": "app"}, {"event_id": "b"})
+    table = BatchTable(spark, str(tmp_path / "table"))
+    jobs.start_batches(
+        spark, job(folder, "files", max_files=1), batches.to_table(table), unique=True
+    ).awaitTermination()
+    drain(spark, job(folder, "database", max_files=1), batches.merge_into(*store))
+    for rows in (table.read(spark), read_database(spark, *store)):
+        found = {row.event_id: row.source for row in rows.collect()}
+        assert set(found) == {"a", "b"} and found["a"] in ("web", "app")
+    assert {r.source for r in table.read(spark).where("event_id = 'a'").collect()} == {
+        r.source for r in read_database(spark, *store).where("event_id = 'a'").collect()
+    }
+
+
 def test_append_fails_on_a_key_of_an_earlier_batch(spark, put_csv, job, store):
     put_csv("1.csv", {"event_id": "a"}, {"event_id": "a"})
     folder = put_csv("2.csv", {"event_id": "a"})
@@ -186,7 +244,7 @@ def test_clean_rerun(spark, put_csv, job, store):
 def test_state_remembers_keys_over_restarts(spark, put_csv, job, tmp_path):
     out = str(tmp_path / "out")
     folder = put_csv("1.csv", *[{"event_id": "hot"}] * 300, {"event_id": "a"})
-    start = partial(jobs.start_unique_files, spark, thin=True, state_partitions=2)
+    start = partial(jobs.start_unique_files, spark, state_partitions=2)
     start(job(folder), out).awaitTermination()
     put_csv("2.csv", *[{"event_id": "hot"}] * 300, {"event_id": "b"})
     start(job(folder), out).awaitTermination()
@@ -200,13 +258,39 @@ def test_thinning_drops_copies_before_the_shuffle(spark, raw):
     assert ids(events.mapInArrow(jobs._thin, events.schema)) == ["a", "hot"]
 
 
-def test_bounded_state(spark, put_csv, job, tmp_path):
-    folder = put_csv("1.csv", {"event_id": "a"}, {"event_id": "a"})
-    stream = job(folder)
-    unique = jobs.first_seen(stream.events(spark), late_by="1 hour")
+def test_late_first_deliveries_are_kept(spark, put_csv, job, tmp_path):
+    """No event is ever late: an older time in a later file is as good as any."""
+    for n, at in enumerate(("2026-03-01", "2026-01-01", "2025-06-01", "2026-03-02")):
+        folder = put_csv(f"{n}.csv", {"event_id": f"e{n}", "event_time": at})
     out = str(tmp_path / "out")
-    stream.started(unique).format("parquet").start(out).awaitTermination()
-    assert ids(read_table(spark, out)) == ["a"]
+    jobs.start_unique_files(spark, job(folder, max_files=1), out).awaitTermination()
+    assert ids(read_table(spark, out)) == ["e0", "e1", "e2", "e3"]
+
+
+def test_unique_stream_writes_one_file_per_small_batch(spark, put_csv, job, tmp_path):
+    out = tmp_path / "out"
+    for n in range(3):
+        rows = [{"event_id": f"e{n}-{k}"} for k in range(125)] + [{"event_id": "again"}]
+        folder = put_csv(f"{n}.csv", *rows)
+    jobs.start_unique_files(spark, job(folder, max_files=1), str(out)).awaitTermination()
+    assert [len(list((out / f"batch_id={n}").glob("*.parquet"))) for n in range(3)] == [1, 1, 1]
+    assert read_table(spark, str(out)).count() == 376
+
+
+@pytest.mark.parametrize("kind", ["merge", "append"])
+def test_replay_counts_what_the_batch_added(spark, put_csv, job, store, tmp_path, kind):
+    """Stopped between move and commit: nothing is lost, stuck or counted as nothing."""
+    put_csv("1.csv", {"event_id": "a"}, {"event_id": "b"})
+    folder = put_csv("2.csv", {"event_id": "c"}, {"event_id": "d"}, {"event_id": "e"})
+    path = str(tmp_path / "metrics")
+    write = {"merge": batches.merge_into, "append": batches.append_to}[kind](*store)
+    stream = job(folder, max_files=1)
+    with pytest.raises(StreamingQueryException, match="lost"):
+        drain(spark, stream, failing_once(write, at=1), MetricsLog(path))
+    drain(spark, stream, write, MetricsLog(path))
+    assert ids(read_database(spark, *store)) == ["a", "b", "c", "d", "e"]
+    counts = {row.batch_id: row.rows for row in read_metrics(spark, path).collect()}
+    assert sum(counts.values()) == 5 and len(counts) == 2
 
 
 def test_two_targets_from_one_pass(spark, put_csv, job, store, tmp_path):
@@ -214,7 +298,7 @@ def test_two_targets_from_one_pass(spark, put_csv, job, store, tmp_path):
     folder = put_csv("2.csv", {"event_id": "b"})
     table = BatchTable(spark, str(tmp_path / "table"))
     write = batches.to_all(
-        batches.to_table(table, across_batches=False), batches.merge_into(*store)
+        batches.to_table(table), batches.merge_into(*store)
     )
     query = drain(spark, job(folder, max_files=1), write)
     assert ids(table.read(spark)) == ["a", "b", "b"]
