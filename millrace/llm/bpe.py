@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.textops import prepare
+from millrace.llm.textops import prepare, tidy
 
 # Words that a worker remembers; with their ids and tokens about 100 MB.
 REMEMBERED = 250_000
@@ -314,6 +314,6 @@ def encode_documents(documents: DataFrame, tokenizer_path: str) -> DataFrame:
     prepare(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long"), "text")
     return texts.mapInArrow(
-        _encode(tokenizer_path),
+        tidy(_encode(tokenizer_path)),
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
     )

@@ -35,6 +35,7 @@ from millrace.llm.textops import (
     remainder,
     prepare,
     span_hashes,
+    tidy,
     word_spans,
 )
 
@@ -230,7 +231,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> FactorisationMachine | None:
         F.broadcast(picked.select("doc_id", "label", "at")), "doc_id"
     )
     rows = texts.select("at", "label", "text").mapInArrow(
-        _features, "at long, label int, buckets binary, values binary, stats binary"
+        tidy(_features), "at long, label int, buckets binary, values binary, stats binary"
     )
     rows = rows.orderBy("at", "buckets").limit(bound).collect()
     return train(
@@ -275,5 +276,5 @@ def score_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
         "text",
     )
     return texts.mapInArrow(
-        _score(machine), "doc_id long, held_out boolean, score double, predicted int"
+        tidy(_score(machine)), "doc_id long, held_out boolean, score double, predicted int"
     )

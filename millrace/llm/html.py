@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.textops import prepare
+from millrace.llm.textops import prepare, tidy
 
 # Element names by what they are.
 VOID = {
@@ -290,4 +290,4 @@ def extract(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     prepare(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long"), "url", "html")
-    return rows.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    return rows.mapInArrow(tidy(_extract), "page_id long, url string, text string, n_chars long")

@@ -31,8 +31,9 @@ from millrace.llm.textops import (
     as_bytes,
     byte_codes,
     mix,
-    remainder,
     prepare,
+    remainder,
+    tidy,
 )
 
 UNKNOWN = "und"
@@ -188,7 +189,7 @@ def fit(documents: DataFrame) -> LanguageModel | None:
         share = F.when(F.col("lang") == lang, limit).otherwise(share)
     picked = known.where("text IS NOT NULL").select(at.alias("at"), "lang", "text", share.alias("s"))
     picked = picked.where("at < s").select("at", "lang", "text").mapInArrow(
-        _features, "at long, lang string, buckets binary, counts binary"
+        tidy(_features), "at long, lang string, buckets binary, counts binary"
     )
     rows = picked.orderBy("at", "lang").limit(ROWS_PER_LANGUAGE * len(counts)).collect()
     return train([
@@ -238,7 +239,7 @@ def identify(documents: DataFrame, model: LanguageModel | None = None) -> DataFr
         "text",
     )
     return texts.mapInArrow(
-        _predict(model),
+        tidy(_predict(model)),
         "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean",
     )
 
@@ -250,5 +251,5 @@ def drop_rejected(documents: DataFrame) -> DataFrame:
     # Whole rows in one column, so that no name of theirs can clash.
     rows = documents.select(F.struct("*").alias("row"), F.col("text").alias("text"))
     schema = rows.select("row").schema.add("lang_pred", "string").add("score", "double")
-    found = rows.mapInArrow(_predict(model), schema.add("rejected", "boolean"))
+    found = rows.mapInArrow(tidy(_predict(model)), schema.add("rejected", "boolean"))
     return found.where(~F.col("rejected")).select("row.*")

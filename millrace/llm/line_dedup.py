@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.textops import prepare
+from millrace.llm.textops import prepare, tidy
 from millrace.session import scratch
 
 # Lines under the rolling hash, its multiplier and modulus; one line in DIVISOR ends a chunk.
@@ -122,7 +122,7 @@ def repeated_chunks(texts: DataFrame) -> DataFrame:
     text)."""
     spark = texts.sparkSession
     found = texts.mapInArrow(
-        _chunk, "doc_id long, text_hash long, chunk int, digest binary, content string"
+        tidy(_chunk), "doc_id long, text_hash long, chunk int, digest binary, content string"
     )
     place = F.struct("doc_id", "text_hash", "chunk")
     # Grouping by the content itself is the byte comparison. Partial sums meet a frequent chunk
@@ -160,7 +160,8 @@ def _cleaned(documents: DataFrame) -> DataFrame:
     same = rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["text_hash"] == gone["text_hash"])
     joined = rows.join(gone, same, "left").select("row", "text", "gone")
     schema = joined.select("row").schema.add("new_text", "string").add("n_lines", "long")
-    return joined.mapInArrow(_without, schema.add("kept_lines", "long").add("removed", "string"))
+    schema = schema.add("kept_lines", "long").add("removed", "string")
+    return joined.mapInArrow(tidy(_without), schema)
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:

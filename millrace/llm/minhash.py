@@ -45,6 +45,7 @@ from millrace.llm.textops import (
     mix,
     prepare,
     span_hashes,
+    tidy,
     word_spans,
 )
 from millrace.session import scratch
@@ -206,7 +207,7 @@ def _links(pairs: DataFrame, texts: DataFrame, rule: NearRule) -> DataFrame:
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     full = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return _kept(full.mapInArrow(_confirm(rule), "a long, b long"), "links")
+    return _kept(full.mapInArrow(tidy(_confirm(rule)), "a long, b long"), "links")
 
 
 def _labelled(buckets: DataFrame, member: DataFrame | None) -> DataFrame:
@@ -266,7 +267,7 @@ def signed(documents: DataFrame, rule: NearRule) -> tuple[DataFrame, DataFrame]:
     texts = documents.select(
         F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text")
     )
-    return texts, _kept(texts.mapInArrow(_sign(rule), SIGNED), "signatures")
+    return texts, _kept(texts.mapInArrow(tidy(_sign(rule)), SIGNED), "signatures")
 
 
 def near_duplicates(documents: DataFrame, rule: NearRule = NearRule()) -> DataFrame:

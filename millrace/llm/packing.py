@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.llm.textops import prepare
+from millrace.llm.textops import prepare, tidy
 from millrace.session import scratch
 
 CAPACITY = 2048
@@ -141,7 +141,7 @@ class ByteTokenizer:
         import tiktoken
         from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(path)
+        self.load = functools.cache(lambda: Tokenizer.from_file(path))
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         alphabet = _byte_alphabet()
@@ -165,7 +165,7 @@ class ByteTokenizer:
 
     def ids(self, text: str) -> np.ndarray:
         if self.unusual.search(text):
-            found = self.exact.encode(text, add_special_tokens=False).ids
+            found = self.load().encode(text, add_special_tokens=False).ids
         else:
             found = self.fast.encode_ordinary(text)
         return np.array(found, dtype="<u4")
@@ -239,7 +239,7 @@ def pack(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) ->
     prepare(spark)
     path = scratch(spark, "pieces")
     texts = documents.select(F.col("doc_id").cast("long"), "text")
-    texts.mapInArrow(_tokenise(tokenizer_path, capacity), PIECES).write.parquet(path)
+    texts.mapInArrow(tidy(_tokenise(tokenizer_path, capacity)), PIECES).write.parquet(path)
     pieces = spark.read.parquet(path)
 
     counts = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
@@ -261,7 +261,7 @@ def pack(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) ->
     )
     ranked = ranked.withColumn("rank", F.col("rank") + F.col("first"))
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(
-        _place(rules),
+        tidy(_place(rules)),
         "doc_id long, piece int, start long, length long, ids_crc32 long, "
         "sequence_id long, offset long",
     )

@@ -32,6 +32,8 @@ CHAR_DISTANCE = 0.20
 FULL_CHARS = 600
 WORD_DISTANCE = 0.26
 FULL_WORDS = 200
+# Of the written counts.
+ROW_GROUP_BYTES = 8 * 2**20
 # Shorter texts do not shape a reference.
 GUARD_CHARS = 100
 # Languages compared at most: the most frequent ones. A label column is no place for more.
@@ -245,7 +247,9 @@ def judge(documents: DataFrame, kept: Column) -> DataFrame:
     """
     spark = documents.sparkSession
     path = scratch(spark, "quality-counts")
-    base_counts(documents, kept, F.col("lang").alias("lang")).write.parquet(path)
+    counted = base_counts(documents, kept, F.col("lang").alias("lang"))
+    # Small row groups: the writer holds one in memory, here with whole texts.
+    counted.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     rows = spark.read.parquet(path)
     nearest = references(rows)
     rows = rows.withColumn("_chars", _sum(F.col("chars")))

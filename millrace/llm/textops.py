@@ -6,10 +6,12 @@ executor gives the same rows.
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -54,6 +56,26 @@ def prepare(spark: SparkSession) -> None:
 
 _SENT: set[str] = set()
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(function: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """Give memory back to the system when a partition is done.
+
+    Spark keeps a worker for later tasks, next to a JVM that may need the memory by then.
+    """
+
+    @functools.wraps(function)
+    def tidied(batches: Batches) -> Batches:
+        yield from function(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return tidied
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

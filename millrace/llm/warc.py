@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.textops import prepare
+from millrace.llm.textops import prepare, tidy
 
 LEAST_REVISIT_BYTES = 100
 ROLL_BYTES = 64 * 2**20
@@ -267,7 +267,7 @@ def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -
     system.create_dir(path, recursive=True)
     ordered = both.repartitionByRange("page_id", "digest")
     ordered = ordered.sortWithinPartitions("page_id", "digest", "note")
-    files = ordered.mapInArrow(_write(folder, roll_bytes), MANIFEST)
+    files = ordered.mapInArrow(tidy(_write(folder, roll_bytes)), MANIFEST)
     files.write.parquet(f"{folder}/manifest")
 
 
@@ -310,4 +310,4 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     """The pages of an archive, from the files that its manifest names: see PAGES."""
     prepare(spark)
     files = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("file", "records")
-    return files.repartition("file").mapInArrow(_read(folder), PAGES)
+    return files.repartition("file").mapInArrow(tidy(_read(folder)), PAGES)
