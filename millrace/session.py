@@ -72,11 +72,3 @@ def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder of intermediate rows."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def partitions_for(spark: SparkSession, path: str, bytes_each: int = 256 * 2**20) -> int:
-    """How many partitions suit the files under a folder: by size, and at least one per core."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    size = system.getContentSummary(folder).getLength()
-    return max(spark.sparkContext.defaultParallelism, -(-size // bytes_each))
