@@ -130,19 +130,18 @@ def repeated_chunks(texts: DataFrame) -> DataFrame:
     groups = found.groupBy("digest", "content").agg(
         F.min(place).alias("first"), F.max(place).alias("last")
     )
-    repeated = groups.where("first < last").select("digest", "content", "first")
+    # Chunks with one SHA-256 and different bytes would be two groups here, each with its first.
+    firsts = groups.where("first < last").groupBy("digest")
     path = scratch(spark, "repeated-chunks")
-    repeated.select("digest", "first").write.parquet(path)
+    firsts.agg(F.collect_set("first").alias("firsts")).write.parquet(path)
     known = spark.read.parquet(path)
-    # Chunks with one SHA-256 and different bytes would be two groups here, each with its first.
-    occurrences = found.select("digest", place.alias("place")).join(known, "digest")
-    firsts = occurrences.groupBy("digest", "place").agg(
-        F.max((F.col("place") == F.col("first")).cast("int")).alias("stays")
-    )
+    # The join stands alone, with no grouping by digest before or after it, so that Spark may
+    # split a chunk which very many documents share.
+    found = found.select("digest", place.alias("place")).join(known, "digest")
     return (
-        firsts.where("stays = 0")
+        found.where(~F.array_contains("firsts", F.col("place")))
         .groupBy("place.doc_id", "place.text_hash")
-        .agg(F.collect_list("place.chunk").alias("gone"))
+        .agg(F.collect_set("place.chunk").alias("gone"))
     )
 
 
