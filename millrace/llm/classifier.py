@@ -43,7 +43,9 @@ BUCKETS = 1 << 15
 FACTORS = 8
 # Labelled rows that training may use, per label. The bound of the sample.
 ROWS_PER_LABEL = 2500
+# Passes over the sample, and updates at least: a small sample is passed more often.
 EPOCHS = 6
+UPDATES = 12_000
 RATE = 0.05
 DECAY = 1e-4
 CALIBRATION = 0.25
@@ -156,8 +158,9 @@ def train(examples: list[Example], prior: float, seed: int = 11) -> Factorisatio
         stats.mean(0),
         stats.std(0) + 1e-3,
     )
-    steps, done = EPOCHS * len(used), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-UPDATES // len(used)))
+    steps, done = epochs * len(used), 0
+    for _ in range(epochs):
         for i in rng.permutation(used):
             label, *given = examples[i]
             at, x = machine.inputs(*given)

@@ -42,7 +42,9 @@ DIMENSIONS = 16
 SIZES = (2, 3, 4)
 # Labelled rows that training may use, per language. The bound of the sample.
 ROWS_PER_LANGUAGE = 500
+# Passes over the sample, and updates at least: a small sample is passed more often.
 EPOCHS = 4
+UPDATES = 8000
 RATE = 0.5
 # Share of the sample that only calibrates, and the share of it that may be rejected.
 CALIBRATION = 0.25
@@ -121,8 +123,9 @@ def train(
     embeddings = rng.normal(0, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     output = np.zeros((DIMENSIONS, len(languages)), np.float32)
     number = {language: i for i, language in enumerate(languages)}
-    steps, done = EPOCHS * len(used), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-UPDATES // len(used)))
+    steps, done = epochs * len(used), 0
+    for _ in range(epochs):
         for i in rng.permutation(used):
             language, buckets, counts = examples[i]
             weights = (counts / counts.sum()).astype(np.float32)
