@@ -155,29 +155,32 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
 
 
-def divergence(shares: Column, own: Column, reference: list[float]) -> Column:
-    """Jensen-Shannon divergence (base 2) of shares to those of a reference.
+def summed(rows: DataFrame, name: str) -> DataFrame:
+    """Add what a histogram's distances need and no reference changes: its total and I(shares)."""
+    rows = rows.withColumn(f"{name}_total", F.greatest(_sum(F.col(name)), F.lit(1)))
+    shares = F.transform(name, lambda x: _informed(x / F.col(f"{name}_total")))
+    return rows.withColumn(f"{name}_own", _total(shares))
 
-    With I(p) the sum of p log p, it is half of I(p) + I(q) minus I of the mean of both. own is
-    the I of the shares, which is the same for all references.
+
+def distance(name: str, reference: list[float]) -> Column:
+    """Jensen-Shannon divergence (base 2) of a summed histogram to a reference's shares.
+
+    With I(p) the sum of p log p, it is half of I(p) + I(q) minus I of the mean of both.
     """
     other = sum(y * math.log2(y) for y in reference if y > 0)
     means = F.zip_with(
-        shares, F.array(*map(F.lit, reference)), lambda x, y: _informed((x + y) / 2)
+        F.col(name),
+        F.array(*map(F.lit, reference)),
+        lambda x, y: _informed((x / F.col(f"{name}_total") + y) / 2),
     )
-    return F.greatest((own + other) / 2 - _total(means), F.lit(0.0))
+    return F.greatest((F.col(f"{name}_own") + other) / 2 - _total(means), F.lit(0.0))
 
 
-def distances(rows: DataFrame, nearest: list, name: str, at: int, result: str) -> DataFrame:
-    """Add the distance of a histogram to its nearest reference; 0 where there is none."""
-    names = rows.columns
-    count = F.greatest(_sum(F.col(name)), F.lit(1)).cast("double")
-    rows = rows.withColumn("_count", count)
-    rows = rows.withColumn("_shares", F.transform(name, lambda x: x / F.col("_count")))
-    rows = rows.withColumn("_own", _total(F.transform("_shares", _informed)))
-    found = [divergence(F.col("_shares"), F.col("_own"), reference[at]) for reference in nearest]
+def nearest(name: str, references: list[list[float]]) -> Column:
+    """The distance of a histogram to its nearest reference; 0 where there is none."""
+    found = [distance(name, reference) for reference in references]
     least = F.least(*found) if len(found) > 1 else found[0] if found else F.lit(0.0)
-    return rows.withColumn(result, F.round(F.sqrt(least), 6)).select(*names, result)
+    return F.round(F.sqrt(least), 6)
 
 
 def base_counts(documents: DataFrame, *kept: Column) -> DataFrame:
@@ -237,31 +240,39 @@ def base_counts(documents: DataFrame, *kept: Column) -> DataFrame:
 
 def _scaled(limit: float, size: Column, full: int) -> Column:
     """A limit that grows for sizes below the full one, as the noise of a histogram does."""
-    return limit * F.sqrt(F.greatest(full / F.greatest(size, F.lit(1)), F.lit(1.0)))
+    return limit * F.sqrt(F.greatest(full / size, F.lit(1.0)))
 
 
 def judge(documents: DataFrame, kept: Column) -> DataFrame:
     """The column kept, with base counts, base_failed, the distances and the verdict kept.
 
-    The counts of all texts are written once; references and verdicts are made from them.
+    The counts of all texts are written once; references and verdicts are made from them, by
+    expressions on stored columns alone, so that a filter on the verdict costs no more.
     """
     spark = documents.sparkSession
     path = scratch(spark, "quality-counts")
     counted = base_counts(documents, kept, F.col("lang").alias("lang"))
+    counted = summed(summed(counted, "chars"), "words")
     # Small row groups: the writer holds one in memory, here with whole texts.
     counted.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     rows = spark.read.parquet(path)
-    nearest = references(rows)
-    rows = rows.withColumn("_chars", _sum(F.col("chars")))
-    rows = rows.withColumn("_words", _sum(F.col("words")))
-    rows = distances(rows, nearest, "chars", 1, "char_distance")
-    rows = distances(rows, nearest, "words", 2, "word_distance")
+    known = references(rows)
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words")
     )
-    far = F.col("char_distance") > _scaled(CHAR_DISTANCE, F.col("_chars"), FULL_CHARS)
-    far = far | (F.col("word_distance") > _scaled(WORD_DISTANCE, F.col("_words"), FULL_WORDS))
-    return rows.withColumns({"base_failed": failed, "kept": ~failed & ~far})
+    chars = nearest("chars", [shares for _, shares, _ in known])
+    words = nearest("words", [shares for _, _, shares in known])
+    far = (chars > _scaled(CHAR_DISTANCE, F.col("chars_total"), FULL_CHARS)) | (
+        words > _scaled(WORD_DISTANCE, F.col("words_total"), FULL_WORDS)
+    )
+    return rows.withColumns(
+        {
+            "char_distance": chars,
+            "word_distance": words,
+            "base_failed": failed,
+            "kept": ~failed & ~far,
+        }
+    )
 
 
 RESULT = (
