@@ -93,10 +93,10 @@ def ingest(
     name = f"bench_{time.time_ns()}"
     job = jobs.StreamJob(folder, scratch(spark, "progress"), None, max_files, name=name)
     listener = ProgressLog(spark, triggers, name)
-    spark.streams.addListener(listener)
-    jobs.start_batches(spark, job, write, MetricsLog(path), unique).awaitTermination()
+    jobs.start_batches(
+        spark, job, write, MetricsLog(path), unique, progress=listener
+    ).awaitTermination()
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
-    spark.streams.removeListener(listener)
     rows = sorted(read_metrics(spark, path).collect())  # one row per batch
     whole = sorted(read_triggers(spark, triggers).collect())
     quarter = len(rows) // 4

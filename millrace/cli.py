@@ -117,7 +117,7 @@ def to_files(spark: SparkSession, args: argparse.Namespace) -> None:
         for query in started:
             query.awaitTermination()
     else:
-        jobs.wait(spark)
+        jobs.wait(started)
 
 
 def layout(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +18,7 @@ from millrace.session import settings
 from millrace.sinks.files import BatchTable
 from millrace.sources.files import watch_events
 from millrace.streaming.batches import Writer, batch_callback, split_callback, to_table
-from millrace.streaming.metrics import MetricsLog
+from millrace.streaming.metrics import MetricsLog, ProgressLog
 
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -132,17 +133,20 @@ def start_batches(
     metrics: MetricsLog | None = None,
     unique: bool = False,
     state_partitions: int | None = None,
+    progress: ProgressLog | None = None,
 ) -> StreamingQuery:
     """Deduplicate each micro-batch and hand it to `write`.
 
-    With `unique`, keys of earlier batches are dropped as well (`first_seen`).
+    With `unique`, keys of earlier batches are dropped as well (`first_seen`); such a stream runs
+    in a session of its own. `progress` listens in the session that the stream runs in.
     """
     handle = batch_callback(write, metrics or MetricsLog(), job.checkpoint_dir)
-    events = job.events(spark)
-    if not unique:
-        return job.started(events).foreachBatch(handle).start()
-    with settings(spark, _unique(spark, state_partitions)) as own:
-        return job.started(first_seen(job.events(own))).foreachBatch(handle).start()
+    values = _unique(spark, state_partitions) if unique else {}
+    with settings(spark, values) if unique else nullcontext(spark) as own:
+        if progress:
+            own.streams.addListener(progress)
+        events = job.events(own)
+        return job.started(first_seen(events) if unique else events).foreachBatch(handle).start()
 
 
 def start_split(
@@ -168,6 +172,7 @@ def start_split(
     return job.started(raw).foreachBatch(handle).start()
 
 
-def wait(spark: SparkSession) -> None:
-    """Block until any query of the session ends; raise if it failed."""
-    spark.streams.awaitAnyTermination()
+def wait(queries: Sequence[StreamingQuery]) -> None:
+    """Block until any of the queries ends; raise if it failed."""
+    while not any(query.awaitTermination(1) for query in queries):
+        pass

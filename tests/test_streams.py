@@ -335,9 +335,13 @@ def test_wait_raises_when_a_query_fails(spark, put_csv, job):
     def fail(rows, batch_id):
         raise RuntimeError("broken target")
 
-    jobs.start_batches(spark, job(folder), fail)
-    with pytest.raises(StreamingQueryException, match="broken target"):
-        jobs.wait(spark)
+    other = jobs.start_console(spark, job(put_csv("1.csv", {}), trigger_seconds=60))
+    query = jobs.start_batches(spark, job(folder), fail, unique=True)
+    try:
+        with pytest.raises(StreamingQueryException, match="broken target"):
+            jobs.wait([other, query])
+    finally:
+        other.stop()
     spark.streams.resetTerminated()
 
 
