@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -208,7 +209,10 @@ def has_letter(text: str | None) -> bool:
 def _predict(model: LanguageModel | None):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            last = batch.column(batch.num_columns - 1)
+            whole = pa.types.is_struct(last.type)  # a row with its text, or a text by itself
+            texts = pc.struct_field(last, "text") if whole else last
+            passed = batch.num_columns if whole else batch.num_columns - 1
             data, offsets = as_bytes(texts)
             names, scores = [], []
             for i, text in enumerate(texts):
@@ -221,12 +225,12 @@ def _predict(model: LanguageModel | None):
             rejected = [n == UNKNOWN or s < threshold for n, s in zip(names, scores, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns[:-1],
+                    *batch.columns[:passed],
                     pa.array(names, pa.string()),
                     pa.array(scores, pa.float64()),
                     pa.array(rejected, pa.bool_()),
                 ],
-                names=[*batch.schema.names[:-1], "lang_pred", "score", "rejected"],
+                names=[*batch.schema.names[:passed], "lang_pred", "score", "rejected"],
             )
 
     return predict
@@ -252,7 +256,7 @@ def drop_rejected(documents: DataFrame) -> DataFrame:
     prepare(documents.sparkSession)
     model = fit(documents)
     # Whole rows in one column, so that no name of theirs can clash.
-    rows = documents.select(F.struct("*").alias("row"), F.col("text").alias("text"))
+    rows = documents.select(F.struct("*").alias("row"))
     schema = rows.select("row").schema.add("lang_pred", "string").add("score", "double")
     found = rows.mapInArrow(tidy(_predict(model)), schema.add("rejected", "boolean"))
     return found.where(~F.col("rejected")).select("row.*")

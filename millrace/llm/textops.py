@@ -60,16 +60,16 @@ Batches = Iterator[pa.RecordBatch]
 
 
 def tidy(function: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
-    """Give memory back to the system when a partition is done.
+    """Give memory back to the system: batches as they are done, the rest after the partition.
 
     Spark keeps a worker for later tasks, next to a JVM that may need the memory by then.
     """
 
     @functools.wraps(function)
     def tidied(batches: Batches) -> Batches:
+        pa.set_memory_pool(pa.system_memory_pool())  # the default one keeps what batches took
         yield from function(batches)
         gc.collect()
-        pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
         if trim:
             trim(0)
