@@ -6,11 +6,19 @@ that would leave a single line are not taken, by a rule that looks at neighbouri
 Chunks of several lines that occur more than once anywhere are compared byte by byte; the first
 occurrence stays and the others are removed.
 
+A chunk at the edge of a passage also holds lines around it, so chunks alone miss most passages.
+Therefore passages are found beside them: from every line forward and backward, the shortest run
+of whole lines with more than PASSAGE_WORDS words. Each longer run of lines is a union of such
+runs, so one that stands in an earlier document goes as a whole, whatever surrounds it. Passages
+are equal when their SHA-256 is.
+
 Defined results
 * lines end at \\n; the text without the removed lines keeps the others in order, joined by \\n;
 * the first occurrence is the one with the smallest (doc_id, hash of the text, chunk number),
   null ids first;
 * chunks with fewer than two lines that hold a word are never removed;
+* passages, also those of a single line, are removed but for the first of each, and but for what
+  overlaps the first in its own text; each line removed stays at an earlier place;
 * null text stays null with 0 lines, empty text is one empty line;
 * rows that repeat both id and text are one document: what the first keeps, all keep;
 * an empty table gives an empty result; other columns are not read.
@@ -19,7 +27,7 @@ Defined results
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,6 +42,8 @@ MULTIPLIER = 31
 MODULUS = 1_000_003
 DIVISOR = 3
 LEAST_LINES = 2
+# Runs of lines with more words than this are passages.
+PASSAGE_WORDS = 50
 
 
 def line_hash(line: str) -> int:
@@ -67,26 +77,78 @@ def several(lines: list[str]) -> bool:
     return sum(1 for line in lines if line.strip(" \t\n\v\f\r")) >= LEAST_LINES
 
 
+def passages(lines: list[bytes]) -> list[tuple[int, int]]:
+    """Begin and end of the shortest runs with enough words, from each line and up to each."""
+    words = [len(line.split()) for line in lines]
+    found = set()
+    end = total = 0
+    for begin in range(len(lines)):
+        while end < len(lines) and total <= PASSAGE_WORDS:
+            total += words[end]
+            end += 1
+        if total <= PASSAGE_WORDS:
+            break
+        found.add((begin, end))
+        total -= words[begin]
+    begin, total = len(lines), 0
+    for end in range(len(lines), 0, -1):
+        while begin > 0 and total <= PASSAGE_WORDS:
+            begin -= 1
+            total += words[begin]
+        if total <= PASSAGE_WORDS:
+            break
+        found.add((begin, end))
+        total -= words[end - 1]
+    return sorted(found)
+
+
 def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "text_hash", "chunk", "digest", "content"]
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.string())
+    names = ["doc_id", "text_hash", "begin", "end", "digest", "content"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.string())
     for batch in batches:
         rows = []
         for doc_id, text_hash, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if text is None or "\n" not in text:
                 continue
             lines = text.split("\n")
-            for number, (begin, end) in enumerate(chunks(lines)):
+            for begin, end in chunks(lines):
                 if several(lines[begin:end]):
                     content = "\n".join(lines[begin:end])
                     digest = hashlib.sha256(content.encode()).digest()
-                    rows.append((doc_id, text_hash, number, digest, content))
+                    rows.append((doc_id, text_hash, begin, end, digest, content))
+        columns = list(zip(*rows, strict=True)) or [()] * 6
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names
+        )
+
+
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "text_hash", "begin", "end", "digest"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    for batch in batches:
+        rows = []
+        for doc_id, text_hash, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            lines = text.encode().split(b"\n") if text else []
+            for begin, end in passages(lines):
+                digest = hashlib.sha256(b"\n".join(lines[begin:end])).digest()
+                rows.append((doc_id, text_hash, begin, end, digest))
         columns = list(zip(*rows, strict=True)) or [()] * 5
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names
         )
 
 
+def _apart(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same lines in ranges that do not overlap."""
+    found: list[tuple[int, int]] = []
+    for begin, end in sorted(spans):
+        if found and begin < found[-1][1]:
+            found[-1] = (found[-1][0], max(end, found[-1][1]))
+        else:
+            found.append((begin, end))
+    return found
+
+
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, totals, left, spans = [], [], [], []
@@ -96,15 +158,15 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 texts.append(None), totals.append(0), left.append(0), spans.append("")
                 continue
             lines = text.split("\n")
-            gone = set(removed or ())
-            parts = chunks(lines) if gone else []
+            gone = _apart((span["begin"], span["end"]) for span in removed or ())
+            edges = [0, *(edge for span in gone for edge in span), len(lines)]
             kept = [
-                line for i, (a, b) in enumerate(parts) if i not in gone for line in lines[a:b]
-            ] if gone else lines
+                line for a, b in zip(edges[::2], edges[1::2], strict=True) for line in lines[a:b]
+            ]
             texts.append("\n".join(kept))
             totals.append(len(lines))
             left.append(len(kept))
-            spans.append(",".join(f"{parts[i][0]}-{parts[i][1]}" for i in sorted(gone)))
+            spans.append(",".join(f"{a}-{b}" for a, b in gone))
         yield pa.RecordBatch.from_arrays(
             [
                 *batch.columns[:-2],
@@ -117,14 +179,15 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+PLACE = ("doc_id", "text_hash", "begin", "end")
+PLACED = "doc_id long, text_hash long, begin int, end int, digest binary"
+
+
 def repeated_chunks(texts: DataFrame) -> DataFrame:
-    """Occurrences to remove: doc_id, text_hash and the chunk numbers, from (doc_id, text_hash,
-    text)."""
+    """Occurrences to remove: doc_id, text_hash, begin and end, from (doc_id, text_hash, text)."""
     spark = texts.sparkSession
-    found = texts.mapInArrow(
-        tidy(_chunk), "doc_id long, text_hash long, chunk int, digest binary, content string"
-    )
-    place = F.struct("doc_id", "text_hash", "chunk")
+    found = texts.mapInArrow(tidy(_chunk), f"{PLACED}, content string")
+    place = F.struct(*PLACE)
     # Grouping by the content itself is the byte comparison. Partial sums meet a frequent chunk
     # before the shuffle.
     groups = found.groupBy("digest", "content").agg(
@@ -138,15 +201,31 @@ def repeated_chunks(texts: DataFrame) -> DataFrame:
     # The join stands alone, with no grouping by digest before or after it, so that Spark may
     # split a chunk which very many documents share.
     found = found.select("digest", place.alias("place")).join(known, "digest")
-    return (
-        found.where(~F.array_contains("firsts", F.col("place")))
-        .groupBy("place.doc_id", "place.text_hash")
-        .agg(F.collect_set("place.chunk").alias("gone"))
+    return found.where(~F.array_contains("firsts", F.col("place"))).select("place.*")
+
+
+def repeated_passages(texts: DataFrame) -> DataFrame:
+    """Like `repeated_chunks`, for passages."""
+    spark = texts.sparkSession
+    found = texts.mapInArrow(tidy(_passages), PLACED)
+    found = found.select("digest", F.struct(*PLACE).alias("place"))
+    groups = found.groupBy("digest").agg(
+        F.min("place").alias("first"), F.max("place").alias("last")
     )
+    path = scratch(spark, "repeated-passages")
+    groups.where("first < last").select("digest", "first").write.parquet(path)
+    # Alone as well, see above.
+    joined = found.join(spark.read.parquet(path), "digest")
+    elsewhere = ~(
+        F.col("place.doc_id").eqNullSafe(F.col("first.doc_id"))
+        & (F.col("place.text_hash") == F.col("first.text_hash"))
+        & (F.col("place.begin") < F.col("first.end"))
+    )
+    return joined.where(elsewhere).select("place.*")
 
 
-def _cleaned(documents: DataFrame) -> DataFrame:
-    """Each row in one column, with its text without repeated chunks and the line counts."""
+def _cleaned(documents: DataFrame, whole_passages: bool) -> DataFrame:
+    """Each row in one column, with its text without what is repeated and the line counts."""
     prepare(documents.sparkSession)
     # Whole rows in one column, so that no name of theirs can clash.
     rows = documents.select(
@@ -155,7 +234,13 @@ def _cleaned(documents: DataFrame) -> DataFrame:
         F.xxhash64("text").alias("text_hash"),
         F.col("text").alias("text"),
     )
-    gone = repeated_chunks(rows.select("doc_id", "text_hash", "text"))
+    texts = rows.select("doc_id", "text_hash", "text")
+    spans = repeated_chunks(texts)
+    if whole_passages:
+        spans = spans.unionByName(repeated_passages(texts))
+    gone = spans.groupBy("doc_id", "text_hash").agg(
+        F.collect_set(F.struct("begin", "end")).alias("gone")
+    )
     same = rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["text_hash"] == gone["text_hash"])
     joined = rows.join(gone, same, "left").select("row", "text", "gone")
     schema = joined.select("row").schema.add("new_text", "string").add("n_lines", "long")
@@ -163,12 +248,13 @@ def _cleaned(documents: DataFrame) -> DataFrame:
     return joined.mapInArrow(tidy(_without), schema)
 
 
-def dedup_lines(documents: DataFrame) -> DataFrame:
-    """One row per document: doc_id, text without repeated chunks, n_lines, kept_lines, removed.
+def dedup_lines(documents: DataFrame, whole_passages: bool = True) -> DataFrame:
+    """One row per document: doc_id, text without what is repeated, n_lines, kept_lines, removed.
 
-    removed lists the line ranges taken out, as begin-end from 0 without the end.
+    removed lists the line ranges taken out, as begin-end from 0 without the end. Without
+    `whole_passages` only repeated chunks go.
     """
-    rows = _cleaned(documents)
+    rows = _cleaned(documents, whole_passages)
     return rows.select(
         F.col("row.doc_id").cast("long").alias("doc_id"),
         F.col("new_text").alias("text"),
@@ -183,7 +269,7 @@ def drop_repeated_lines(documents: DataFrame) -> DataFrame:
 
     A document of which every line was removed repeats others wholly and goes.
     """
-    rows = _cleaned(documents).where("kept_lines > 0 OR n_lines = 0")
+    rows = _cleaned(documents, whole_passages=True).where("kept_lines > 0 OR n_lines = 0")
     row = F.col("row").withField("text", F.col("new_text"))
     if "n_chars" in documents.columns:
         count = F.char_length("new_text").cast(documents.schema["n_chars"].dataType)

@@ -131,6 +131,38 @@ def test_extraction_keeps_the_article_and_nothing_else(spark, tables):
         assert row.n_chars == len(row.text)
 
 
+def test_whole_passages_go(spark, texts):
+    """Runs of lines over 50 words that an earlier document holds, line by line, all go."""
+    rows = {row.doc_id: row for row in QUERIES["op9_line_passages"](spark, SF).collect()}
+    lines = {i: (text or "").split("\n") for i, text in texts.items()}
+    places, runs, kept = defaultdict(list), 0, set()
+    for doc_id in sorted(lines):
+        own = lines[doc_id]
+        gone = set()
+        for part in filter(None, rows[doc_id].removed.split(",")):
+            gone |= set(range(*map(int, part.split("-"))))
+        assert rows[doc_id].kept_lines == len(own) - len(gone)
+        if texts[doc_id] is not None:
+            left = [line for i, line in enumerate(own) if i not in gone]
+            assert rows[doc_id].text == "\n".join(left)
+            # What goes stays at an earlier place.
+            kept |= set(left)
+            assert {own[i] for i in gone} <= kept
+        for i, line in enumerate(own):
+            for other, j in places[line]:
+                if i and j and own[i - 1] == lines[other][j - 1]:
+                    continue
+                n = 0
+                while own[i + n : i + n + 1] == lines[other][j + n : j + n + 1] != []:
+                    n += 1
+                if len(" ".join(own[i : i + n]).split()) > 50:
+                    runs += 1
+                    assert set(range(i, i + n)) <= gone, (doc_id, i, n)
+        for j, line in enumerate(own):
+            places[line].append((doc_id, j))
+    assert runs > 0
+
+
 def test_pipeline_stages_follow_each_other(spark):
     """Each stage against its operator run alone on what the stage before kept."""
     from millrace.llm import langid, line_dedup, packing, quality_rules
