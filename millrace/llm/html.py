@@ -2,10 +2,13 @@
 
 Every run of text has a path of tags from the root. Per path, the length of its text and its
 punctuation are added up and divided by how often the path occurs; both ratios are smoothed along
-the page, where neighbours with the same parent weigh more, and fused into one score. Paths whose
-score is a fair part of the page's typical score hold content. Elements that by their meaning are
-not the article (menus, footers, adverts, forms, reader comments, ...) never count; where the page
-marks an article, the content paths choose which of its parts are kept.
+the page, where neighbours with the same parent weigh more, and fused into one score. Text whose
+score is a fair part of the page's typical score is content, on every page. What the page says of
+its articles adds to the score: their text gains a part of the typical score, less the more of its
+path is links; articles that are far smaller than the largest keep a small part of theirs.
+Elements that by their meaning are not the article (menus, footers, adverts, forms, reader
+comments, ...) never count, however long. An element that holds the page's article, or most of a
+page that marks none, is no such element, whatever its name.
 
 Defined results
 * null counts as the empty page: no text, 0 characters;
@@ -41,10 +44,10 @@ INLINE = {
     "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub",
     "sup", "time", "tt", "u", "var", "td", "th", "ruby", "rt", "rp",
 }
-NOT_CONTENT = {
-    "nav", "footer", "aside", "form", "button", "select", "head", "menu", "dialog", "object",
-    "video", "audio", "canvas", "option", "fieldset",
+NEVER_TEXT = {
+    "button", "select", "head", "dialog", "object", "video", "audio", "canvas", "option",
 }
+NOT_CONTENT = {"nav", "footer", "aside", "form", "menu", "fieldset"}
 ARTICLE = {"article", "main"}
 HINTS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "promo", "sponsor",
@@ -83,11 +86,17 @@ REACH = 2
 WEIGHTS = np.exp(-0.5 * (np.arange(-REACH, REACH + 1) / 1.0) ** 2)
 # Content from this part of the page's typical score.
 FAIR_PART = 0.2
+# Text of articles gains this part of the typical score, and this much at least.
+ARTICLE_PART, ARTICLE_LEAST = 0.8, 30.0
+# An article with less than this part of the largest one's text is a teaser, whose score counts
+# for so much. An element with more than this part of a page's unlinked text holds most of it.
+TEASER_PART, TEASER_WEIGHT, MOST = 0.25, 0.1, 2 / 3
 
 
 @dataclass
 class Run:
-    """A run of text: its block, path, the path's parent, whether linked, the article it is in."""
+    """A run of text: its block, path, the path's parent, whether linked, the article it is in,
+    and the elements around it that by their names are not the article."""
 
     block: int
     path: str
@@ -96,6 +105,9 @@ class Run:
     linked: bool
     article: int
     heading: bool
+    listed: tuple[int, ...]
+    # Those of them that hold the whole article.
+    outer: tuple[int, ...]
 
 
 @dataclass
@@ -106,6 +118,8 @@ class _Element:
     linked: bool
     article: int
     heading: bool
+    listed: tuple[int, ...]
+    outer: tuple[int, ...]
 
 
 @dataclass
@@ -115,9 +129,10 @@ class _Reader:
     runs: list[Run] = field(default_factory=list)
     block: int = 0
     articles: int = 0
+    lists: int = 0
 
     def read(self, page: str) -> list[Run]:
-        self.stack = [_Element("", "", False, False, 0, False)]
+        self.stack = [_Element("", "", False, False, 0, False, (), ())]
         place = 0
         while True:
             found = TAG.search(page, place)
@@ -149,7 +164,7 @@ class _Reader:
             parent = top.path.rpartition("/")[0]
             self.runs.append(Run(
                 self.block, top.path, parent, html.unescape(raw), top.linked, top.article,
-                top.heading,
+                top.heading, top.listed, top.outer,
             ))
 
     def pop_to(self, index: int) -> None:
@@ -185,26 +200,35 @@ class _Reader:
             w.lower()
             for w in WORD.findall(f"{values.get('class', '')} {values.get('id', '')}")
         }
-        article = top.article
+        article, outer = top.article, top.outer
         if name in ARTICLE and not article:
             self.articles += 1
-            article = self.articles
+            article, outer = self.articles, top.listed
         whole = name in ("body", "html", "article", "main")
-        skipped = top.skipped or name in NOT_CONTENT or (
+        skipped = top.skipped or name in NEVER_TEXT or (
             not whole
             and (
-                bool(words & HINTS)
-                or values.get("role", "").lower() in ROLES
-                or (not article and (name == "header" or bool(words & HINTS_OUTSIDE)))
-                or "hidden" in values
+                "hidden" in values
                 or values.get("aria-hidden", "").lower() == "true"
                 or "display:none" in values.get("style", "").replace(" ", "").lower()
             )
         )
+        listed = top.listed
+        if name in NOT_CONTENT or (
+            not whole
+            and (
+                bool(words & HINTS)
+                or values.get("role", "").lower() in ROLES
+                or (not article and (name == "header" or bool(words & HINTS_OUTSIDE)))
+            )
+        ):
+            self.lists += 1
+            listed = (*listed, self.lists)
         sign = "." + ".".join(sorted(words)) if words else ""
         heading = top.heading or (len(name) == 2 and name[0] == "h" and name[1] in "123456")
         self.stack.append(_Element(
-            name, f"{top.path}/{name}{sign}", skipped, top.linked or name == "a", article, heading
+            name, f"{top.path}/{name}{sign}", skipped, top.linked or name == "a", article, heading,
+            listed, outer,
         ))
 
     def close(self, name: str) -> None:
@@ -244,26 +268,59 @@ def scores(runs: list[Run]) -> np.ndarray:
     return np.sqrt(smooth[:, 0] * (1 + smooth[:, 1])) * (0.1 + 0.9 * plain)
 
 
+def plain_part(runs: list[Run]) -> np.ndarray:
+    """How much of each run's path is not linked; headings count as not linked."""
+    totals: dict[str, list[int]] = {}
+    for run in runs:
+        total = totals.setdefault(run.path, [0, 0])
+        total[0] += len(run.text)
+        total[1] += 0 if run.linked and not run.heading else len(run.text)
+    return np.array([totals[run.path][1] / totals[run.path][0] for run in runs])
+
+
+def _exempt(runs: list[Run]) -> set[int]:
+    """Listed elements that hold the page's article, or most of a page without articles."""
+    articles: dict[int, int] = {}
+    inside: dict[int, int] = {}
+    for run in runs:
+        size = len(run.text.strip())
+        if run.article:
+            articles[run.article] = articles.get(run.article, 0) + size
+        if not run.linked:
+            for element in run.listed:
+                inside[element] = inside.get(element, 0) + size
+    if articles:
+        if any(run.article and not run.outer for run in runs):
+            return set()
+        largest = max(articles, key=articles.__getitem__)
+        return {e for run in runs if run.article == largest for e in run.outer}
+    total = sum(len(run.text.strip()) for run in runs if not run.linked)
+    return {element for element, size in inside.items() if size > MOST * total}
+
+
 def main_text(page: str) -> str:
     """The article of a page."""
     runs = _Reader().read(page)
+    exempt = _exempt([run for run in runs if run.text.strip()])
+    runs = [run for run in runs if exempt.issuperset(run.listed)]
     kept = [run for run in runs if run.text.strip()]
     if not kept:
         return ""
     score = scores(kept)
     sizes = np.array([len(run.text) for run in kept], float)
-    typical = float((score * sizes).sum() / sizes.sum())
-    chosen = score >= FAIR_PART * typical
     articles = np.array([run.article for run in kept])
-    blocks = np.array([run.block for run in kept])
-    if articles.any():
-        # Articles that hold most content; of them everything, short parts and headings too.
-        held = {a: sizes[chosen & (articles == a)].sum() for a in set(articles.tolist()) - {0}}
-        most = max(held.values())
-        taken = {a for a, size in held.items() if size > 0 and size >= 0.25 * most}
-        wanted = set(blocks[np.isin(articles, list(taken))].tolist())
-    else:
-        wanted = set(blocks[chosen].tolist())
+    held = {a: sizes[articles == a].sum() for a in set(articles.tolist()) - {0}}
+    least = TEASER_PART * max(held.values(), default=0)
+    teaser = np.isin(articles, [a for a, size in held.items() if size < least])
+
+    def typical() -> float:
+        return float((score * sizes)[~teaser].sum() / sizes[~teaser].sum())
+
+    score[teaser] *= TEASER_WEIGHT
+    gain = max(ARTICLE_PART * typical(), ARTICLE_LEAST)
+    score += np.where((articles > 0) & ~teaser, gain * plain_part(kept), 0)
+    chosen = score >= FAIR_PART * typical()
+    wanted = {run.block for run, good in zip(kept, chosen, strict=True) if good}
     out: dict[int, list[str]] = {}
     for run in runs:
         if run.block in wanted:

@@ -316,3 +316,31 @@ LONG = "A sentence with words, commas, and a full stop. " * 6
 )
 def test_main_text(page, text):
     assert html.main_text(page) == text
+
+
+LINKS = "<div><ul>" + "".join(f"<li><a href=/{i}>Other page {i}</a>" for i in range(6)) + "</ul></div>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # Links without a label within <main>.
+        (f"<main><h1>T</h1>{LINKS}<p>{LONG}</p>{LINKS}</main>", f"T\n{LONG.strip()}"),
+        # A heading that is a link, and a paragraph with links, are content.
+        (f"<main><h1><a href=x>T</a></h1><p>{LONG}<a href=y>more</a></p></main>",
+         f"T\n{LONG.strip()} more"),
+        # No article is marked.
+        (f"<div>{LINKS}<div><p>{LONG}</p><p>{LONG}</p></div>{LINKS}</div>",
+         f"{LONG.strip()}\n{LONG.strip()}"),
+        # An article far shorter than the rest.
+        (f"<article><p>Short news</p></article><div class=comments>{f'<p>{LONG * 9}</p>' * 9}</div>",
+         "Short news"),
+        (f"<article><p>Short news</p></article><div class=body>{f'<p>{LONG * 9}</p>' * 2}</div>",
+         "\n".join(["Short news", *[(LONG * 9).strip()] * 2])),
+        # Several articles: equal ones stay, teasers go.
+        (f"<article><p>{LONG}</p></article><article><p>{LONG}</p></article>"
+         "<article><p>Read on</p></article>", f"{LONG.strip()}\n{LONG.strip()}"),
+    ],
+)
+def test_scores_choose_the_content(page, text):
+    assert html.main_text(page) == text
