@@ -58,6 +58,12 @@ HINTS = {
     "toolbar", "pagination", "pager", "login", "signup", "search", "skip",
 }
 HINTS_OUTSIDE = {"header", "topbar", "top"}
+# Words that with a hint still name the whole element, as in comment-list or site-footer.
+PLACES = {
+    "site", "main", "area", "list", "box", "block", "bar", "links", "buttons", "posts",
+    "primary", "secondary", "left", "right", "bottom", "global",
+}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ROLES = {
     "navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog",
     "menu", "menubar", "alertdialog",
@@ -217,9 +223,9 @@ class _Reader:
         if name in NOT_CONTENT or (
             not whole
             and (
-                bool(words & HINTS)
+                named(values, HINTS, name in HEADINGS)
                 or values.get("role", "").lower() in ROLES
-                or (not article and (name == "header" or bool(words & HINTS_OUTSIDE)))
+                or (not article and (name == "header" or named(values, HINTS_OUTSIDE, name in HEADINGS)))
             )
         ):
             self.lists += 1
@@ -240,6 +246,19 @@ class _Reader:
                 return
 
 
+def named(values: dict[str, str], hints: set[str], slug: bool) -> bool:
+    """Whether a class or the id is a hint, or a hint with the place of the element.
+
+    Other words within a name say what an element is beside or about (content-sidebar-wrap,
+    related-work). The id of a heading is a slug of its text, and an id counts only as a whole.
+    """
+    for name in values.get("class", "").split():
+        words = {word.lower() for word in WORD.findall(name)}
+        if name.lower() in hints or (words & hints and words <= hints | PLACES):
+            return True
+    return not slug and values.get("id", "").lower() in hints
+
+
 def scores(runs: list[Run]) -> np.ndarray:
     """The smoothed and fused path ratios of runs with text."""
     totals: dict[str, list[float]] = {}

@@ -344,3 +344,34 @@ LINKS = "<div><ul>" + "".join(f"<li><a href=/{i}>Other page {i}</a>" for i in ra
 )
 def test_scores_choose_the_content(page, text):
     assert html.main_text(page) == text
+
+
+@pytest.mark.parametrize("sign", [
+    "class='content-sidebar-wrap'", "class='has-sidebar'", "class='with-menu'", "id='search-page'",
+    "class='page search'", "role='search'",
+])
+@pytest.mark.parametrize("name", ["article", "main", "section"])
+def test_wrappers_do_not_empty_a_page(sign, name):
+    page = f"<nav>Home</nav><div {sign}><{name}><p>{LONG}</p></{name}></div><footer>c</footer>"
+    assert html.main_text(page) == LONG.strip()
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<section id='related-work'><p>{}</p></section>", "<h2 id='comments-on-method'>{}</h2>",
+        "<h2 id='related'>{}</h2>", "<div class='social-history'><p>{}</p></div>",
+    ],
+)
+def test_names_with_a_hint_in_them_are_content(part):
+    page = f"<article><p>{LONG}</p>{part.format('Kept as well.')}<p>{LONG}</p></article>"
+    assert html.main_text(page) == f"{LONG.strip()}\nKept as well.\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("sign", [
+    "class='ad'", "class='comment-list'", "class='site-footer x'", "class='SiteFooter'",
+    "id='comments'", "class='related-posts'", "class='a sidebar b'",
+])
+def test_names_of_other_parts_are_not(sign):
+    page = f"<article><p>{LONG}</p><div {sign}><p>{LONG}</p></div></article>"
+    assert html.main_text(page) == LONG.strip()
