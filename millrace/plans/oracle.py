@@ -160,6 +160,7 @@ _BODIES = {
     "stream_parquet": f"SELECT {ROW} FROM clean",
     "stream_unique_parquet": FIRST_ROWS,
     "stream_batch_sink": f"SELECT {ROW}, CAST(wave AS BIGINT) AS batch_id FROM clean",
+    "stream_unique_batch_sink": f"SELECT {ROW}, CAST(wave AS BIGINT) AS batch_id FROM first_arrived",
     "stream_to_database": FIRST_ROWS,
     "stream_two_sinks": f"""
   SELECT {ROW}, 'files' AS sink FROM clean
@@ -171,6 +172,13 @@ _BODIES = {
   SELECT event_id, strftime(event_time, '%Y-%m-%d %H:%M:%S.%f'), CAST(user_id AS VARCHAR), action,
          CAST(product_id AS VARCHAR), product_name, category, CAST(quantity AS VARCHAR), source,
          CAST(wave AS BIGINT), 'stored' FROM clean""",
+    "stream_unique_quarantine": f"""
+  SELECT {TEXTS}, CAST(CASE WHEN file_no <= 3 THEN 0 WHEN file_no <= 7 THEN 1 ELSE 2 END AS BIGINT)
+         AS batch_id, reason FROM broken WHERE reason IS NOT NULL
+  UNION ALL
+  SELECT event_id, strftime(event_time, '%Y-%m-%d %H:%M:%S.%f'), CAST(user_id AS VARCHAR), action,
+         CAST(product_id AS VARCHAR), product_name, category, CAST(quantity AS VARCHAR), source,
+         CAST(wave AS BIGINT), 'stored' FROM first_arrived""",
     "replay_after_reset": UNIQUE_ROWS,
     "batch_metrics": """
   SELECT CAST(CASE wave WHEN 0 THEN 0 ELSE wave + 1 END AS BIGINT) AS batch_id, n AS rows,

@@ -343,6 +343,15 @@ def stream_batch_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(table.read(spark), "batch_id")
 
 
+@query
+def stream_unique_batch_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches in folders of their own, unique over all of them: copies that come again stay out."""
+    table = files.BatchTable(spark, scratch(spark, "batches"))
+    write = batches.to_table(table)
+    _deliver(spark, sf_dir, lambda job: jobs.start_batches(spark, job, write, unique=True))
+    return comparable(table.read(spark), "batch_id")
+
+
 @query
 def stream_to_database(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, table = _database(spark)
@@ -365,13 +374,11 @@ def stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionAll(second)
 
 
-@query
-def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One pass: valid rows to a table, rejected rows to another with the reason."""
+def _quarantine(spark: SparkSession, sf_dir: str, unique: bool) -> DataFrame:
     rejected = files.BatchTable(spark, scratch(spark, "rejected"), files.reject_schema())
     table = files.BatchTable(spark, scratch(spark, "batches"))
     write = batches.to_table(table)
-    _deliver(spark, sf_dir, lambda job: jobs.start_split(spark, job, write, rejected))
+    _deliver(spark, sf_dir, lambda job: jobs.start_split(spark, job, write, rejected, unique=unique))
     texts = [F.col(name).cast("string").alias(name) for name in RAW_COLUMNS if name != "price"]
     stored = table.read(spark).withColumns(
         {"event_time": F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")}
@@ -383,6 +390,18 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionAll(parts[1])
 
 
+@query
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pass: valid rows to a table, rejected rows to another with the reason."""
+    return _quarantine(spark, sf_dir, unique=False)
+
+
+@query
+def stream_unique_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with valid rows unique over all batches."""
+    return _quarantine(spark, sf_dir, unique=True)
+
+
 @query
 def replay_after_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append once, empty the table, and read the same folder again from a new checkpoint."""

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from millrace.functions.rules import is_valid, reject_reason
 from millrace.operators.clean import clean
 from millrace.schema import INGEST_TIME, KEY, event_schema
 from millrace.session import settings
@@ -155,12 +156,15 @@ def start_split(
     write: Writer,
     rejected: BatchTable,
     metrics: MetricsLog | None = None,
+    unique: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Like `start_batches`, and rejected rows are kept with the reason.
 
-    Rows are stamped in the stream, so a replayed batch has the ingest time it had before.
+    Rows are stamped in the stream, so a replayed batch has the ingest time it had before. With
+    `unique`, valid rows with keys of earlier batches are dropped; rejected rows are all kept and
+    are not part of the state. Both halves then read the batch's files.
     """
-    raw = job.raw(spark).withColumn(job.ingest_time, F.current_timestamp())
     handle = split_callback(
         write,
         rejected,
@@ -169,7 +173,14 @@ def start_split(
         job.ingest_time,
         job.strict_time,
     )
-    return job.started(raw).foreachBatch(handle).start()
+    values = _unique(spark, state_partitions) if unique else {}
+    with settings(spark, values) if unique else nullcontext(spark) as own:
+        raw = job.raw(own).withColumn(job.ingest_time, F.current_timestamp())
+        if unique:
+            valid = raw.where(is_valid(job.strict_time, raw.columns))
+            broken = raw.where(reject_reason(job.strict_time, raw.columns).isNotNull())
+            raw = first_seen(valid).unionAll(broken)
+        return job.started(raw).foreachBatch(handle).start()
 
 
 def wait(queries: Sequence[StreamingQuery]) -> None:

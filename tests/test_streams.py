@@ -171,6 +171,24 @@ def test_rejected_rows_are_kept_with_their_reason(spark, put_csv, job, tmp_path)
     assert stamps.distinct().count() == 2
 
 
+def test_split_keeps_keys_unique_over_batches(spark, put_csv, job, tmp_path):
+    put_csv("1.csv", {"event_id": "a"}, {"event_id": "c", "action": "click"}, {"event_id": "b"})
+    put_csv("2.csv", {"event_id": "a", "source": "app"}, {"event_id": "c", "action": "click"})
+    folder = put_csv("3.csv", {"event_id": "b"}, {"event_id": "c"}, {"event_id": None})
+    rejected = BatchTable(spark, str(tmp_path / "rejected"), reject_schema())
+    table = BatchTable(spark, str(tmp_path / "table"))
+    write = failing_once(batches.to_table(table), at=2)
+    stream = job(folder, max_files=1)
+    start = partial(jobs.start_split, spark, stream, write, rejected, unique=True)
+    with pytest.raises(StreamingQueryException, match="lost"):
+        start(state_partitions=2).awaitTermination()
+    start(state_partitions=2).awaitTermination()
+    rows = sorted((r.event_id, r.batch_id) for r in table.read(spark).collect())
+    assert rows == [("a", 0), ("b", 0), ("c", 2)]
+    broken = sorted((r.batch_id, r.reason) for r in rejected.read(spark).collect())
+    assert broken == [(0, "bad_action"), (1, "bad_action"), (2, "missing_event_id")]
+
+
 def test_bytes_bound_a_batch(spark, put_csv, job, tmp_path):
     for n in range(4):
         folder = put_csv(f"{n}.csv", {"event_id": f"e{n}"})
