@@ -36,7 +36,7 @@ FULL_WORDS = 200
 ROW_GROUP_BYTES = 8 * 2**20
 # Shorter texts do not shape a reference.
 GUARD_CHARS = 100
-# Languages compared at most: the most frequent ones. A label column is no place for more.
+# References that go into one expression; more of them go to the tasks as a row.
 LANGUAGES = 64
 
 SPACE = r"[\x20\x09-\x0D]"
@@ -126,27 +126,47 @@ def ordinary() -> Column:
 Reference = tuple[str | None, list[float], list[float]]
 
 
-def references(rows: DataFrame) -> list[Reference]:
-    """Language, shares of character classes, shares of common words, from counted rows.
+SIZES = {"chars": len(CHAR_CLASSES) + 1, "words": len(WORDS) + 1}
 
-    Counts of all documents that look like prose are added up per language; languages without
-    any such document have no reference.
+
+def reference_sums(rows: DataFrame) -> DataFrame:
+    """Counts of all documents that look like prose, per language, from counted rows.
+
+    Languages without any such document have no reference.
     """
-    sizes = {"chars": len(CHAR_CLASSES) + 1, "words": len(WORDS) + 1}
     sums = [
-        F.sum(F.col(name)[i]).alias(f"{name}{i}") for name, n in sizes.items() for i in range(n)
+        F.sum(F.col(name)[i]).alias(f"{name}{i}") for name, n in SIZES.items() for i in range(n)
     ]
-    found = rows.where(ordinary()).groupBy("lang").agg(F.count("*").alias("n"), *sums)
-    top = found.orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1).collect()
-    named = [row for row in top if row.lang is not None] or top
+    return rows.where(ordinary()).groupBy("lang").agg(*sums)
+
+
+def references(sums: DataFrame) -> list[Reference] | None:
+    """Language, shares of character classes, shares of common words; None for many languages."""
+    found = sums.limit(LANGUAGES + 1).collect()
+    if len(found) > LANGUAGES:
+        return None
+    named = [row for row in found if row.lang is not None] or found
 
     def shares(row, name: str) -> list[float]:
-        counts = [float(row[f"{name}{i}"] or 0) for i in range(sizes[name])]
+        counts = [float(row[f"{name}{i}"] or 0) for i in range(SIZES[name])]
         return [count / max(sum(counts), 1.0) for count in counts]
 
     return [(row.lang, shares(row, "chars"), shares(row, "words")) for row in named]
 
 
+def reference_row(sums: DataFrame) -> DataFrame:
+    """All references in one row, for many languages: references, with shares and I(shares)."""
+
+    def parts(name: str) -> list[Column]:
+        counts = F.array(*(F.col(f"{name}{i}").cast("double") for i in range(SIZES[name])))
+        shares = F.transform(counts, lambda x: x / F.greatest(_total(counts), F.lit(1.0)))
+        return [shares.alias(name), _total(F.transform(shares, _informed)).alias(f"{name}_own")]
+
+    named = sums.where("lang IS NOT NULL")
+    shares = F.struct(*parts("chars"), *parts("words"))
+    return named.agg(F.collect_list(shares).alias("references"))
+
+
 def _informed(share: Column) -> Column:
     return F.when(share > 0, share * F.log2(share)).otherwise(0.0)
 
@@ -162,15 +182,15 @@ def summed(rows: DataFrame, name: str) -> DataFrame:
     return rows.withColumn(f"{name}_own", _total(shares))
 
 
-def distance(name: str, reference: list[float]) -> Column:
+def distance(name: str, reference: Column, other: Column | float) -> Column:
     """Jensen-Shannon divergence (base 2) of a summed histogram to a reference's shares.
 
-    With I(p) the sum of p log p, it is half of I(p) + I(q) minus I of the mean of both.
+    With I(p) the sum of p log p, it is half of I(p) + I(q) minus I of the mean of both; `other`
+    is that of the reference.
     """
-    other = sum(y * math.log2(y) for y in reference if y > 0)
     means = F.zip_with(
         F.col(name),
-        F.array(*map(F.lit, reference)),
+        reference,
         lambda x, y: _informed((x / F.col(f"{name}_total") + y) / 2),
     )
     return F.greatest((F.col(f"{name}_own") + other) / 2 - _total(means), F.lit(0.0))
@@ -178,11 +198,20 @@ def distance(name: str, reference: list[float]) -> Column:
 
 def nearest(name: str, references: list[list[float]]) -> Column:
     """The distance of a histogram to its nearest reference; 0 where there is none."""
-    found = [distance(name, reference) for reference in references]
+    found = [
+        distance(name, F.array(*map(F.lit, shares)), sum(y * math.log2(y) for y in shares if y > 0))
+        for shares in references
+    ]
     least = F.least(*found) if len(found) > 1 else found[0] if found else F.lit(0.0)
     return F.round(F.sqrt(least), 6)
 
 
+def nearest_of_many(name: str) -> Column:
+    """The same for references in a column."""
+    found = F.transform("references", lambda r: distance(name, r[name], r[f"{name}_own"]))
+    return F.round(F.sqrt(F.array_min(found)), 6)
+
+
 def base_counts(documents: DataFrame, *kept: Column) -> DataFrame:
     """Columns kept, with the histograms and the base counts of every whole text."""
     rows = histograms(documents, *kept)
@@ -256,12 +285,18 @@ def judge(documents: DataFrame, kept: Column) -> DataFrame:
     # Small row groups: the writer holds one in memory, here with whole texts.
     counted.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     rows = spark.read.parquet(path)
-    known = references(rows)
+    sums = reference_sums(rows)
+    known = references(sums)
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words")
     )
-    chars = nearest("chars", [shares for _, shares, _ in known])
-    words = nearest("words", [shares for _, _, shares in known])
+    if known is None:
+        # One row of at most a kilobyte per language goes to every task.
+        rows = rows.crossJoin(F.broadcast(reference_row(sums)))
+        chars, words = nearest_of_many("chars"), nearest_of_many("words")
+    else:
+        chars = nearest("chars", [shares for _, shares, _ in known])
+        words = nearest("words", [shares for _, _, shares in known])
     far = (chars > _scaled(CHAR_DISTANCE, F.col("chars_total"), FULL_CHARS)) | (
         words > _scaled(WORD_DISTANCE, F.col("words_total"), FULL_WORDS)
     )

@@ -54,6 +54,20 @@ def test_query_equals_sql(spark, tables, name):
     assert rows_of(found, columns) == sorted(expected.fetchall(), key=repr)
 
 
+def test_quality_measures_every_language(spark, tables):
+    """More languages than go into one expression: each has its reference, as in the SQL."""
+    from millrace.llm import quality_rules
+
+    many = f"SELECT * REPLACE ('l' || doc_id % 90 AS lang) FROM '{SF}/documents.parquet'"
+    with duckdb.connect() as other:
+        other.execute(f"CREATE VIEW documents AS {many}")
+        expected = other.execute(SQL["op4_quality_rules"])
+        columns, rows = [c[0] for c in expected.description], expected.fetchall()
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    documents = documents.selectExpr("doc_id", "text", "concat('l', doc_id % 90) AS lang")
+    assert rows_of(quality_rules.quality(documents), columns) == sorted(rows, key=repr)
+
+
 def test_packing_is_whole_gapless_and_tight(spark, texts):
     from tokenizers import Tokenizer
 
