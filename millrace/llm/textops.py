@@ -28,7 +28,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 LOWER_BYTES = LOWER.tobytes()
 
-# Rows of one Arrow batch. Texts may be long, so batches are short.
+# Rows that a step takes at once. Spark bounds its batches by 64 MB; steps make several objects
+# per row, so they take them in shorter ones.
 BATCH_ROWS = 256
 # Bytes that the vectorised steps take at once.
 BLOCK_BYTES = 1 << 20
@@ -37,12 +38,10 @@ _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
 def prepare(spark: SparkSession) -> None:
-    """Make ready for Python code in tasks.
+    """Make ready for Python code in tasks: send this package to the executors.
 
-    Bounds the memory that an Arrow batch of whole texts takes, and sends this package to the
-    executors, which need not have it installed.
+    They need not have it installed. No setting of the session is touched.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId not in _SENT:
         root = Path(__file__).resolve().parent.parent
@@ -59,8 +58,15 @@ _SENT: set[str] = set()
 Batches = Iterator[pa.RecordBatch]
 
 
+def short(batches: Batches) -> Batches:
+    """The same rows in batches of at most BATCH_ROWS."""
+    for batch in batches:
+        for low in range(0, len(batch), BATCH_ROWS):
+            yield batch.slice(low, BATCH_ROWS)
+
+
 def tidy(function: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
-    """Give memory back to the system: batches as they are done, the rest after the partition.
+    """Hand rows on in short batches, and give memory back to the system when done.
 
     Spark keeps a worker for later tasks, next to a JVM that may need the memory by then.
     """
@@ -68,7 +74,7 @@ def tidy(function: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]
     @functools.wraps(function)
     def tidied(batches: Batches) -> Batches:
         pa.set_memory_pool(pa.system_memory_pool())  # the default one keeps what batches took
-        yield from function(batches)
+        yield from function(short(batches))
         gc.collect()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
         if trim:
