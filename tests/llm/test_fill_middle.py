@@ -1,0 +1,113 @@
+"""Fill-in-the-middle against the token pattern itself, and exact round trips."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import numpy as np
+from hypothesis import given
+from hypothesis import settings as limits
+from hypothesis import strategies as st
+
+from millrace.llm import fill_middle
+from millrace.llm.textops import mix
+
+TOKEN = re.compile("[\x20\x09-\x0d]*[^\x20\x09-\x0d]+|[\x20\x09-\x0d]+")
+SCHEMA = "doc_id long, text string, n long, form string, output string"
+
+
+def document(text: str, places: list[int], summaries=None) -> fill_middle.Document:
+    data = text.encode()
+    ends = fill_middle.chunk_ends(len(data), [p for p in places if p < len(data)])
+    return fill_middle.Document(data, ends, summaries or fill_middle.Summaries())
+
+
+PIECES = st.lists(st.sampled_from(["a", "bc", " ", "\n", "é", "€x", "\t\x0b", "<P", "<P>", ">", "𝄞"]))
+
+
+@given(PIECES, st.lists(st.integers(1, 200), unique=True).map(sorted))
+@limits(max_examples=300, deadline=None)
+def test_counts_and_cuts_equal_the_pattern(pieces, places):
+    """Whatever the chunks, even within a word, a character or a sentinel."""
+    text = "".join(pieces)
+    data = text.encode()
+    places = [p for p in places if p < len(data)]
+    ends = [*places, len(data)] if data else []
+    found = fill_middle.Document(data, ends, fill_middle.Summaries())
+    tokens = TOKEN.findall(text)
+    assert found.tokens == len(tokens)
+    for n in range(len(tokens) + 1):
+        part = "".join(tokens[:n])
+        assert found.cut(n) == (len(part.encode()), len(part))
+    assert found.sentinel == any(mark in text for mark in ("<P>", "<S>", "<M>"))
+
+
+def test_windows_name_boundaries():
+    """The doubling of spans gives the hash of the window's bytes one by one."""
+    data = np.random.default_rng(1).integers(0, 256, 20_000).astype(np.uint8)
+    codes = fill_middle.byte_codes()[data]
+    total = np.zeros(len(data) - fill_middle.WINDOW + 1, np.uint64)
+    for k in range(fill_middle.WINDOW):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + len(total)]
+    slow = np.flatnonzero(mix(total) >> fill_middle.SHIFT == 0) + fill_middle.WINDOW
+    assert fill_middle.boundaries(data).tolist() == slow.tolist()
+    assert 20 < len(slow) < 80
+
+
+def test_shared_passages_are_read_once():
+    rng = np.random.default_rng(3)
+    words = [f"w{x}" for x in rng.integers(0, 10_000, 6000)]
+    passage = " ".join(words)
+    summaries = fill_middle.Summaries()
+    sizes = []
+    for head in ("first beginning ", "another one, somewhat longer, "):
+        text = (head + passage).encode()
+        places = fill_middle.boundaries(np.frombuffer(text, np.uint8)).tolist()
+        ends = fill_middle.chunk_ends(len(text), places)
+        assert fill_middle.Document(text, ends, summaries).tokens == len((head + passage).split())
+        sizes.append(summaries.size)
+    assert sizes[1] - sizes[0] < 0.05 * sizes[0]
+
+
+def test_a_full_cache_changes_nothing():
+    texts = [f"some words {i} and more of them" * 30 for i in range(20)]
+    small = fill_middle.Summaries(limit=500)
+    for text in texts:
+        places = list(range(70, len(text), 70))
+        assert document(text, places, small).tokens == document(text, places).tokens
+        assert small.size <= 500 + 8192
+
+
+def expected(doc_id, text):
+    """The contract, step by step."""
+    text = text or ""
+    tokens = TOKEN.findall(text)
+    name = "" if doc_id is None else str(doc_id)
+    digest = hashlib.sha256(f"42:{name}".encode()).hexdigest()
+    h = [int(digest[8 * k : 8 * k + 8], 16) for k in range(4)]
+    n = len(tokens)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = ("".join(t) for t in (tokens[:a], tokens[a:b], tokens[b:]))
+    if h[3] % 100 < 80:
+        return n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def test_operator(spark):
+    long = " ".join(f"wörd{i % 977}\n" for i in range(60_000))
+    texts = ["", None, " ", "\n\n", "one", " two words ", "a<P>b", "<", "é" * 50_000, long, "x <S", "\x00 y"]
+    rows = [(i, texts[i % len(texts)], 1, "f", "o") for i in range(120)]
+    rows += [(None, "no id here", 1, None, None), (None, None, None, None, None), (9, long, 1, "", "")]
+    documents = spark.createDataFrame(rows, SCHEMA)
+    found = fill_middle.fill_middle(documents).collect()
+    assert sorted((tuple(row) for row in found), key=repr) == sorted(
+        ((row[0], *expected(row[0], row[1])) for row in rows), key=repr
+    )
+    digests = fill_middle.digests(documents).collect()
+    back = sorted(row.restored_sha256 for row in digests)
+    assert back == sorted(hashlib.sha256((row[1] or "").encode()).hexdigest() for row in rows)
+    assert {row.form for row in digests} == {"plain", "spm", "psm"}
+    assert fill_middle.digests(documents.limit(0)).collect() == []
