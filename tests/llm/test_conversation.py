@@ -1,0 +1,210 @@
+"""Conversation repair against all edits of short conversations, and its edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import re
+import zlib
+
+import pytest
+from hypothesis import given
+from hypothesis import settings as limits
+from hypothesis import strategies as st
+
+from millrace.llm import conversation
+from millrace.llm.conversation import BLANK, DUPLICATE, INITIALS, OK, TRUNCATED, code, repair
+
+SCHEMA = "conv_id long, turn long, role string, text string, copies string, kind int, audit string"
+RIGHT = re.compile("(s?(ua)+)?")
+
+
+def cheapest(rows, most=14):
+    """Least cost and audit by trying strings of edits in order, without states or bounds."""
+    best = None
+
+    def extend(place, roles, cost, audit):
+        nonlocal best
+        if best and (cost, audit) >= best and cost > best[0] or cost > most:
+            return
+        if place == len(rows) and RIGHT.fullmatch(roles):
+            best = min(best or (cost, audit), (cost, audit))
+        if len(audit) > len(rows) + 2:
+            return
+        for role in "ua":
+            extend(place, roles + role, cost + 5, audit + "I")
+        if place < len(rows):
+            initial, fault = rows[place]
+            extend(place + 1, roles, cost + 2, audit + "D")
+            if fault in (OK, TRUNCATED):
+                price = 5 if fault == TRUNCATED else 0
+                extend(place + 1, roles + initial, cost + price, audit + "K")
+                for role in "ua":
+                    extend(place + 1, roles + role, cost + price + 1, audit + "R")
+
+    extend(0, "", 0, "")
+    return best
+
+
+ROWS = st.lists(st.tuples(st.sampled_from(INITIALS), st.sampled_from([OK, OK, OK, BLANK, DUPLICATE, TRUNCATED])), max_size=5)
+
+
+@given(ROWS)
+@limits(max_examples=150, deadline=None)
+def test_repair_equals_brute_force(rows):
+    assert repair("".join(code(*row) for row in rows)) == cheapest(rows)
+
+
+def by_states(rows):
+    """Least (cost, audit) for each state, row by row: a second method for long conversations."""
+    def opened(best):
+        found = dict(best)
+        for _ in range(2):
+            for state, (cost, audit) in list(found.items()):
+                to = conversation.AFTER[state]
+                entry = cost + 5, audit + "I"
+                found[to] = min(found.get(to, entry), entry)
+        return found
+
+    best = {0: (0, "")}
+    for initial, fault in rows:
+        after = {}
+        for state, (cost, audit) in opened(best).items():
+            for edit, price, _, to in conversation.edits_of([(initial, fault)], 0, state):
+                if edit != "I":
+                    entry = cost + price, audit + edit
+                    after[to] = min(after.get(to, entry), entry)
+        best = after
+    return min(entry for state, entry in opened(best).items() if state in (0, 3))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_long_conversations(seed):
+    import random
+
+    draw = random.Random(seed)
+    rows = []
+    for i in range(1500):
+        initial = "ua"[i % 2] if draw.random() > 0.1 else draw.choice(INITIALS)
+        rows.append((initial, draw.choice([OK] * 9 + [BLANK, DUPLICATE, TRUNCATED])))
+    assert repair("".join(code(*row) for row in rows)) == by_states(rows)
+
+
+def test_estimates_never_exceed_the_cost():
+    for size in range(4):
+        for rows in itertools.product(itertools.product("su?", (OK, TRUNCATED)), repeat=size):
+            found = conversation.estimates(list(rows))
+            assert found[0] <= cheapest(rows)[0]
+
+
+def expected(rows):
+    """The contract over rows (conv_id, turn, role, text): one result per conversation."""
+    text_of = lambda x: " " if x is None else str(x)
+    results = {}
+    for conv_id in {row[0] for row in rows}:
+        after = []
+        for own, turn, role, text in rows:
+            if own != conv_id:
+                continue
+            role, text = text_of(role), text_of(text)
+            draw = zlib.crc32(f"{text_of(conv_id)}:{text_of(turn)}".encode()) % 20
+            if draw == 0:
+                continue
+            text = "" if draw == 1 else re.sub("[.!?]", "", text) if draw == 2 else text
+            role = "user" if draw == 4 else role
+            after += [(turn, role, text)] * (2 if draw == 3 else 1)
+        after.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).hexdigest()))
+        seen, coded = set(), []
+        for _, role, text in after:
+            bare = text.strip(conversation.SPACES)
+            initial = role[:1] if role[:1] in ("s", "u", "a") else "?"
+            fault = BLANK if not bare else DUPLICATE if (role, text) in seen else OK if bare[-1] in ".!?" else TRUNCATED
+            seen.add((role, text))
+            coded.append((initial, fault))
+        turns = [turn for turn, _, _ in after if turn is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        pairs = [a[0] + b[0] for a, b in zip(coded, coded[1:], strict=False)]
+        cost, audit = by_states(coded)
+        lines, place, state = [], 0, 0
+        for edit in audit:
+            name = {"u": "user", "a": "assistant"}[conversation.EXPECTED[state]]
+            if edit == "I":
+                lines.append(f"{name}:")
+            elif edit in "KR":
+                lines.append(f"{after[place][1] if edit == 'K' else name}:{after[place][2]}")
+            if edit != "D":
+                system = edit == "K" and coded[place][0] == "s"
+                state = conversation.OPENED if system else conversation.AFTER[state]
+            place += edit != "I"
+        faults = [fault for _, fault in coded]
+        results[conv_id] = (
+            gaps, faults.count(BLANK), faults.count(DUPLICATE), faults.count(TRUNCATED),
+            sum(pair not in ("su", "ua", "au") for pair in pairs), cost, audit,
+            hashlib.sha256("\n".join(lines).encode()).hexdigest(),
+        )
+    return results
+
+
+def messages():
+    long = "word " * 20_000 + "end."
+    rows = [(1, t, ("system", "user", "assistant")[min(t, 1 + t % 2)], f"Text {t}.") for t in range(9)]
+    rows += [(2, t, "user", "Same again.") for t in range(40)]  # one message fills it
+    rows += [(3, t, ("user", "assistant")[t % 2], f"No end {t}") for t in range(6)]
+    rows += [(4, 0, None, None), (4, None, "tool", "Odd!"), (4, None, "", ""), (4, 5, "user", long), (4, 5, "assistant", "Tie?")]
+    rows += [(None, None, None, None), (None, 3, "user", "Hi.\n"), (None, 3, "user", "Hi.\n"), (5, None, "user", " \t\x0b")]
+    rows += [(6, 1, "user", "Q?"), (6, 1, "user", "Q?"), (6, 9, "assistant", "A.")]
+    dropped = next(t for t in range(1000) if zlib.crc32(f"7:{t}".encode()) % 20 == 0)
+    rows += [(7, dropped, "user", "Gone.")]
+    rows += [(8, t, ("user", "assistant")[t % 2], f"Long one {t}.") for t in range(1200)]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rows = [(*row, "x", 1, None) for row in messages()]
+    return spark.createDataFrame(rows, SCHEMA).repartition(5)
+
+
+NAMES = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def test_report(table):
+    found = conversation.repair_report(table).collect()
+    assert {r.conv_id: tuple(r[n] for n in NAMES) for r in found} == expected(messages())
+    assert len(found) == 9
+    empty = hashlib.sha256(b"").hexdigest()
+    gone = next(r for r in found if r.conv_id == 7)
+    assert tuple(gone[n] for n in NAMES) == (0, 0, 0, 0, 0, 0, "", empty)
+
+
+def test_pieces_of_a_conversation(table, monkeypatch):
+    """A conversation that many tasks and hand-overs share gives the same result."""
+    whole = sorted(conversation.audits(conversation.damage(table)).collect(), key=repr)
+    many = conversation._coded(conversation.damage(table)).where("conv_id = 8").coalesce(1)
+    order = ("conv_id", "turn", "role", "digest")
+    rows = many.sortWithinPartitions(*order).selectExpr("0 AS part", "conv_id", "turn", "codes")
+    batches = [b for b in rows.toArrow().to_batches(max_chunksize=100)]
+    monkeypatch.setattr(conversation, "SEGMENT", 90)
+    pieces = [piece for batch in conversation._segments(iter(batches)) for piece in batch.to_pylist()]
+    assert len(pieces) > 10 and [p["number"] for p in pieces] == list(range(len(pieces)))
+    assert (8, *conversation.examine(pieces)) in [tuple(row) for row in whole]
+
+
+def test_repaired_messages(table):
+    damaged = conversation.damage(table)
+    found = conversation.audits(damaged)
+    rows = conversation.repaired(damaged, found).collect()
+    lines = {}
+    for row in sorted(rows, key=lambda r: (str(r.conv_id), r.place)):
+        lines.setdefault(row.conv_id, []).append((row.role, row.text))
+    for conv_id, (*_, digest) in expected(messages()).items():
+        joined = "\n".join(f"{role}:{text}" for role, text in lines.get(conv_id, []))
+        assert hashlib.sha256(joined.encode()).hexdigest() == digest
+        assert RIGHT.fullmatch("".join(role[:1] for role, _ in lines.get(conv_id, [])))
+
+
+def test_empty_and_null_tables(spark):
+    assert conversation.repair_report(spark.createDataFrame([], SCHEMA)).collect() == []
+    rows = [(None,) * 7] * 3
+    found = conversation.repair_report(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(found) == 1 and found[0].blank == 3 and found[0].audit == "DDD"
