@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm import (
     bpe,
     classifier,
+    conversation,
     exact_dedup,
+    fill_middle,
     html,
     langid,
     line_dedup,
     minhash,
+    neighbours,
     oracle,
     packing,
     quality_rules,
@@ -100,6 +104,22 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    is_query = F.col("vec_id") % 100 == 0
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), is_query)
+
+
+@query
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation.repair_report(table(spark, sf_dir, "conversations"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
@@ -111,6 +131,8 @@ ORACLE: dict[str, str] = {
     "op5_warc": oracle.WARC,
     "op9_line_dedup": oracle.LINE_DEDUP,
     "op10_minhash": oracle.minhash(NEAR.words, NEAR.percent),
+    "op12_fill_middle": oracle.FILL_MIDDLE,
+    "op13_conversation_repair": oracle.CONVERSATIONS,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -169,3 +169,115 @@ SELECT doc_id, n_words, word_chars, n_symbols, CAST(n_dup_lines AS BIGINT) AS n_
              {q.FULL_WORDS}::DOUBLE / greatest(all_words, 1), 1.0)) AS kept,
        char_distance, word_distance
 FROM j"""
+
+
+# Tokens by a pattern, draws from the hash of the id, parts as joined tokens.
+FILL_MIDDLE = r"""
+WITH d AS (SELECT doc_id, coalesce("text", '') AS t,
+                  sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+k AS (SELECT *, regexp_extract_all(t,
+               '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+             CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1,
+             CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+             CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3,
+             CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+             greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                       OR h3 % 100 >= 50 THEN 'plain'
+                  WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM k),
+p AS (SELECT *, array_to_string(units[1:a], '') AS prefix,
+             array_to_string(units[a + 1:b], '') AS middle,
+             array_to_string(units[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END)
+         AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p"""
+
+# Damage, faults, and for each row and state the least (cost, audit) of all ways to get there.
+# best holds for the states (nothing, system, user, assistant) the cost, the audit and the roles
+# so far; a row is deleted, kept or given another role, after no or one inserted message.
+CONVERSATIONS = r"""
+WITH RECURSIVE steps AS (
+  SELECT list_transform(range(256), lambda c: list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crcs),
+raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce("text", ' ') AS t,
+               coalesce(CAST(conv_id AS VARCHAR), ' ') || ':'
+                 || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+drawn AS (SELECT raw.*, xor(list_reduce(
+            list_concat([4294967295], list_transform(string_split(key, ''), lambda c: ord(c))),
+            lambda x, c: xor(crcs[(xor(x, c) & 255) + 1], x >> 8)), 4294967295) % 20 AS draw
+          FROM raw, steps),
+damaged AS (SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+                   CASE draw WHEN 1 THEN '' WHEN 2 THEN translate(t, '.!?', '') ELSE t END AS t,
+                   unnest(range(CASE WHEN draw = 3 THEN 2 ELSE 1 END)) AS copy
+            FROM drawn WHERE draw <> 0),
+trimmed AS (SELECT *, sha256(t) AS digest, substr(role, 1, 1) AS initial,
+                   rtrim(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+            FROM damaged),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY conv_id
+                     ORDER BY turn NULLS FIRST, role, digest) AS place,
+                   count(*) OVER (PARTITION BY conv_id) AS n FROM trimmed),
+repeats AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, t ORDER BY place) AS again
+            FROM ordered),
+faults AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN again > 1 THEN 'duplicate'
+                          WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated'
+                          ELSE 'none' END AS fault,
+                  lag(initial) OVER (PARTITION BY conv_id ORDER BY place) AS before FROM repeats),
+counted AS (SELECT conv_id,
+                   coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank,
+                   count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (place > 1 AND before || initial NOT IN ('su', 'ua', 'au'))
+                     AS illegal FROM faults GROUP BY conv_id),
+states(state, next, wants, name) AS (
+  VALUES (0, 2, 'u', 'user'), (1, 2, 'u', 'user'), (2, 3, 'a', 'assistant'), (3, 2, 'u', 'user')),
+walk AS (
+  SELECT conv_id, 0 AS place, max(n) AS n, 0 AS state, 0 AS cost, '' AS audit,
+         CAST([] AS VARCHAR[]) AS lines FROM faults GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, place + 1, any_value(n), state, min(cost), arg_min(audit, (cost, audit)),
+         arg_min(lines, (cost, audit)) FROM (
+    WITH opened AS (
+      SELECT conv_id, place, n, state, cost, audit, lines FROM walk
+      UNION ALL
+      SELECT conv_id, place, n, s.next, cost + 5, audit || 'I', list_append(lines, s.name || ':')
+      FROM walk JOIN states s USING (state)),
+    ready AS (SELECT o.*, f.role, f.t, f.initial, f.fault, s.next, s.wants, s.name,
+                     CASE WHEN f.fault = 'truncated' THEN 5 ELSE 0 END AS cut
+              FROM opened o JOIN states s USING (state)
+              JOIN faults f ON f.conv_id IS NOT DISTINCT FROM o.conv_id AND f.place = o.place + 1)
+    SELECT conv_id, place, n, state, cost + 2 AS cost, audit || 'D' AS audit, lines FROM ready
+    UNION ALL
+    SELECT conv_id, place, n, CASE WHEN initial = 's' THEN 1 ELSE next END, cost + cut,
+           audit || 'K', list_append(lines, role || ':' || t) FROM ready
+    WHERE fault NOT IN ('blank', 'duplicate')
+      AND (initial = wants OR (initial = 's' AND state = 0))
+    UNION ALL
+    SELECT conv_id, place, n, next, cost + 1 + cut, audit || 'R',
+           list_append(lines, name || ':' || t) FROM ready
+    WHERE fault NOT IN ('blank', 'duplicate') AND initial <> wants) AS x
+  GROUP BY conv_id, place, state),
+ends AS (SELECT conv_id, cost, audit, lines FROM walk WHERE place = n AND state IN (0, 3)
+         UNION ALL
+         SELECT conv_id, cost + 5, audit || 'I', list_append(lines, 'assistant:')
+         FROM walk WHERE place = n AND state = 2
+         UNION ALL
+         SELECT conv_id, cost + 10, audit || 'II', lines || ['user:', 'assistant:']
+         FROM walk WHERE place = n AND state = 1),
+best AS (SELECT conv_id, arg_min((cost, audit, lines), (cost, audit)) AS b FROM ends
+         GROUP BY conv_id)
+SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank,
+       coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated,
+       coalesce(c.illegal, 0) AS illegal, CAST(coalesce(b[1], 0) AS BIGINT) AS cost,
+       coalesce(b[2], '') AS audit,
+       sha256(coalesce(array_to_string(b[3], chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM o.conv_id"""

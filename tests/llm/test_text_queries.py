@@ -13,7 +13,15 @@ import pytest
 
 from corpus_pipeline import STAGES
 from millrace.llm.catalog import QUERIES
-from millrace.llm.oracle import EXACT_DEDUP, LINE_DEDUP, WARC, minhash, quality
+from millrace.llm.oracle import (
+    CONVERSATIONS,
+    EXACT_DEDUP,
+    FILL_MIDDLE,
+    LINE_DEDUP,
+    WARC,
+    minhash,
+    quality,
+)
 from millrace.llm.textops import tokenizer_file
 
 SF = "/root/testdata/sf0.001"
@@ -23,6 +31,8 @@ SQL = {
     "op5_warc": WARC,
     "op9_line_dedup": LINE_DEDUP,
     "op10_minhash": minhash(3, 85),
+    "op12_fill_middle": FILL_MIDDLE,
+    "op13_conversation_repair": CONVERSATIONS,
 }
 KINDS = {"VARCHAR": "string", "BIGINT": "bigint", "DOUBLE": "double", "BOOLEAN": "boolean"}
 
