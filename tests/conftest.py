@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import itertools
+import os
 import sys
+import time
 from pathlib import Path
 
 import pytest
@@ -56,9 +59,10 @@ def raw(spark):
 
 @pytest.fixture
 def put_csv(tmp_path):
-    """Write one event file into a folder, by hand."""
+    """Write one event file into a folder, by hand; each a second later than the one before."""
     folder = tmp_path / "incoming"
     folder.mkdir()
+    times = itertools.count(int(time.time()) - 10_000)
 
     def put(name: str, *changes: dict, header=RAW_COLUMNS) -> str:
         lines = [",".join(header)]
@@ -66,6 +70,7 @@ def put_csv(tmp_path):
             row = {**GOOD, **change}
             lines.append(",".join(row[column] or "" for column in header))
         (folder / name).write_text("\n".join(lines) + "\n")
+        os.utime(folder / name, (moment := next(times), moment))
         return str(folder)
 
     return put
