@@ -34,6 +34,8 @@ KEY = "event_id"
 INGEST_TIME = "stored_at"
 # Folders of a table that is laid out for lookups.
 DAY = "event_date"
+# The event time as a number, in a table that is laid out along a curve.
+MICROS = "event_micros"
 
 # Columns a stored row must have a value in (the ingest time has a default).
 REQUIRED = ("event_id", "event_time", "user_id", "action", "product_id")
