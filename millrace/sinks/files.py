@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.schema import (
     DAY,
     INGEST_TIME,
+    KEY,
     MALFORMED,
+    MICROS,
     RAW_COLUMNS,
     RAW_SCHEMA,
     event_columns,
     event_schema,
 )
+from millrace.session import remove
 from millrace.sources.files import QUOTING
 
 
@@ -33,6 +39,12 @@ def write_arrivals(feed: DataFrame, path: str) -> None:
     rows.write.partitionBy("file_no").option("header", True).options(**QUOTING).csv(path)
 
 
+def _by_day(rows: DataFrame) -> DataFrameWriter:
+    ordered = rows.hint("rebalance", DAY).sortWithinPartitions(DAY, "user_id", "event_time")
+    writer = ordered.write.partitionBy(DAY)
+    return writer.option("parquet.bloom.filter.enabled#product_id", "true")
+
+
 def write_lookup_table(events: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Events laid out for lookups by time, user, product and action.
 
@@ -40,15 +52,79 @@ def write_lookup_table(events: DataFrame, path: str, mode: str = "overwrite") ->
     (row groups are skipped by their statistics), products have a bloom filter per row group.
     Rebalancing splits a hot day over several tasks and files.
     """
-    rows = events.withColumn(DAY, F.to_date("event_time"))
-    (
-        rows.hint("rebalance", DAY)
-        .sortWithinPartitions(DAY, "user_id", "event_time")
-        .write.mode(mode)
-        .partitionBy(DAY)
-        .option("parquet.bloom.filter.enabled#product_id", "true")
-        .parquet(path)
-    )
+    _by_day(events.withColumn(DAY, F.to_date("event_time"))).mode(mode).parquet(path)
+
+
+# Columns of the curve, and the bits that each is cut to.
+CURVE = ("user_id", "product_id", "event_time")
+CURVE_BITS = 6
+
+
+def _rank(number: Column, cuts: list[int], bits: int) -> Column:
+    """How many of the cuts (2**bits - 1, in order) are below a number, by halving."""
+    held = F.array(*(F.lit(cut).cast("long") for cut in cuts))
+    jumps = F.array(*(F.lit(1 << i) for i in reversed(range(bits))))
+
+    def step(at: Column, jump: Column) -> Column:
+        return F.when(number > F.element_at(held, at + jump), at + jump).otherwise(at)
+
+    return F.aggregate(jumps, F.lit(0), step)
+
+
+def curve_place(
+    events: DataFrame, columns: tuple[str, ...] = CURVE, bits: int = CURVE_BITS
+) -> Column:
+    """A column with each row's place on a Morton curve over the ranks of some columns.
+
+    Each column is cut into 2**bits ranges that hold about equally many rows, whatever its
+    values; the bits of the range numbers are dealt out in turn. One pass finds the cuts.
+    """
+    steps = 1 << bits
+    shares = [i / steps for i in range(1, steps)]
+    numbers = {
+        name: F.unix_micros(name) if name == "event_time" else F.col(name).cast("long")
+        for name in columns
+    }
+    found = events.agg(
+        *(F.percentile_approx(x, shares, 100 * steps).alias(name) for name, x in numbers.items())
+    ).first()
+    place = F.lit(0).cast("long")
+    for d, (name, number) in enumerate(numbers.items()):
+        rank = _rank(number, found[name] or [0] * (steps - 1), bits)
+        for i in range(bits):
+            bit = F.shiftright(rank, i).bitwiseAND(F.lit(1)).cast("long")
+            place = place.bitwiseOR(F.shiftleft(bit, len(columns) * i + d))
+    return place
+
+
+def write_curve_table(
+    events: DataFrame, path: str, mode: str = "overwrite", group_rows: int = 100_000
+) -> None:
+    """Events along a space-filling curve, for lookups by user, by product and by time alike.
+
+    Rows that are near in all three columns are near in the table, so the statistics of row
+    groups let a lookup by any one of them skip most groups. Times are stored as numbers besides,
+    since Parquet keeps no statistics of the form that Spark writes them in. Ranges are cut
+    within equal places too (by the key), so one crowded place is several tasks.
+    """
+    rows = events.withColumns({"_place": curve_place(events), MICROS: F.unix_micros("event_time")})
+    order = ("_place", *CURVE, KEY)
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("_place")
+    rows.write.mode(mode).option("parquet.block.row.count.limit", group_rows).parquet(path)
+
+
+def replay_days(events: DataFrame, path: str, days: Sequence[date]) -> None:
+    """Write named days of a table laid out by day anew, and leave the others as they are.
+
+    `events` are all events of these days (and may hold others, which are left out). A day that
+    has none any more becomes empty.
+    """
+    spark, wanted = events.sparkSession, [F.lit(day) for day in days]
+    rows = events.withColumn(DAY, F.to_date("event_time")).where(F.col(DAY).isin(*wanted))
+    left = {row[0] for row in rows.select(DAY).distinct().collect()}  # some of the named days
+    _by_day(rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    for day in set(days) - left:
+        remove(spark, f"{path}/{DAY}={day.isoformat()}")
 
 
 def create_event_table(spark: SparkSession, name: str, path: str) -> None:
@@ -88,9 +164,18 @@ class BatchTable:
         """All batches, with their `batch_id`."""
         return spark.read.schema(self.schema).parquet(self.path)
 
+    def folder(self, batch_id: int) -> str:
+        return f"{self.path}/batch_id={batch_id}"
+
+    def read_batches(self, spark: SparkSession, numbers: list[int]) -> DataFrame:
+        """The rows of some batches; the folders of others are not opened."""
+        fields = [field for field in self.schema if field.name != "batch_id"]
+        reader = spark.read.schema(T.StructType(fields))
+        return reader.parquet(*(self.folder(number) for number in numbers))
+
     def replace(self, rows: DataFrame, batch_id: int) -> None:
         """Write a batch in place of what an earlier attempt left.
 
         Rebalancing gives a small batch one file, however many tasks its rows come from.
         """
-        rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        rows.hint("rebalance").write.mode("overwrite").parquet(self.folder(batch_id))

@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.connection import Database
-from millrace.operators.clean import clean, rejects
+from millrace.functions.rules import reject_reason, rules
+from millrace.operators.clean import clean
 from millrace.operators.dedup import one_per_key
-from millrace.schema import INGEST_TIME
+from millrace.operators.summaries import summarise
+from millrace.schema import INGEST_TIME, KEY
 from millrace.session import kept
 from millrace.sinks import database as db
 from millrace.sinks.files import BatchTable
-from millrace.streaming.metrics import BatchMetric, MetricsLog
+from millrace.sinks.filters import KeyFilters
+from millrace.streaming.metrics import BatchMetric, MetricsLog, RejectLog
 
 
 class Batch(NamedTuple):
@@ -78,16 +81,28 @@ def split_callback(
     checkpoint_dir: str,
     ingest_time: str = INGEST_TIME,
     strict_time: bool = False,
+    counted: RejectLog | None = None,
 ) -> Handler:
     """A callback for raw batches: valid rows go on to `write`, the others to `rejected`.
 
-    The batch is kept while both halves are written, so its files are parsed once.
+    The batch is kept while both halves are written, so its files are parsed once. `counted`
+    notes how many rows broke each rule, counted while the rejected rows are written.
     """
     handle = batch_callback(write, metrics, checkpoint_dir)
 
     def split(batch: DataFrame, batch_id: int) -> None:
         with adaptive(batch.sparkSession), kept(batch) as raw:
-            rejected.replace(rejects(raw, strict_time), batch_id)
+            reason = reject_reason(strict_time, raw.columns)
+            names = list(rules(strict_time, raw.columns))
+            seen = Observation()
+            rows = raw.withColumn("reason", reason).observe(
+                seen,
+                F.count(F.lit(1)).alias("rows"),
+                *(F.count_if(F.col("reason") == name).alias(name) for name in names),
+            )
+            rejected.replace(rows.where("reason IS NOT NULL"), batch_id)
+            if counted:
+                counted.rows.put(batch.sparkSession, batch_id, seen.get)
             handle(clean(raw, ingest_time, strict_time), batch_id)
 
     return split
@@ -109,6 +124,50 @@ def to_table(table: BatchTable) -> Writer:
     return write
 
 
+def to_unique_table(table: BatchTable, filters: KeyFilters) -> Writer:
+    """Like `to_table`, without the keys that other batches of the table hold. Exact, no state.
+
+    The filters say which batches may hold one of the keys; only the keys of those are read and
+    compared. The row of a key is the smallest of the first batch that brings it. A batch stopped
+    half way is written again as a whole: its own number is never asked.
+    """
+
+    def write(rows: DataFrame, batch: Batch) -> int:
+        spark = rows.sparkSession
+        with kept(rows) as held:
+            others = filters.batches_for(held.select(KEY), but=batch.number)
+            fresh = held
+            if others:
+                stored = table.read_batches(spark, others).select(KEY)
+                fresh = held.join(stored, KEY, "left_anti").select(*held.columns)
+            counted = Observation()
+            fresh = fresh.observe(counted, F.count(F.lit(1)).alias("n"))
+            table.replace(fresh, batch.number)
+        added = counted.get["n"]
+        if added:
+            written = table.read_batches(spark, [batch.number])
+            filters.add(written.select(KEY), batch.number, added)
+        return added
+
+    return write
+
+
+def with_summaries(write: Writer, table: BatchTable, summaries: BatchTable) -> Writer:
+    """Write a batch to `table`, and its figures (`operators/summaries.py`) beside it.
+
+    The figures are made from what the batch stored, so they hold for any writer of the table; a
+    batch that is written again replaces them.
+    """
+
+    def write_both(rows: DataFrame, batch: Batch) -> int:
+        added = write(rows, batch)
+        stored = table.read_batches(rows.sparkSession, [batch.number])
+        summaries.replace(summarise(stored), batch.number)
+        return added
+
+    return write_both
+
+
 def append_to(
     database: Database, table: str, connections: int = db.CONNECTIONS
 ) -> Writer:

@@ -8,18 +8,27 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.functions.rules import is_valid, reject_reason
 from millrace.operators.clean import clean
 from millrace.schema import INGEST_TIME, KEY, event_schema
-from millrace.session import settings
+from millrace.session import kept, settings
 from millrace.sinks.files import BatchTable
 from millrace.sources.files import watch_events
-from millrace.streaming.batches import Writer, batch_callback, split_callback, to_table
-from millrace.streaming.metrics import MetricsLog, ProgressLog
+from millrace.streaming.batches import (
+    Writer,
+    adaptive,
+    batch_callback,
+    split_callback,
+    to_table,
+)
+from millrace.streaming.memory import LATE, STORED, remembered
+from millrace.streaming.metrics import MetricsLog, ProgressLog, RejectLog
 
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -75,25 +84,63 @@ class StreamJob:
         return self.trigger(writer.option("checkpointLocation", self.checkpoint_dir))
 
 
-def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of each key within every Arrow batch."""
+# Bytes of rows that a task holds before it hands on the smallest of each key.
+HELD_BYTES = 16 << 20
+
+
+def _smallest(parts: list[pa.Table]) -> pa.Table:
+    """Of each key the smallest row, compared column by column, missing values first."""
+    rows = pa.concat_tables(parts).combine_chunks()
+    names = [KEY, *(name for name in rows.column_names if name != KEY)]
+    order = [(name, "ascending") for name in names]
+    rows = rows.take(pc.sort_indices(rows, sort_keys=order, null_placement="at_start"))
+    codes = rows[KEY].combine_chunks().dictionary_encode().indices.to_numpy()
+    return rows.filter(pa.array(np.r_[True, codes[1:] != codes[:-1]][: len(rows)]))
+
+
+def _thin(batches: Iterator[pa.RecordBatch], held_bytes: float = HELD_BYTES):
+    """The smallest row of each key, as far as the rows that a task may hold show it."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        held.append(pa.Table.from_batches([batch]))
+        if sum(part.nbytes for part in held) >= held_bytes:
+            held = [_smallest(held)]
+            if held[0].nbytes >= held_bytes / 2:  # mostly different keys
+                yield from held.pop().to_batches()
+    if held:
+        yield from _smallest(held).to_batches()
+
+
+def _one_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The smallest row of each key of a partition."""
+    held: list[pa.Table] = []
     for batch in batches:
-        codes = batch.column(KEY).dictionary_encode().indices
-        _, first = np.unique(codes, return_index=True)
-        yield batch.take(pa.array(np.sort(first)))
+        held.append(pa.Table.from_batches([batch]))
+        if sum(part.nbytes for part in held[1:]) >= max(HELD_BYTES, held[0].nbytes):
+            held = [_smallest(held)]
+    if held:
+        yield from _smallest(held).to_batches()
 
 
-def first_seen(events: DataFrame, thin: bool = True) -> DataFrame:
+def one_per_batch(events: DataFrame) -> DataFrame:
+    """Of each key the smallest row of a batch of the stream.
+
+    Copies go before the shuffle, as a key may fill much of a batch; after it a task holds each
+    key of its part of the batch once, which `max_files` or `max_bytes` bounds.
+    """
+    # Without the metadata by which Spark would know the column of a watermark.
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in events.schema])
+    return events.mapInArrow(_thin, schema).repartition(KEY).mapInArrow(_one_each, schema)
+
+
+def first_seen(events: DataFrame) -> DataFrame:
     """Drop repeated keys across all batches, with the keys seen so far as stream state.
 
     Every key is remembered, so the result is exact whatever the order of event times, and work
     per batch grows with the batch, not with the table. A key's row is that of the first batch
-    that brings it; which of several copies within that batch is not defined. `thin` drops
-    copies within each Arrow batch before the shuffle, as a key may fill much of a batch.
+    that brings it, and of several copies within that batch the smallest.
     """
-    if thin:
-        events = events.mapInArrow(_thin, events.schema)
-    return events.dropDuplicates([KEY])
+    return one_per_batch(events).dropDuplicates([KEY])
 
 
 def start_files(spark: SparkSession, job: StreamJob, path: str) -> StreamingQuery:
@@ -121,6 +168,33 @@ def start_unique_files(
     )
 
 
+def start_remembered(
+    spark: SparkSession,
+    job: StreamJob,
+    table: BatchTable,
+    late: BatchTable,
+    horizon: str,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Each key once in `table`, with keys remembered for a horizon of event time.
+
+    Of a key's copies in a batch the smallest stands for all. It is stored unless the key is
+    remembered. Events older than the newest event time of earlier batches less the horizon go
+    to `late`, one per key and batch: no key is lost, and state stays bounded.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        with adaptive(batch.sparkSession), kept(batch) as rows:
+            for target, fate in ((table, STORED), (late, LATE)):
+                target.replace(rows.where(F.col("fate") == fate).drop("fate"), batch_id)
+
+    with settings(spark, _unique(spark, state_partitions)) as own:
+        events = job.events(own).withWatermark("event_time", horizon)
+        return job.started(remembered(one_per_batch(events))).foreachBatch(handle).start()
+
+
 def start_console(spark: SparkSession, job: StreamJob, rows: int = 20) -> StreamingQuery:
     """The newest rows on the console, untruncated. Without progress: a restart shows all again."""
     writer = job.events(spark).writeStream.outputMode("append").format("console")
@@ -158,6 +232,7 @@ def start_split(
     metrics: MetricsLog | None = None,
     unique: bool = False,
     state_partitions: int | None = None,
+    counted: RejectLog | None = None,
 ) -> StreamingQuery:
     """Like `start_batches`, and rejected rows are kept with the reason.
 
@@ -172,6 +247,7 @@ def start_split(
         job.checkpoint_dir,
         job.ingest_time,
         job.strict_time,
+        counted,
     )
     values = _unique(spark, state_partitions) if unique else {}
     with settings(spark, values) if unique else nullcontext(spark) as own:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import logging
 import threading
+from collections.abc import Iterable
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,6 +113,19 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(METRICS_SCHEMA).json(path)
 
 
+class RejectLog:
+    """Keeps for each batch how many rows it had and how many broke each rule first."""
+
+    def __init__(self, path: str) -> None:
+        self.rows = RowLog(path)
+
+
+def read_reject_counts(spark: SparkSession, path: str, reasons: Iterable[str]) -> DataFrame:
+    """The rows a `RejectLog` kept: batch_id, rows, and a column per reason."""
+    counts = ", ".join(f"{reason} long" for reason in reasons)
+    return spark.read.schema(f"batch_id long, rows long, {counts}").json(path)
+
+
 class ProgressLog(StreamingQueryListener):
     """Keeps the figures of every trigger of one query that had input, from its start to its end.
 
