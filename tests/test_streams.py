@@ -11,6 +11,7 @@ from millrace.connection import target
 from millrace.operators.clean import clean
 from millrace.operators.report import falling_behind
 from millrace.schema import RAW_COLUMNS
+from millrace.session import settings
 from millrace.sinks import database as db
 from millrace.sinks.files import BatchTable, reject_schema
 from millrace.sources.database import read_database
@@ -272,8 +273,40 @@ def test_state_remembers_keys_over_restarts(spark, put_csv, job, tmp_path):
 
 
 def test_thinning_drops_copies_before_the_shuffle(spark, raw):
+    """Whatever the size of batches between Spark and Python."""
     events = clean(raw(*[{"event_id": "hot"}] * 500, {"event_id": "a"})).coalesce(1)
-    assert ids(events.mapInArrow(jobs._thin, events.schema)) == ["a", "hot"]
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "7"}):
+        assert ids(events.mapInArrow(jobs._thin, events.schema)) == ["a", "hot"]
+
+
+def test_thinning_holds_a_bounded_number_of_bytes(spark, raw):
+    sources = ["b", "a", "c"]
+    changes = [{"event_id": f"e{n % 40}", "source": sources[n % 3]} for n in range(400)]
+    events = clean(raw(*changes)).select("event_id", "source")
+    small = [events.toArrow().slice(n, 20).combine_chunks() for n in range(0, 400, 20)]
+    parts = [batch for part in small for batch in part.to_batches()]
+    handed = list(jobs._thin(iter(parts), held_bytes=600))
+    assert sum(len(batch) for batch in handed) > 40 and len(handed) > 2  # most were handed on
+    whole = list(jobs._one_each(iter(parts)))
+    rows = sorted((r["event_id"], r["source"]) for batch in whole for r in batch.to_pylist())
+    assert rows == sorted((f"e{n}", "a") for n in range(40))
+
+
+def test_the_smallest_copy_of_a_batch_stays(spark, put_csv, job, tmp_path):
+    """As one_per_key has it, missing values first."""
+    put_csv("1.csv", {"event_id": "a", "source": "web"}, {"event_id": "a", "source": "app"})
+    folder = put_csv(
+        "2.csv",
+        {"event_id": "a", "source": "aaa"},
+        {"event_id": "b", "price": "10.00"},
+        {"event_id": "b", "price": "9.00"},
+        {"event_id": "c", "price": "1.00"},
+        {"event_id": "c", "price": None},
+    )
+    out = str(tmp_path / "out")
+    jobs.start_unique_files(spark, job(folder, max_files=1), out).awaitTermination()
+    found = {r.event_id: (r.source, r.price and float(r.price)) for r in read_table(spark, out).collect()}
+    assert found == {"a": ("app", None), "b": ("web", 9.0), "c": ("web", None)}
 
 
 def test_late_first_deliveries_are_kept(spark, put_csv, job, tmp_path):
