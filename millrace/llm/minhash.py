@@ -7,12 +7,13 @@ shingle are neighbours in memory. Bands of the signature name buckets; rows that
 are candidates, and every link is confirmed on the full shingle sets.
 
 How groups are kept small, without losing links:
-* rows with equal shingle sets are one class from the start, so copies never pair;
+* rows with equal sequences of words (by 128 bits of BLAKE2) are one class from the start, so
+  copies never pair;
 * in each of a few rounds every class is paired with one center of its buckets;
-* what these links do not already join is compared within its buckets across the components
-  found so far, so a large group of near copies is not paired with itself. Of these pairs, those
-  whose one-bit signatures differ far beyond what the similarity allows are not confirmed (4.5
-  standard deviations, besides the exact bound that set sizes give).
+* of what these links do not already join, the classes that share a bucket with another component
+  are compared across components by the prefixes of their sets (see prefixes.py). That is exact:
+  no pair that is similar enough is left out, whatever the sizes of groups, and texts that differ
+  too much from all others, or only hold a common passage, are never paired.
 
 Defined results
 * text is lower-cased in A-Z only; words are runs of anything but space and \\t to \\r;
@@ -27,16 +28,16 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
+from millrace.llm.prefixes import candidate_pairs
 from millrace.llm.textops import (
     LOWER,
     LOWER_BYTES,
@@ -59,24 +60,18 @@ SHINGLES_AT_ONCE = 256
 
 @dataclass(frozen=True)
 class NearRule:
-    """Words of a shingle, similarity in percent, and the shape of the signature.
-
-    The first bands * rows coordinates are banded; of all `size` one bit each is kept, to tell
-    pairs that cannot be similar enough.
-    """
+    """Words of a shingle, similarity in percent, and the shape of the signature."""
 
     words: int = 5
     percent: int = 80
     bands: int = 32
     rows: int = 5
-    size: int = 1024
     seed: int = 20240
 
     @property
-    def differing_bits(self) -> int:
-        """Most bits that one-bit signatures of a link differ in, to 4.5 deviations."""
-        differ = (1 - self.percent / 100) / 2
-        return math.ceil(self.size * differ + 4.5 * math.sqrt(self.size * differ * (1 - differ)))
+    def size(self) -> int:
+        """Coordinates of a signature."""
+        return self.bands * self.rows
 
 
 @functools.lru_cache(maxsize=2)
@@ -111,51 +106,71 @@ def signature(shingles: np.ndarray, rule: NearRule) -> np.ndarray:
 
 def band_keys(least: np.ndarray, rule: NearRule) -> np.ndarray:
     keys = mix(np.arange(rule.bands, dtype=np.uint64) + np.uint64(rule.seed))
-    for column in least[: rule.bands * rule.rows].reshape(rule.bands, rule.rows).T:
+    for column in least.reshape(rule.bands, rule.rows).T:
         keys = mix(keys + column.astype(np.uint64))
     return keys.view(np.int64)
 
 
-SIGNED = "doc_id long, text_hash long, set binary, n long, keys array<long>, bits array<long>"
+SIGNED = "doc_id long, text_hash long, set binary, n long, keys array<long>"
+
+
+def shingled(texts: pa.Array, words: int) -> Iterator[tuple[bytes, np.ndarray]]:
+    """For each text its bytes in lower case, and the sorted distinct hashes of its shingles."""
+    data, offsets = as_bytes(texts)
+    for low, high in blocks(offsets):
+        part = LOWER[data[offsets[low] : offsets[high]]]
+        places = offsets[low : high + 1] - offsets[low]
+        starts, ends, first = word_spans(part, places)
+        hashes = span_hashes(part, starts, ends)
+        for i in range(high - low):
+            text = part[places[i] : places[i + 1]].tobytes()
+            yield text, shingle_hashes(hashes[first[i] : first[i + 1]], words)
 
 
 def _sign(rule: NearRule):
-    def one(words: np.ndarray) -> tuple:
-        shingles = shingle_hashes(words, rule.words)
+    def one(text: bytes, shingles: np.ndarray) -> tuple:
         if not len(shingles):
-            return b"", 0, [], []
-        least = signature(shingles, rule)
-        bits = np.packbits((least & 1).astype(np.uint8))
-        bits = np.pad(bits, (0, -len(bits) % 8)).view(np.int64)
-        name = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
-        return name, len(shingles), band_keys(least, rule), bits
+            return b"", 0, []
+        name = hashlib.blake2b(b" ".join(text.split()), digest_size=16).digest()
+        return name, len(shingles), band_keys(signature(shingles, rule), rule)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = as_bytes(batch.column(2))
-            rows = []
-            for low, high in blocks(offsets):
-                part = LOWER[data[offsets[low] : offsets[high]]]
-                starts, ends, first = word_spans(part, offsets[low : high + 1] - offsets[low])
-                hashes = span_hashes(part, starts, ends)
-                rows += [one(hashes[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
-            names, counts, keys, bits = list(zip(*rows, strict=True)) or [()] * 4
-            longs = pa.list_(pa.int64())
+            rows = [one(*found) for found in shingled(batch.column(2), rule.words)]
+            names, counts, keys = list(zip(*rows, strict=True)) or [()] * 3
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.array(names, pa.binary()),
                     pa.array(counts, pa.int64()),
-                    pa.array(keys, longs),
-                    pa.array(bits, longs),
+                    pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "text_hash", "set", "n", "keys", "bits"],
+                names=["doc_id", "text_hash", "set", "n", "keys"],
             )
 
     return sign
 
 
+def _members(rule: NearRule):
+    """Ids and components of classes with the shingles of their texts."""
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [found.view(np.int64) for _, found in shingled(batch.column(2), rule.words)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([len(found) for found in sets], pa.int64()),
+                    pa.array(sets, pa.list_(pa.int64())),
+                ],
+                names=["id", "component", "n", "members"],
+            )
+
+    return members
+
+
 def shingle_set(text: str, size: int) -> set[tuple[bytes, ...]]:
     """The exact set of a text: tuples of words."""
     words = text.encode().translate(LOWER_BYTES).split()
@@ -192,16 +207,6 @@ def _kept(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.parquet(path)
 
 
-def _possible(rule: NearRule) -> Column:
-    """Set sizes and one-bit signatures of a pair allow the similarity."""
-    sizes = 100 * F.least("n_a", "n_b") >= rule.percent * F.greatest("n_a", "n_b")
-    words = -(-rule.size // 64)
-    differ = [
-        F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(words)
-    ]
-    return sizes & (sum(differ[1:], differ[0]) <= rule.differing_bits)
-
-
 def _links(pairs: DataFrame, texts: DataFrame, rule: NearRule) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough."""
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
@@ -239,25 +244,15 @@ def _stars(labelled: DataFrame, turn: int) -> DataFrame:
     return taken.select(F.least("id", "center.id").alias("a"), F.greatest("id", "center.id").alias("b"))
 
 
-def _across(labelled: DataFrame, classes: DataFrame, rule: NearRule) -> DataFrame:
-    """Possible pairs that share a bucket and are in different components, each pair once."""
+def _across(labelled: DataFrame, texts: DataFrame, rule: NearRule) -> DataFrame:
+    """Pairs across components, of classes that share a bucket with another component."""
     mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     rows = labelled.join(mixed.where("x < y").select("key"), "key", "left_semi")
-    rows = _kept(rows.join(classes.select("id", "n", "bits", "keys"), "id"), "open")
-    names = ("id", "component", "n", "bits", "keys")
-    left, right = (
-        rows.select("key", "band", *(F.col(name).alias(f"{name}_{side}") for name in names))
-        for side in "ab"
-    )
-    # Of the buckets that a pair shares, only that of the first band makes the pair.
-    same = F.zip_with("keys_a", "keys_b", lambda x, y: x == y)
-    found = left.join(right.drop("band"), "key").where(
-        (F.col("id_a") < F.col("id_b"))
-        & (F.col("component_a") != F.col("component_b"))
-        & _possible(rule)
-        & (F.array_position(same, F.lit(True)) == F.col("band") + 1)
-    )
-    return found.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    rows = _kept(rows.select("id", "component").distinct(), "open")
+    held = rows.join(texts, "id").select("id", "component", "text")
+    kinds = "id long, component long, n long, members array<long>"
+    sets = _kept(held.mapInArrow(tidy(_members(rule)), kinds), "sets")
+    return candidate_pairs(sets, rule.percent, _kept)
 
 
 def signed(documents: DataFrame, rule: NearRule) -> tuple[DataFrame, DataFrame]:
@@ -283,7 +278,6 @@ def near_duplicates(documents: DataFrame, rule: NearRule = NearRule()) -> DataFr
         F.min(place).alias("row"),
         F.any_value("n").alias("n"),
         F.any_value("keys").alias("keys"),
-        F.any_value("bits").alias("bits"),
     )
     classes = _kept(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
@@ -304,7 +298,7 @@ def near_duplicates(documents: DataFrame, rule: NearRule = NearRule()) -> DataFr
         if turn < TURNS:
             pairs = _stars(labelled, turn).distinct()
         else:
-            pairs = _across(labelled, classes, rule)
+            pairs = _across(labelled, held, rule)
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = _kept(pairs, "pairs")
