@@ -1,14 +1,15 @@
 """Connected components of links between rows, by contraction.
 
-In each round every node points at the smallest of itself and its neighbours, and links between
-nodes become links between what they point at. Links within a component vanish round by round;
-each round's tables are written to the shared folder, so lineage stays short and a lost executor
-costs one round at most.
+In each round every node draws a number by a hash of its id and the round, and points at the one
+with the least number among itself and its neighbours; links between nodes become links between
+what they point at. So a constant share of the nodes goes in each round, whatever the ids and the
+shape of the component (a chain of ascending ids included). Each round's tables are written to
+the shared folder, so lineage stays short and a lost executor costs one round at most.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.session import scratch
@@ -28,12 +29,17 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = _kept(links.select("a", "b").where("a <> b").distinct(), "links")
     member = None
+    turn = 0
+
+    def drawn(node: str) -> Column:
+        return F.struct(F.xxhash64(node, F.lit(turn)).alias("draw"), F.col(node).alias("id"))
+
     while not edges.isEmpty():
+        turn += 1
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        points = both.groupBy("a").agg(F.min("b").alias("to"))
-        points = _kept(
-            points.select(F.col("a").alias("node"), F.least("a", "to").alias("to")), "points"
-        )
+        points = both.groupBy("a").agg(F.min(drawn("b")).alias("to"))
+        points = points.select(F.col("a").alias("node"), F.least(drawn("a"), "to")["id"].alias("to"))
+        points = _kept(points, "points")
         if member is None:
             member = points.select("node", F.col("to").alias("component"))
         else:
