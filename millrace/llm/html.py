@@ -22,9 +22,12 @@ Defined results
 from __future__ import annotations
 
 import html
+import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from statistics import median
 
 import numpy as np
 import pyarrow as pa
@@ -87,6 +90,10 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 STOPS = re.compile(r"[.,;:!?。，；：！？…]")
 
+# A menu within an article: so many blocks in a row that are links as a whole, with texts of fewer
+# characters in the middle and without an end of a sentence.
+MENU_BLOCKS, MENU_CHARS = 3, 30
+
 # Neighbours that smoothing reaches, and their weights by distance.
 REACH = 2
 WEIGHTS = np.exp(-0.5 * (np.arange(-REACH, REACH + 1) / 1.0) ** 2)
@@ -101,44 +108,62 @@ TEASER_PART, TEASER_WEIGHT, MOST = 0.25, 0.1, 2 / 3
 
 @dataclass
 class Run:
-    """A run of text: its block, path, the path's parent, whether linked, the article it is in,
-    and the elements around it that by their names are not the article."""
+    """A run of text: its block, path, the path's parent and that of its block, whether linked,
+    the article it is in, and the elements around it that by their names are not the article."""
 
     block: int
-    path: str
-    parent: str
+    path: int
+    parent: int
+    block_path: int
     text: str
     linked: bool
     article: int
     heading: bool
-    listed: tuple[int, ...]
+    listed: int
     # Those of them that hold the whole article.
-    outer: tuple[int, ...]
+    outer: int
 
 
 @dataclass
 class _Element:
     name: str
-    path: str
+    path: int
+    block_path: int
     skipped: bool
     linked: bool
     article: int
     heading: bool
-    listed: tuple[int, ...]
-    outer: tuple[int, ...]
+    listed: int
+    outer: int
 
 
 @dataclass
 class _Reader:
-    """Reads a page into runs of text with paths."""
+    """Reads a page into runs of text with paths.
+
+    Paths are numbers, each known by its parent's number and the step from it, and so are chains
+    of listed elements: nesting however deep takes memory once per element.
+    """
 
     runs: list[Run] = field(default_factory=list)
     block: int = 0
     articles: int = 0
-    lists: int = 0
+    # For every chain of listed elements the one around it; 0 is none.
+    chains: list[int] = field(default_factory=lambda: [0])
+    paths: dict[tuple[int, str], int] = field(default_factory=dict)
+    parents: list[int] = field(default_factory=lambda: [0])
+    # Open elements by name.
+    opened: Counter = field(default_factory=Counter)
+
+    def path(self, parent: int, step: str) -> int:
+        found = self.paths.get((parent, step))
+        if found is None:
+            found = self.paths[parent, step] = len(self.parents)
+            self.parents.append(parent)
+        return found
 
     def read(self, page: str) -> list[Run]:
-        self.stack = [_Element("", "", False, False, 0, False, (), ())]
+        self.stack = [_Element("", 0, 0, False, False, 0, False, 0, 0)]
         place = 0
         while True:
             found = TAG.search(page, place)
@@ -167,28 +192,29 @@ class _Reader:
     def text(self, raw: str) -> None:
         top = self.stack[-1]
         if raw and not top.skipped:
-            parent = top.path.rpartition("/")[0]
             self.runs.append(Run(
-                self.block, top.path, parent, html.unescape(raw), top.linked, top.article,
-                top.heading, top.listed, top.outer,
+                self.block, top.path, self.parents[top.path], top.block_path, html.unescape(raw),
+                top.linked, top.article, top.heading, top.listed, top.outer,
             ))
 
     def pop_to(self, index: int) -> None:
-        if any(e.name not in INLINE for e in self.stack[index:]):
+        gone = self.stack[index:]
+        if any(e.name not in INLINE for e in gone):
             self.block += 1
+        self.opened.subtract(e.name for e in gone)
         del self.stack[index:]
 
     def open(self, name: str, rest: str) -> None:
         if name not in INLINE:
             # A block ends an open paragraph.
-            for i in range(len(self.stack) - 1, 0, -1):
+            for i in range(len(self.stack) - 1, 0, -1) if self.opened["p"] > 0 else ():
                 if self.stack[i].name == "p":
                     self.pop_to(i)
                     break
                 if self.stack[i].name in HOLDERS or self.stack[i].name in ("li", "td", "th"):
                     break
             self.block += 1
-        if name in ENDS:
+        if name in ENDS and any(self.opened[other] > 0 for other in ENDS[name]):
             for i in range(len(self.stack) - 1, 0, -1):
                 if self.stack[i].name in ENDS[name]:
                     self.pop_to(i)
@@ -228,16 +254,20 @@ class _Reader:
                 or (not article and (name == "header" or named(values, HINTS_OUTSIDE, name in HEADINGS)))
             )
         ):
-            self.lists += 1
-            listed = (*listed, self.lists)
+            self.chains.append(listed)
+            listed = len(self.chains) - 1
         sign = "." + ".".join(sorted(words)) if words else ""
         heading = top.heading or (len(name) == 2 and name[0] == "h" and name[1] in "123456")
+        path = self.path(top.path, f"{name}{sign}")
+        self.opened[name] += 1
         self.stack.append(_Element(
-            name, f"{top.path}/{name}{sign}", skipped, top.linked or name == "a", article, heading,
-            listed, outer,
+            name, path, top.block_path if name in INLINE else path, skipped,
+            top.linked or name == "a", article, heading, listed, outer,
         ))
 
     def close(self, name: str) -> None:
+        if self.opened[name] <= 0:
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].name == name:
                 self.pop_to(i)
@@ -261,7 +291,7 @@ def named(values: dict[str, str], hints: set[str], slug: bool) -> bool:
 
 def scores(runs: list[Run]) -> np.ndarray:
     """The smoothed and fused path ratios of runs with text."""
-    totals: dict[str, list[float]] = {}
+    totals: dict[int, list[float]] = {}
     for run in runs:
         total = totals.setdefault(run.path, [0, 0, 0, 0])
         size = len(run.text)
@@ -288,40 +318,77 @@ def scores(runs: list[Run]) -> np.ndarray:
 
 
 def plain_part(runs: list[Run]) -> np.ndarray:
-    """How much of each run's path is not linked; headings count as not linked."""
-    totals: dict[str, list[int]] = {}
+    """How much of each run's block path is not linked; headings count as not linked.
+
+    So a paragraph that is a link counts like the paragraphs beside it. Where all blocks of a path
+    are links, they are a menu if they come in a row as short texts that are no sentences; a
+    single one, or a list of sources, is text.
+    """
+    totals: dict[int, list[int]] = {}
+    blocks: dict[int, list[Run]] = {}
     for run in runs:
-        total = totals.setdefault(run.path, [0, 0])
+        total = totals.setdefault(run.block_path, [0, 0])
         total[0] += len(run.text)
         total[1] += 0 if run.linked and not run.heading else len(run.text)
-    return np.array([totals[run.path][1] / totals[run.path][0] for run in runs])
-
-
-def _exempt(runs: list[Run]) -> set[int]:
-    """Listed elements that hold the page's article, or most of a page without articles."""
-    articles: dict[int, int] = {}
-    inside: dict[int, int] = {}
+        blocks.setdefault(run.block, []).append(run)
+    whole = {
+        block: all(totals[run.block_path][1] == 0 for run in held) for block, held in blocks.items()
+    }
+    menus: set[int] = set()
+    for linked, row in itertools.groupby(blocks, key=whole.__getitem__):
+        row = list(row)
+        texts = ["".join(run.text for run in blocks[block]).strip() for block in row]
+        if linked and len(row) >= MENU_BLOCKS and median(map(len, texts)) < MENU_CHARS:
+            if not any(STOPS.search(text) for text in texts):
+                menus.update(row)
+    parts = [totals[run.block_path] for run in runs]
+    return np.array([
+        (0.0 if run.block in menus else 1.0) if whole[run.block] else part[1] / part[0]
+        for run, part in zip(runs, parts, strict=True)
+    ])
+
+
+def _allowed(reader: _Reader) -> list[bool]:
+    """For every chain of listed elements, whether text in it may count.
+
+    It may if each of them holds the page's article, or most of a page without articles.
+    """
+    runs, chains = [run for run in reader.runs if run.text.strip()], reader.chains
+    exempt: set[int] = set()
+    articles: Counter = Counter()
+    inside = [0] * len(chains)
     for run in runs:
         size = len(run.text.strip())
         if run.article:
-            articles[run.article] = articles.get(run.article, 0) + size
+            articles[run.article] += size
         if not run.linked:
-            for element in run.listed:
-                inside[element] = inside.get(element, 0) + size
+            inside[run.listed] += size
     if articles:
-        if any(run.article and not run.outer for run in runs):
-            return set()
         largest = max(articles, key=articles.__getitem__)
-        return {e for run in runs if run.article == largest for e in run.outer}
-    total = sum(len(run.text.strip()) for run in runs if not run.linked)
-    return {element for element, size in inside.items() if size > MOST * total}
+        held = {run.outer for run in runs if run.article == largest}
+        if all(run.outer for run in runs if run.article):
+            for chain in held:
+                while chain:
+                    exempt.add(chain)
+                    chain = chains[chain]
+    else:
+        total = sum(inside)
+        for chain in range(len(chains) - 1, 0, -1):  # a chain comes after the one around it
+            if inside[chain] > MOST * total:
+                exempt.add(chain)
+            inside[chains[chain]] += inside[chain]
+    allowed = [True] * len(chains)
+    for chain in range(1, len(chains)):
+        allowed[chain] = chain in exempt and allowed[chains[chain]]
+    return allowed
 
 
 def main_text(page: str) -> str:
     """The article of a page."""
-    runs = _Reader().read(page)
-    exempt = _exempt([run for run in runs if run.text.strip()])
-    runs = [run for run in runs if exempt.issuperset(run.listed)]
+    reader = _Reader()
+    runs = reader.read(page)
+    allowed = _allowed(reader)
+    runs = [run for run in runs if allowed[run.listed]]
     kept = [run for run in runs if run.text.strip()]
     if not kept:
         return ""
