@@ -1,10 +1,12 @@
 """WARC archives of pages, written in shards and read back.
 
-Records are sorted by range of page_id, each task writes its range as gzip members (one record
+Records are sorted by page_id and cut into shards of about equal size. The cuts come from the sum
+of bytes in each of many ranges of page_id, so they depend on the pages alone and equal input gives
+equal files, however Spark deals out its tasks. A shard is written as gzip members (one record
 each) into files that are rolled by compressed size, under temporary names. A finished file is
-moved to its final name, which range and number decide; a manifest, written last by Spark, lists
+moved to its final name, which shard and number decide; a manifest, written last by Spark, lists
 the files that count, with size and digest. A task that runs again after a lost executor writes
-the same bytes to the same names, and what a dead one left is in no manifest.
+the same bytes to the same names; what a dead one left is in no manifest and is removed at the end.
 
 Defined results
 * null html counts as the empty payload; null url is kept as null;
@@ -28,7 +30,6 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,12 @@ from millrace.llm.textops import prepare, tidy
 
 LEAST_REVISIT_BYTES = 100
 ROLL_BYTES = 64 * 2**20
+# Bytes of html and url in a shard, and ranges of page_id of which it is made. A range that holds
+# more (a repeated page_id, say) is split by the digest of the payload.
+SHARD_BYTES = 32 * 2**20
+RANGES = 1 << 14
+# Compressed bytes that one task reads back.
+READ_BYTES = 16 * 2**20
 LEVEL = 4
 # Regenerated headers carry one date, so that equal input gives equal files.
 DATE = "2024-01-01T00:00:00Z"
@@ -44,6 +51,7 @@ VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
+TEMPORARY = "_temporary-"
 MANIFEST = "file string, records long, bytes long, sha256 string"
 PAGES = (
     "page_id long, url string, payload_bytes long, payload_digest string, "
@@ -163,7 +171,7 @@ class _Shard:
 
     def start(self) -> None:
         self.name = f"shard-{self.number:06d}-{self.rolls:05d}.warc.gz"
-        self.hidden = f"{self.folder}/_temporary-{uuid.uuid4().hex}"
+        self.hidden = f"{self.folder}/{TEMPORARY}{uuid.uuid4().hex}"
         self.out = self.system.open_output_stream(self.hidden)
         self.size, self.records, self.digest = 0, 0, hashlib.sha256()
         self.put(info_record(self.name))
@@ -196,12 +204,15 @@ class _Shard:
 
 def _write(folder: str, roll_bytes: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = _Shard(folder, TaskContext.get().partitionId(), roll_bytes)
-        noted, target = None, None
+        shard, noted, target = None, None, None
         for batch in batches:
             done = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                page_id, digest, note, refers_to, url, html = row
+                number, page_id, digest, note, refers_to, url, html = row
+                if shard is None or shard.number != number:
+                    if shard is not None and shard.out is not None:
+                        done.append(shard.finish())
+                    shard = _Shard(folder, number, roll_bytes)
                 if note == 0:
                     noted, target = (page_id, digest), refers_to
                     continue
@@ -209,7 +220,7 @@ def _write(folder: str, roll_bytes: int):
                 done += shard.add(record(page_id, url, (html or "").encode(), found))
             if done:
                 yield _manifest(done)
-        if shard.out is not None:
+        if shard is not None and shard.out is not None:
             yield _manifest([shard.finish()])
 
     return write
@@ -224,7 +235,32 @@ def _manifest(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> None:
+def _sharded(rows: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
+    """For each range of page_id its shards (range, first, pieces), and how many there are."""
+    ends = rows.agg(F.min("page_id"), F.max("page_id")).first()
+    low, high = (0 if end is None else end for end in ends)
+    width = (high - low) // RANGES + 1
+    place = F.coalesce(F.expr(f"(page_id - {low}) div {width}"), F.lit(-1).cast("long"))
+    weight = F.col("size") + F.coalesce(F.octet_length("url"), F.lit(0)) + 500  # headers
+    sums = rows.groupBy(place.alias("range")).agg(F.sum(weight).alias("bytes"))
+    shards, number, filled = [], -1, shard_bytes
+    for part, size in sorted((row["range"], row["bytes"]) for row in sums.collect()):
+        pieces = -(-size // shard_bytes)
+        if filled + size > shard_bytes:
+            number, filled = number + 1, 0
+        shards.append((part, number, pieces))
+        filled += size
+        number += pieces - 1
+    named = rows.sparkSession.createDataFrame(shards, "range long, first long, pieces long")
+    dealt = rows.withColumn("range", place).join(named, "range")
+    piece = F.pmod(F.xxhash64("digest"), F.col("pieces"))
+    dealt = dealt.withColumn("shard", (F.col("first") + piece).cast("int"))
+    return dealt.drop("range", "first", "pieces"), number + 1
+
+
+def write_archive(
+    pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES
+) -> None:
     """Write pages (page_id, url, html) as WARC files and, last, their manifest."""
     prepare(pages.sparkSession)
     html = F.coalesce(F.col("html"), F.lit(""))
@@ -235,9 +271,10 @@ def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -
         "html",
         F.octet_length(html).alias("size"),
     )
+    rows, shards = _sharded(rows, shard_bytes)
     # The first page of each payload that occurs more than once; a frequent one is summed up
     # before the shuffle, and no payload is shuffled for this.
-    long_rows = rows.where(F.col("size") >= LEAST_REVISIT_BYTES).select("page_id", "digest")
+    long_rows = rows.where(F.col("size") >= LEAST_REVISIT_BYTES).select("shard", "page_id", "digest")
     firsts = long_rows.groupBy("digest").agg(F.min("page_id").alias("refers_to"))
     notes = (
         long_rows.join(firsts, "digest")
@@ -247,6 +284,7 @@ def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -
     )
     # One shuffle brings each page and the note on what it revisits together, in order.
     both = notes.select(
+        "shard",
         "page_id",
         "digest",
         F.lit(0).alias("note"),
@@ -255,6 +293,7 @@ def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -
         F.lit(None).cast("string").alias("html"),
     ).unionAll(
         rows.select(
+            "shard",
             "page_id",
             "digest",
             F.lit(1).alias("note"),
@@ -265,10 +304,13 @@ def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -
     )
     system, path = file_system(folder)
     system.create_dir(path, recursive=True)
-    ordered = both.repartitionByRange("page_id", "digest")
-    ordered = ordered.sortWithinPartitions("page_id", "digest", "note")
+    ordered = both.repartitionByRange(max(shards, 1), "shard")
+    ordered = ordered.sortWithinPartitions("shard", "page_id", "digest", "note", "url")
     files = ordered.mapInArrow(tidy(_write(folder, roll_bytes)), MANIFEST)
     files.write.parquet(f"{folder}/manifest")
+    for found in system.get_file_info(pafs.FileSelector(path)):
+        if found.base_name.startswith(TEMPORARY):
+            system.delete_file(found.path)
 
 
 def _read(folder: str):
@@ -309,5 +351,9 @@ def _read(folder: str):
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     """The pages of an archive, from the files that its manifest names: see PAGES."""
     prepare(spark)
-    files = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("file", "records")
-    return files.repartition("file").mapInArrow(tidy(_read(folder)), PAGES)
+    files = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
+    size = files.agg(F.sum("bytes"), F.count("file")).first()
+    # As many tasks as the archive asks for; a given number is not merged at run time.
+    tasks = min(size[1], max(-(-(size[0] or 0) // READ_BYTES), spark.sparkContext.defaultParallelism))
+    files = files.select("file", "records").repartition(max(tasks, 1))
+    return files.mapInArrow(tidy(_read(folder)), PAGES)

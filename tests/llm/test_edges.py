@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import (
@@ -18,7 +21,7 @@ from millrace.llm import (
     warc,
 )
 from millrace.llm.textops import tokenizer_file
-from millrace.session import scratch
+from millrace.session import scratch, settings
 
 PROSE = "the cat of the house and the dog in the garden is to be with that one for it as on by"
 LONG = " ".join(f"word{i % 5000} and{i}" for i in range(30_000))
@@ -135,6 +138,19 @@ def test_language_without_labels(documents):
     assert {r.lang_pred for r in rows.collect()} == {"und"}
 
 
+def test_documents_stay_without_labels(documents):
+    """Nothing can be told, so nothing is rejected."""
+    unknown = documents.selectExpr("* EXCEPT (lang)", "CAST(NULL AS STRING) AS lang")
+    assert langid.drop_rejected(unknown).count() == documents.count()
+
+
+def test_classifier_without_metadata(documents, labels):
+    """A column that is missing, or no number, counts as missing values."""
+    whole = sorted(map(repr, classifier.score_quality(documents.drop("n_chars"), labels).collect()))
+    text = documents.selectExpr("* EXCEPT (n_chars)", "'many' AS n_chars")
+    assert sorted(map(repr, classifier.score_quality(text, labels).collect())) == whole
+
+
 def test_classifier_without_labels(documents, labels):
     rows = classifier.score_quality(documents, labels.limit(0)).collect()
     assert {(r.score, r.predicted) for r in rows} == {(0.5, 1)}
@@ -201,12 +217,49 @@ def test_archive(spark, pages):
     assert found == sorted(expected, key=str)
     manifest = spark.read.parquet(f"{folder}/manifest")
     assert manifest.agg({"records": "sum"}).first()[0] == len(PAGES)
-    names = sorted(row.file for row in manifest.collect())
-    again = scratch(spark, "warc-test")
-    warc.write_archive(pages, again, roll_bytes=2000)
-    same = spark.read.parquet(f"{again}/manifest")
-    assert sorted(same.collect()) == sorted(manifest.collect())
-    assert len(names) > 1
+
+
+@pytest.fixture(scope="module")
+def many_pages(spark):
+    """2,000 pages; one id and one payload are frequent, ids leave gaps."""
+    html = F.when(F.col("id") % 5 == 0, F.repeat(F.lit("the same "), 40)).otherwise(
+        F.concat(F.repeat(F.sha2(F.col("id").cast("string"), 256), 12), F.lit("!"))
+    )
+    page_id = F.when(F.col("id") % 3 == 0, 77).otherwise(F.col("id") * F.col("id"))
+    return spark.range(2000).select(page_id.alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
+
+
+def test_equal_pages_give_equal_archives(spark, many_pages, monkeypatch):
+    """Whatever tasks Spark makes of them; every shard is bounded, a repeated id as well."""
+    manifests, written = [], []
+    for parts, order in (("3", "page_id"), ("7", "html"), ("1", "url")):
+        with settings(spark, {"spark.sql.shuffle.partitions": parts}) as own:
+            rows = own.createDataFrame(many_pages.orderBy(order).toArrow()).repartition(int(parts))
+            folder = scratch(spark, "warc-test")
+            warc.write_archive(rows, folder, roll_bytes=20_000, shard_bytes=100_000)
+            manifests.append(sorted(spark.read.parquet(f"{folder}/manifest").collect()))
+            written.append(folder)
+    assert manifests[0] == manifests[1] == manifests[2] and len(manifests[0]) > 15
+    shards = {row.file.split("-")[1] for row in manifests[0]}
+    assert len(shards) > 10 and max(row.records for row in manifests[0]) < 500
+    # Reading makes as many tasks as the files ask for, up to what runs at once or their size asks.
+    read = warc.read_archive(spark, written[0])
+    per_task = read.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert read.count() == 2000 and len(per_task) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(warc, "READ_BYTES", sum(row.bytes for row in manifests[0]) // 12)
+    tasks = warc.read_archive(spark, written[0]).select(F.spark_partition_id()).distinct().count()
+    assert tasks >= 12
+
+
+def test_files_of_aborted_attempts_go(spark, many_pages):
+    folder = scratch(spark, "warc-test")
+    place = Path(folder.removeprefix("file:"))
+    place.mkdir(parents=True)
+    (place / "_temporary-dead").write_bytes(b"half a file")
+    (place / "shard-000000-00000.warc.gz").write_bytes(b"from an attempt before")
+    warc.write_archive(many_pages, folder)
+    assert not list(place.glob("_temporary-*"))
+    assert warc.read_archive(spark, folder).count() == 2000
 
 
 def test_empty_archive(spark, pages):
