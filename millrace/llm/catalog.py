@@ -85,12 +85,6 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated chunks alone, which is what its SQL says."""
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), whole_passages=False)
-
-
-@query
-def op9_line_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 

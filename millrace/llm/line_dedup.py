@@ -1,24 +1,27 @@
 """Repeated passages of lines, through content-defined chunks.
 
-A rolling hash over the hashes of a few lines decides after which line a chunk ends, so the same
-lines are cut the same way wherever they stand, whatever was inserted before them. Boundaries
-that would leave a single line are not taken, by a rule that looks at neighbouring lines only.
-Chunks of several lines that occur more than once anywhere are compared byte by byte; the first
-occurrence stays and the others are removed.
-
-A chunk at the edge of a passage also holds lines around it, so chunks alone miss most passages.
-Therefore passages are found beside them: from every line forward and backward, the shortest run
-of whole lines with more than PASSAGE_WORDS words. Each longer run of lines is a union of such
-runs, so one that stands in an earlier document goes as a whole, whatever surrounds it. Passages
-are equal when their SHA-256 is.
+A rolling hash over the hashes of lines decides where chunks end, so the same lines are cut the
+same way wherever they stand, whatever was inserted before them. A line of LINE_WORDS words or
+more is a chunk of its own; among shorter ones a chunk ends at the least hash of some NEAR_LINES
+lines in a row. Lines without a word belong to no boundary.
+
+Chunks that occur more than once anywhere are candidates. Lines around them are compared byte by
+byte, and each match is extended over neighbouring equal lines: the shortest runs of more than
+PASSAGE_WORDS words that hold a repeated chunk, from every line on and up to every line. Runs
+that are equal in all their lines are removed but for the first, and so are repeated chunks of
+several lines.
+
+Every repeated run of more than PASSAGE_WORDS words is found. If it has a line of LINE_WORDS
+words, that line is a chunk. Otherwise it has 13 lines with a word or more, and the fourth to the
+third from the end are cut by nothing outside it: two windows of NEAR_LINES of these have a cut
+each, and what is between two cuts next to each other is a chunk in every copy.
 
 Defined results
-* lines end at \\n; the text without the removed lines keeps the others in order, joined by \\n;
-* the first occurrence is the one with the smallest (doc_id, hash of the text, chunk number),
-  null ids first;
-* chunks with fewer than two lines that hold a word are never removed;
-* passages, also those of a single line, are removed but for the first of each, and but for what
-  overlaps the first in its own text; each line removed stays at an earlier place;
+* lines end at \\n; words are runs of anything but space and \\t to \\r; the text without the
+  removed lines keeps the others in order, joined by \\n;
+* the first occurrence is the one with the smallest (doc_id, hash of the text, begin, end), null
+  ids first; each line removed stays at an earlier place;
+* what overlaps the first occurrence in its own text stays;
 * null text stays null with 0 lines, empty text is one empty line;
 * rows that repeat both id and text are one document: what the first keeps, all keep;
 * an empty table gives an empty result; other columns are not read.
@@ -27,6 +30,7 @@ Defined results
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -36,18 +40,21 @@ from pyspark.sql import functions as F
 from millrace.llm.textops import prepare, tidy
 from millrace.session import scratch
 
-# Lines under the rolling hash, its multiplier and modulus; one line in DIVISOR ends a chunk.
+# Lines under the rolling hash, its multiplier and modulus; lines of which one ends a chunk.
 WINDOW = 2
 MULTIPLIER = 31
 MODULUS = 1_000_003
-DIVISOR = 3
+NEAR_LINES = 3
+# Words of a line that is a chunk of its own.
+LINE_WORDS = 5
+# Lines of a repeated chunk that is removed whatever its words.
 LEAST_LINES = 2
 # Runs of lines with more words than this are passages.
 PASSAGE_WORDS = 50
 
 
-def line_hash(line: str) -> int:
-    return int(hashlib.md5(line.encode(), usedforsecurity=False).hexdigest()[:8], 16)
+def line_hash(line: bytes) -> int:
+    return int(hashlib.md5(line, usedforsecurity=False).hexdigest()[:8], 16)
 
 
 def rolling(hashes: list[int]) -> list[int]:
@@ -61,88 +68,147 @@ def rolling(hashes: list[int]) -> list[int]:
     return found
 
 
-def chunks(lines: list[str]) -> list[tuple[int, int]]:
-    """Begin and end of the chunks of a text's lines."""
-    ends = [value % DIVISOR == 0 for value in rolling([line_hash(line) for line in lines])]
-    last = len(lines) - 1
-    cuts = [
-        i + 1 for i in range(1, last - 1) if ends[i] and not ends[i - 1]
-    ]
-    edges = [0, *cuts, len(lines)]
-    return list(zip(edges[:-1], edges[1:], strict=True))
-
+def least_of_some(values: list[int]) -> list[bool]:
+    """Which values are the least of some NEAR_LINES in a row; of equal ones the last."""
+    found = [False] * len(values)
+    for low in range(len(values) - NEAR_LINES + 1):
+        near = range(low, low + NEAR_LINES)
+        found[min(near, key=lambda i: (values[i], -i))] = True
+    return found
 
-def several(lines: list[str]) -> bool:
-    """Enough lines that hold a word."""
-    return sum(1 for line in lines if line.strip(" \t\n\v\f\r")) >= LEAST_LINES
 
+def chunks(lines: list[bytes]) -> list[tuple[int, int, int]]:
+    """Begin, end and lines with a word of the chunks of a text's lines.
 
-def passages(lines: list[bytes]) -> list[tuple[int, int]]:
-    """Begin and end of the shortest runs with enough words, from each line and up to each."""
+    A chunk begins and ends with a line that has a word.
+    """
     words = [len(line.split()) for line in lines]
+    worded = [i for i, count in enumerate(words) if count]
+    ends = least_of_some(rolling([line_hash(lines[i]) for i in worded]))
+    found, begin = [], 0
+    for k, i in enumerate(worded):
+        last = k + 1 == len(worded)
+        if last or ends[k] or words[i] >= LINE_WORDS or words[worded[k + 1]] >= LINE_WORDS:
+            found.append((worded[begin], i + 1, k + 1 - begin))
+            begin = k + 1
+    return found
+
+
+def passages(words: list[int]) -> set[tuple[int, int]]:
+    """Begin and end of the shortest runs with enough words, from each line and up to each.
+
+    They begin and end with a line that has a word.
+    """
+    worded = [i for i, count in enumerate(words) if count]
+    total = [0]
+    for i in worded:
+        total.append(total[-1] + words[i])
     found = set()
-    end = total = 0
-    for begin in range(len(lines)):
-        while end < len(lines) and total <= PASSAGE_WORDS:
-            total += words[end]
-            end += 1
-        if total <= PASSAGE_WORDS:
-            break
-        found.add((begin, end))
-        total -= words[begin]
-    begin, total = len(lines), 0
-    for end in range(len(lines), 0, -1):
-        while begin > 0 and total <= PASSAGE_WORDS:
-            begin -= 1
-            total += words[begin]
-        if total <= PASSAGE_WORDS:
-            break
-        found.add((begin, end))
-        total -= words[end - 1]
-    return sorted(found)
+    for k in range(len(worded)):
+        end = bisect_right(total, total[k] + PASSAGE_WORDS)
+        if end < len(total):
+            found.add((worded[k], worded[end - 1] + 1))
+        begin = bisect_left(total, total[k + 1] - PASSAGE_WORDS) - 1
+        if begin >= 0:
+            found.add((worded[begin], worded[k] + 1))
+    return found
+
+
+def around(words: list[int], begin: int, end: int) -> tuple[int, int]:
+    """The lines that a shortest run which holds the given ones may reach."""
+    total = 0
+    while begin > 0 and total <= PASSAGE_WORDS:
+        begin -= 1
+        total += words[begin]
+    total = 0
+    while end < len(words) and total <= PASSAGE_WORDS:
+        total += words[end]
+        end += 1
+    return begin, end
+
+
+def _table(rows: list[tuple], kinds: tuple, names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+DOC = "doc_id long, text_hash long"
+PLACE = ("doc_id", "text_hash", "begin", "end")
 
 
 def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "text_hash", "begin", "end", "digest", "content"]
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.string())
+    """Chunks with a digest of each, and whether they hold several lines."""
+    names = ["doc_id", "text_hash", "begin", "end", "several", "digest"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
     for batch in batches:
         rows = []
         for doc_id, text_hash, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if text is None or "\n" not in text:
-                continue
+            lines = text.encode().split(b"\n") if text else []
+            for begin, end, worded in chunks(lines):
+                digest = hashlib.sha256(b"\n".join(lines[begin:end])).digest()[:16]
+                rows.append((doc_id, text_hash, begin, end, worded >= LEAST_LINES, digest))
+        yield _table(rows, kinds, names)
+
+
+def _lines_near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines that a match at one of the seeds could reach."""
+    names = ["doc_id", "text_hash", "line", "words", "content"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string())
+    for batch in batches:
+        rows = []
+        for doc_id, text_hash, text, seeds in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             lines = text.split("\n")
-            for begin, end in chunks(lines):
-                if several(lines[begin:end]):
-                    content = "\n".join(lines[begin:end])
-                    digest = hashlib.sha256(content.encode()).digest()
-                    rows.append((doc_id, text_hash, begin, end, digest, content))
-        columns = list(zip(*rows, strict=True)) or [()] * 6
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names
-        )
+            words = [len(line.encode().split()) for line in lines]
+            reach = _apart(around(words, seed["begin"], seed["end"]) for seed in seeds)
+            for a, b in reach:
+                rows += [(doc_id, text_hash, i, words[i], lines[i]) for i in range(a, b)]
+        yield _table(rows, kinds, names)
+
 
+def matches(lines: list[tuple[int, int, int]], seeds: list[tuple[int, int, bool]]) -> Iterator[tuple]:
+    """Begin, end and the line classes of what may be removed.
 
-def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "text_hash", "begin", "end", "digest"]
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    lines: number, words and class of lines that stand elsewhere too, in order; seeds: begin, end
+    and whether it holds several lines, in order, apart.
+    """
+    begins = [seed[0] for seed in seeds]
+    low = 0
+    while low < len(lines):
+        high = low + 1
+        while high < len(lines) and lines[high][0] == lines[high - 1][0] + 1:
+            high += 1
+        first, run = lines[low][0], lines[low:high]
+        spans = {(first + a, first + b) for a, b in passages([words for _, words, _ in run])}
+        for begin, end in spans:
+            at = bisect_left(begins, begin)
+            if at < len(seeds) and seeds[at][1] <= end:
+                yield begin, end, [kind for _, _, kind in run[begin - first : end - first]]
+        for begin, end, several in seeds[bisect_left(begins, first) :]:
+            if begin >= first + len(run):
+                break
+            if several and end <= first + len(run) and (begin, end) not in spans:
+                yield begin, end, [kind for _, _, kind in run[begin - first : end - first]]
+        low = high
+
+
+def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "text_hash", "begin", "end", "classes"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
     for batch in batches:
         rows = []
-        for doc_id, text_hash, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            lines = text.encode().split(b"\n") if text else []
-            for begin, end in passages(lines):
-                digest = hashlib.sha256(b"\n".join(lines[begin:end])).digest()
-                rows.append((doc_id, text_hash, begin, end, digest))
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names
-        )
+        for doc_id, text_hash, lines, seeds in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            held = [(x["line"], x["words"], x["class"]) for x in lines]
+            known = [(x["begin"], x["end"], x["several"]) for x in seeds]
+            rows += [(doc_id, text_hash, *found) for found in matches(held, known)]
+        yield _table(rows, kinds, names)
 
 
 def _apart(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The same lines in ranges that do not overlap."""
+    """The same lines in ranges that neither overlap nor touch."""
     found: list[tuple[int, int]] = []
     for begin, end in sorted(spans):
-        if found and begin < found[-1][1]:
+        if found and begin <= found[-1][1]:
             found[-1] = (found[-1][0], max(end, found[-1][1]))
         else:
             found.append((begin, end))
@@ -179,43 +245,50 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-PLACE = ("doc_id", "text_hash", "begin", "end")
-PLACED = "doc_id long, text_hash long, begin int, end int, digest binary"
-
-
-def repeated_chunks(texts: DataFrame) -> DataFrame:
-    """Occurrences to remove: doc_id, text_hash, begin and end, from (doc_id, text_hash, text)."""
-    spark = texts.sparkSession
-    found = texts.mapInArrow(tidy(_chunk), f"{PLACED}, content string")
-    place = F.struct(*PLACE)
-    # Grouping by the content itself is the byte comparison. Partial sums meet a frequent chunk
-    # before the shuffle.
-    groups = found.groupBy("digest", "content").agg(
-        F.min(place).alias("first"), F.max(place).alias("last")
-    )
-    # Chunks with one SHA-256 and different bytes would be two groups here, each with its first.
-    firsts = groups.where("first < last").groupBy("digest")
-    path = scratch(spark, "repeated-chunks")
-    firsts.agg(F.collect_set("first").alias("firsts")).write.parquet(path)
-    known = spark.read.parquet(path)
-    # The join stands alone, with no grouping by digest before or after it, so that Spark may
-    # split a chunk which very many documents share.
-    found = found.select("digest", place.alias("place")).join(known, "digest")
-    return found.where(~F.array_contains("firsts", F.col("place"))).select("place.*")
-
-
-def repeated_passages(texts: DataFrame) -> DataFrame:
-    """Like `repeated_chunks`, for passages."""
-    spark = texts.sparkSession
-    found = texts.mapInArrow(tidy(_passages), PLACED)
-    found = found.select("digest", F.struct(*PLACE).alias("place"))
-    groups = found.groupBy("digest").agg(
-        F.min("place").alias("first"), F.max("place").alias("last")
+def _kept(rows: DataFrame, name: str) -> DataFrame:
+    path = scratch(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
+def _by_document(rows: DataFrame, *names: str) -> DataFrame:
+    """Rows of a document as an array in order, repeated ones once."""
+    whole = F.array_sort(F.collect_set(F.struct(*names)))
+    return rows.groupBy("doc_id", "text_hash").agg(whole.alias("held"))
+
+
+def _same(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of the left with what the right holds of their document."""
+    named = right.withColumnsRenamed({"doc_id": "own_id", "text_hash": "own_hash"})
+    return left.join(named, F.expr("doc_id <=> own_id AND text_hash = own_hash"))
+
+
+def repeated_spans(texts: DataFrame) -> DataFrame:
+    """Lines to remove: doc_id, text_hash, begin and end, from (doc_id, text_hash, text)."""
+    kinds = f"{DOC}, begin int, end int, several boolean, digest binary"
+    found = _kept(texts.mapInArrow(tidy(_chunk), kinds), "chunks")
+    # Digests alone are counted; a frequent one is summed up before the shuffle.
+    often = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
+    seeds = _kept(
+        _by_document(found.join(often, "digest"), "begin", "end", "several").withColumnRenamed("held", "seeds"),
+        "seeds",
     )
-    path = scratch(spark, "repeated-passages")
-    groups.where("first < last").select("digest", "first").write.parquet(path)
+    # Byte comparison: lines with one content are one class. Grouping and join stand apart, so
+    # that Spark may split a line which very many documents share.
+    held = _same(texts, seeds).select("doc_id", "text_hash", "text", "seeds")
+    lines = held.mapInArrow(tidy(_lines_near), f"{DOC}, line int, words int, content string")
+    lines = _kept(lines, "lines")
+    classes = lines.groupBy("content").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    classes = _kept(classes.select("content", F.monotonically_increasing_id().alias("class")), "classes")
+    shared = _by_document(lines.join(classes, "content"), "line", "words", "class")
+    both = _same(shared.withColumnRenamed("held", "lines"), seeds)
+    both = both.select("doc_id", "text_hash", "lines", "seeds")
+    spans = both.mapInArrow(tidy(_match), f"{DOC}, begin int, end int, classes array<long>")
+    spans = _kept(spans.select("classes", F.struct(*PLACE).alias("place")), "matches")
+    groups = spans.groupBy("classes").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    firsts = _kept(groups.where("first < last").select("classes", "first"), "first-matches")
     # Alone as well, see above.
-    joined = found.join(spark.read.parquet(path), "digest")
+    joined = spans.join(firsts, "classes")
     elsewhere = ~(
         F.col("place.doc_id").eqNullSafe(F.col("first.doc_id"))
         & (F.col("place.text_hash") == F.col("first.text_hash"))
@@ -224,7 +297,7 @@ def repeated_passages(texts: DataFrame) -> DataFrame:
     return joined.where(elsewhere).select("place.*")
 
 
-def _cleaned(documents: DataFrame, whole_passages: bool) -> DataFrame:
+def _cleaned(documents: DataFrame) -> DataFrame:
     """Each row in one column, with its text without what is repeated and the line counts."""
     prepare(documents.sparkSession)
     # Whole rows in one column, so that no name of theirs can clash.
@@ -234,27 +307,20 @@ def _cleaned(documents: DataFrame, whole_passages: bool) -> DataFrame:
         F.xxhash64("text").alias("text_hash"),
         F.col("text").alias("text"),
     )
-    texts = rows.select("doc_id", "text_hash", "text")
-    spans = repeated_chunks(texts)
-    if whole_passages:
-        spans = spans.unionByName(repeated_passages(texts))
-    gone = spans.groupBy("doc_id", "text_hash").agg(
-        F.collect_set(F.struct("begin", "end")).alias("gone")
-    )
+    gone = _by_document(repeated_spans(rows.select("doc_id", "text_hash", "text")), "begin", "end")
     same = rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["text_hash"] == gone["text_hash"])
-    joined = rows.join(gone, same, "left").select("row", "text", "gone")
+    joined = rows.join(gone, same, "left").select("row", "text", "held")
     schema = joined.select("row").schema.add("new_text", "string").add("n_lines", "long")
     schema = schema.add("kept_lines", "long").add("removed", "string")
     return joined.mapInArrow(tidy(_without), schema)
 
 
-def dedup_lines(documents: DataFrame, whole_passages: bool = True) -> DataFrame:
+def dedup_lines(documents: DataFrame) -> DataFrame:
     """One row per document: doc_id, text without what is repeated, n_lines, kept_lines, removed.
 
-    removed lists the line ranges taken out, as begin-end from 0 without the end. Without
-    `whole_passages` only repeated chunks go.
+    removed lists the line ranges taken out, as begin-end from 0 without the end.
     """
-    rows = _cleaned(documents, whole_passages)
+    rows = _cleaned(documents)
     return rows.select(
         F.col("row.doc_id").cast("long").alias("doc_id"),
         F.col("new_text").alias("text"),
@@ -269,7 +335,7 @@ def drop_repeated_lines(documents: DataFrame) -> DataFrame:
 
     A document of which every line was removed repeats others wholly and goes.
     """
-    rows = _cleaned(documents, whole_passages=True).where("kept_lines > 0 OR n_lines = 0")
+    rows = _cleaned(documents).where("kept_lines > 0 OR n_lines = 0")
     row = F.col("row").withField("text", F.col("new_text"))
     if "n_chars" in documents.columns:
         count = F.char_length("new_text").cast(documents.schema["n_chars"].dataType)

@@ -22,38 +22,52 @@ SELECT page_id, url, payload_bytes, payload_digest,
             THEN first END AS refers_to
 FROM q"""
 
-# Hashes of lines, the rolling hash, boundaries, first occurrences.
+# Chunks of several lines, the shortest runs with enough words from and up to each line (found
+# without chunks), and all of equal content but the first.
 LINE_DEDUP = f"""
 WITH d AS (SELECT DISTINCT doc_id, "text" AS t FROM documents WHERE "text" IS NOT NULL),
-n AS (SELECT row_number() OVER () AS row_no, doc_id, t, string_split(t, chr(10)) AS ls FROM d),
-l AS (SELECT row_no, doc_id, t, len(ls) AS n_lines, unnest(ls) AS line,
-             generate_subscripts(ls, 1) - 1 AS i FROM n),
-h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
-r AS (SELECT *, ((h + {line_dedup.MULTIPLIER} * coalesce(lag(h) OVER w, 0))
-                 % {line_dedup.MODULUS}) % {line_dedup.DIVISOR} = 0 AS ends
-      FROM h WINDOW w AS (PARTITION BY row_no ORDER BY i)),
-c AS (SELECT *, coalesce(lag(ends) OVER w AND NOT lag(ends, 2) OVER w
-                         AND i - 1 BETWEEN 1 AND n_lines - 3, FALSE) AS begins
-      FROM r WINDOW w AS (PARTITION BY row_no ORDER BY i)),
-k AS (SELECT *, sum(CAST(begins AS INT)) OVER (PARTITION BY row_no ORDER BY i) AS chunk FROM c),
-g AS (SELECT row_no, doc_id, t, chunk, min(i) AS a, max(i) + 1 AS b,
-             string_agg(line, chr(10) ORDER BY i) AS content,
-             count(*) FILTER (regexp_matches(line, '[^ \\t\\n\\v\\f\\r]')) AS worded
-      FROM k GROUP BY ALL),
-o AS (SELECT *, worded >= {line_dedup.LEAST_LINES} AS long,
-             row_number() OVER (PARTITION BY content, worded >= {line_dedup.LEAST_LINES}
-                                ORDER BY doc_id NULLS FIRST, chunk) AS place FROM g),
-u AS (SELECT row_no, doc_id, t,
-             string_agg(content, chr(10) ORDER BY chunk)
-               FILTER (NOT (long AND place > 1)) AS kept,
-             coalesce(sum(b - a) FILTER (NOT (long AND place > 1)), 0) AS kept_lines,
-             coalesce(string_agg(a || '-' || b, ',' ORDER BY chunk)
-               FILTER (long AND place > 1), '') AS removed
-      FROM o GROUP BY ALL)
-SELECT x.doc_id, CASE WHEN x."text" IS NULL THEN NULL ELSE coalesce(u.kept, '') END AS "text",
-       CAST(coalesce(len(string_split(x."text", chr(10))), 0) AS BIGINT) AS n_lines,
-       CAST(coalesce(u.kept_lines, 0) AS BIGINT) AS kept_lines, coalesce(u.removed, '') AS removed
-FROM documents x LEFT JOIN u ON x.doc_id IS NOT DISTINCT FROM u.doc_id AND x."text" = u.t"""
+n AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, t) AS row_no, doc_id, t,
+             string_split(t, chr(10)) AS ls FROM d),
+l AS (SELECT row_no, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS i FROM n),
+w AS (SELECT *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words,
+             CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
+k AS (SELECT *, (h + {line_dedup.MULTIPLIER} * coalesce(lag(h) OVER o, 0))
+                % {line_dedup.MODULUS} AS r,
+             sum(words) OVER o AS up_to, sum(words) OVER o - words AS before
+      FROM w WHERE words > 0 WINDOW o AS (PARTITION BY row_no ORDER BY i)),
+m AS (SELECT *, lag(r, 2) OVER o AS a, lag(r) OVER o AS b, lead(r) OVER o AS c,
+             lead(r, 2) OVER o AS e, lead(words) OVER o AS next_words
+      FROM k WINDOW o AS (PARTITION BY row_no ORDER BY i)),
+x AS (SELECT *, coalesce(r <= a AND r <= b, FALSE) OR coalesce(r <= b AND r < c, FALSE)
+                OR coalesce(r < c AND r < e, FALSE) OR words >= {line_dedup.LINE_WORDS}
+                OR coalesce(next_words >= {line_dedup.LINE_WORDS}, FALSE) AS ends FROM m),
+y AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY row_no ORDER BY i
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM x),
+s AS (SELECT row_no, min(i) AS a, max(i) + 1 AS b FROM y GROUP BY row_no, chunk
+      HAVING count(*) >= {line_dedup.LEAST_LINES}
+      UNION
+      SELECT p.row_no, p.i, q.i + 1 FROM k p ASOF JOIN k q
+        ON p.row_no = q.row_no AND p.before + {line_dedup.PASSAGE_WORDS} < q.up_to
+      UNION
+      SELECT q.row_no, p.i, q.i + 1 FROM k q ASOF JOIN k p
+        ON p.row_no = q.row_no AND q.up_to - {line_dedup.PASSAGE_WORDS} > p.before),
+z AS (SELECT s.row_no, s.a, s.b, n.doc_id, array_to_string(n.ls[s.a + 1:s.b], chr(10)) AS content
+      FROM s JOIN n USING (row_no)),
+f AS (SELECT row_no, a, b, first_value(row_no) OVER o AS first_row, first_value(b) OVER o AS first_b
+      FROM z WINDOW o AS (PARTITION BY content ORDER BY doc_id NULLS FIRST, row_no, a, b)),
+g AS (SELECT DISTINCT l.row_no, l.i FROM l JOIN f
+        ON l.row_no = f.row_no AND l.i >= f.a AND l.i < f.b
+      WHERE NOT (f.row_no = f.first_row AND f.a < f.first_b)),
+v AS (SELECT row_no, i, i - row_number() OVER (PARTITION BY row_no ORDER BY i) AS island FROM g),
+c AS (SELECT row_no, min(i) AS a, max(i) + 1 AS b FROM v GROUP BY row_no, island),
+t AS (SELECT row_no, string_agg(a || '-' || b, ',' ORDER BY a) AS removed FROM c GROUP BY row_no),
+u AS (SELECT l.row_no, string_agg(l.line, chr(10) ORDER BY l.i) AS kept, count(*) AS kept_lines
+      FROM l LEFT JOIN g ON l.row_no = g.row_no AND l.i = g.i WHERE g.i IS NULL GROUP BY l.row_no)
+SELECT o.doc_id, CASE WHEN o."text" IS NULL THEN NULL ELSE coalesce(u.kept, '') END AS "text",
+       CAST(coalesce(len(string_split(o."text", chr(10))), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(u.kept_lines, 0) AS BIGINT) AS kept_lines, coalesce(t.removed, '') AS removed
+FROM documents o LEFT JOIN n ON o.doc_id IS NOT DISTINCT FROM n.doc_id AND o."text" = n.t
+LEFT JOIN u ON u.row_no = n.row_no LEFT JOIN t ON t.row_no = n.row_no"""
 
 
 def minhash(words: int, percent: int) -> str:

@@ -130,7 +130,7 @@ def test_long_and_short_trees_agree(word_tools):
 
 
 def test_signature_is_circulant():
-    rule = minhash.NearRule(words=3, percent=85, bands=4, rows=3, size=20)
+    rule = minhash.NearRule(words=3, percent=85, bands=4, rows=5)
     scatter, _ = minhash.permutations(rule.seed, rule.size)
     rng = np.random.default_rng(rule.seed)
     size = 1 << minhash.UNIVERSE_BITS
@@ -164,7 +164,7 @@ def test_components_equal_union_find(spark):
 
     rng = random.Random(5)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(150)]
-    pairs += [(i, i + 1) for i in range(1000, 1060)] + [(7, 7), (2000, 2001), (2001, 2000)]
+    pairs += [(i, i + 1) for i in range(1000, 1300)] + [(7, 7), (2000, 2001), (2001, 2000)]
     parent = {x: x for pair in pairs for x in pair}
 
     def root(x):
@@ -182,6 +182,67 @@ def test_components_equal_union_find(spark):
         assert (found[x] == found[y]) == (root(x) == root(y))
 
 
+def similarity(a: set, b: set) -> float:
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("percent", (70, 85, 93))
+def test_prefixes_lose_no_pair(spark, percent):
+    """Against all pairs: sets around the limit, with common passages and of many sizes."""
+    from millrace.llm.prefixes import candidate_pairs
+
+    rng = random.Random(percent)
+    common, sets = list(range(60)), []
+    for i in range(150):
+        base = common if i % 3 else [1000 + x for x in range(rng.choice((8, 20, 90)))]
+        kept = [x for x in base if rng.random() > (1 - percent / 100) * rng.random()]
+        sets.append(set(kept) | {10_000 * (i + 1) + x for x in range(rng.randrange(6))})
+    rows = [(i, i % 2, len(s), sorted(s)) for i, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "id long, component long, n long, members array<long>")
+    found = candidate_pairs(frame, percent, minhash._kept).collect()
+    pairs = {(row.a, row.b) for row in found}
+    assert len(pairs) == len(found) and all(a < b and (a - b) % 2 for a, b in pairs)
+    near = {
+        (a, b)
+        for a, b in combinations(range(len(sets)), 2)
+        if (a - b) % 2 and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    }
+    assert len(near) > 20 and near <= pairs
+
+
+def test_groups_just_below_the_limit_are_not_paired(spark):
+    """A hot group of texts that differ a little too much, with a few links in it."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(250):
+        words = list(base)
+        for place in rng.sample(range(1, 199, 3), 4):  # 12 of 198 shingles of its own
+            words[place] = f"own{i}x{place}"
+        rows.append((i, " ".join(words)))
+    linked = [(1000 + i, text.replace("w150", f"new{i}")) for i, (_, text) in enumerate(rows[:10])]
+    documents = spark.createDataFrame(rows + linked, "doc_id long, text string")
+    rule = minhash.NearRule(words=3, percent=85)
+    sets = {i: minhash.shingle_set(text, 3) for i, text in rows + linked}
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    close = []
+    for a, b in combinations(sets, 2):
+        if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            a, b = sorted((root(a), root(b)))
+            parent[b] = a
+        else:
+            close.append(similarity(sets[a], sets[b]) > 0.75)
+    found = minhash.near_duplicates(documents, rule).collect()
+    assert {row.doc_id: row.component_id for row in found} == {i: root(i) for i in sets}
+    assert sum(close) > 20_000 and len({root(i) for i in sets}) > 200
+
+
 # --- words and hashes ------------------------------------------------------------------------
 
 
@@ -204,27 +265,65 @@ def test_word_spans(texts):
 
 
 def test_rolling_hash_equals_its_definition():
-    hashes = [line_dedup.line_hash(str(i)) for i in range(20)]
+    hashes = [line_dedup.line_hash(str(i).encode()) for i in range(20)]
     for i, value in enumerate(line_dedup.rolling(hashes)):
         window = hashes[max(0, i - line_dedup.WINDOW + 1) : i + 1]
         total = sum(h * line_dedup.MULTIPLIER**k for k, h in enumerate(reversed(window)))
         assert value == total % line_dedup.MODULUS
 
 
-@given(st.lists(st.sampled_from("abcdefghij"), min_size=1, max_size=40))
+LINE = st.sampled_from([b"a", b"b c", b"d", b"", b" ", b"e f g", b"h i j k", b"one two three four five six"])
+
+
+@given(st.lists(LINE, max_size=40))
 @settings(max_examples=80, deadline=None)
-def test_chunks_cover_and_have_two_lines(lines):
+def test_chunks_hold_every_line_with_a_word_once(lines):
     parts = line_dedup.chunks(lines)
-    assert [line for a, b in parts for line in lines[a:b]] == lines
-    assert len(lines) < 2 or all(b - a >= 2 for a, b in parts)
+    held = [i for a, b, _ in parts for i in range(a, b) if lines[i].split()]
+    assert held == [i for i, line in enumerate(lines) if line.split()]
+    for begin, end, worded in parts:
+        assert lines[begin].split() and lines[end - 1].split()
+        assert worded == sum(bool(line.split()) for line in lines[begin:end])
+        assert worded == 1 or all(len(line.split()) < 5 for line in lines[begin:end])
+
+
+SHORT = st.sampled_from([b"a", b"b c", b"", b"e f g", b"h i j k", b"l m n o", b"p q r s", b"t u v"])
+RUNS = st.one_of(
+    st.lists(LINE, min_size=8, max_size=60), st.lists(SHORT, min_size=18, max_size=40),
+    st.lists(st.sampled_from([b"a b c d", b"e f g h"]), min_size=13, max_size=20),
+)
 
 
-def test_chunks_survive_a_shift():
-    lines = [f"line {i}" for i in range(60)]
-    before = {tuple(lines[a:b]) for a, b in line_dedup.chunks(lines)}
-    moved = ["new"] + lines
-    after = {tuple(moved[a:b]) for a, b in line_dedup.chunks(moved)}
-    assert len(before & after) >= len(before) - 2
+@given(RUNS, *[st.lists(LINE, max_size=5)] * 4)
+@settings(max_examples=500, deadline=None)
+def test_every_repeated_passage_holds_a_chunk_in_all_copies(run, a, b, c, d):
+    """Whatever stands around it: so no passage is missed."""
+    if sum(len(line.split()) for line in run) <= line_dedup.PASSAGE_WORDS:
+        return
+    inside = []
+    for head, end in ((a, b), (c, d)):
+        parts = line_dedup.chunks([*head, *run, *end])
+        low, high = len(head), len(head) + len(run)
+        inside.append({(x - low, y - low) for x, y, _ in parts if low <= x and y <= high})
+    assert inside[0] & inside[1]
+
+
+@given(st.lists(st.integers(0, 30), max_size=25))
+@settings(max_examples=100, deadline=None)
+def test_passages_are_the_shortest_runs(words):
+    n = len(words)
+    enough = {
+        (i, j)
+        for i in range(n)
+        for j in range(i + 1, n + 1)
+        if sum(words[i:j]) > line_dedup.PASSAGE_WORDS and words[i] and words[j - 1]
+    }
+    forward = {min((i, j) for i, j in enough if i == x) for x in {i for i, _ in enough}}
+    back = {max((i, j) for i, j in enough if j == y) for y in {j for _, j in enough}}
+    assert line_dedup.passages(words) == forward | back
+    for i, j in enough:  # longer runs are unions of them
+        covered = {x for a, b in forward | back if i <= a and b <= j for x in range(a, b)}
+        assert covered == set(range(i, j))
 
 
 # --- factorisation machine, language model ---------------------------------------------------
@@ -346,6 +445,39 @@ def test_scores_choose_the_content(page, text):
     assert html.main_text(page) == text
 
 
+SOURCES = "<ul><li><a href=/1>Smith, On words and lines</a><li><a href=/2>Jones, Pages</a></ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # A paragraph that is one link, and a list of linked sources.
+        (f"<article><p>{LONG}</p><p><a href=/r>Read the full report of it here</a></p><p>{LONG}</p></article>",
+         f"{LONG.strip()}\nRead the full report of it here\n{LONG.strip()}"),
+        (f"<article><p>{LONG}</p>{SOURCES}</article>",
+         f"{LONG.strip()}\nSmith, On words and lines\nJones, Pages"),
+        # Many, which read as sentences; and short ones in a row, which do not.
+        ("<article><p>" + LONG + "</p><ul>" + "".join(f"<li><a>Source {i}. Its title, its year.</a>" for i in range(5))
+         + "</ul></article>", LONG.strip() + "".join(f"\nSource {i}. Its title, its year." for i in range(5))),
+        (f"<article><p>{LONG}</p>{LINKS}</article>", LONG.strip()),
+    ],
+)
+def test_linked_blocks_of_an_article(page, text):
+    assert html.main_text(page) == text
+
+
+@pytest.mark.parametrize("tag", ["div", "nav", "b", "p", "ul"])
+def test_deep_nesting_takes_little_memory(tag):
+    import tracemalloc
+
+    page = f"<article><p>{LONG}</p></article>" + f"<{tag}>" * 40_000 + "deep" + f"</{tag}></i>" * 40_000
+    tracemalloc.start()
+    found = html.main_text(page)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.startswith(LONG.strip()) and most < 60 * 2**20
+
+
 @pytest.mark.parametrize("sign", [
     "class='content-sidebar-wrap'", "class='has-sidebar'", "class='with-menu'", "id='search-page'",
     "class='page search'", "role='search'",
