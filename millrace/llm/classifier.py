@@ -1,7 +1,8 @@
 """Document quality by a factorisation machine.
 
-Features are hashed words, weighted to unit length, and standardised statistics of structure and
-size. Besides a weight each, every pair of features interacts through the product of two short
+Features are hashed words, weighted to unit length, standardised statistics of structure and
+size, and metadata: n_chars as the table gives it, whether it does, and how it compares with the
+counted length. Besides a weight each, every pair of features interacts through the product of two short
 vectors; by the sum-of-squares identity all pairs together cost one pass over the features:
 sum over pairs = half of (square of the sum minus sum of the squares). Trained by stochastic
 gradient descent on a bounded sample of labelled rows; a part that training does not see turns
@@ -14,6 +15,7 @@ Defined results
 * without any labelled row every score is 0.5;
 * rows with a null id count as held out (their remainder is taken as 0); repeated rows each get
   the same result;
+* n_chars that is missing, or a column that is none, is a feature of its own;
 * an empty table gives an empty result; other columns are not read.
 """
 
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.textops import (
@@ -67,7 +69,9 @@ CLASSES = {
     "other": np.isin(_BYTES, list(b"@/\\_=+~^-'\"`")),
 }
 STATISTICS = len(CLASSES) + 6
-SIZE = BUCKETS + STATISTICS
+# Fields of the metadata: n_chars as it is given, whether it is, and against the counted length.
+METADATA = 3
+SIZE = BUCKETS + STATISTICS + METADATA
 
 
 def statistics(text: np.ndarray, lengths: np.ndarray, repeats: np.ndarray) -> np.ndarray:
@@ -86,8 +90,19 @@ def statistics(text: np.ndarray, lengths: np.ndarray, repeats: np.ndarray) -> np
     return np.array([np.sqrt(s) for s in shares] + more, np.float32)
 
 
-def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """For each text the buckets of its words, their values, and its statistics."""
+def metadata(text: np.ndarray, n_chars: float) -> np.ndarray:
+    """What the table says of a text; n_chars is not a number where it is missing."""
+    if np.isnan(n_chars):
+        return np.array([0.0, 1.0, 1.0], np.float32)
+    counted = int((text & 0xC0 != 0x80).sum())
+    given = max(float(n_chars), 0.0)
+    return np.array([np.log1p(given), 0.0, min((given + 1) / (counted + 1), 10.0)], np.float32)
+
+
+def features(
+    data: np.ndarray, offsets: np.ndarray, n_chars: np.ndarray
+) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each text the buckets of its words, their values, and its statistics and metadata."""
     for low, high in blocks(offsets):
         part = data[offsets[low] : offsets[high]]
         places = offsets[low : high + 1] - offsets[low]
@@ -100,7 +115,9 @@ def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
             values = np.sqrt(counts).astype(np.float32)
             values /= max(float(np.sqrt((values**2).sum())), 1e-9)
             lengths = (ends[a:b] - starts[a:b]).astype(np.float32)
-            yield buckets, values, statistics(part[places[i] : places[i + 1]], lengths, counts)
+            text = part[places[i] : places[i + 1]]
+            known = metadata(text, n_chars[low + i])
+            yield buckets, values, np.concatenate([statistics(text, lengths, counts), known])
 
 
 @dataclass
@@ -116,7 +133,7 @@ class FactorisationMachine:
     shift: float = 0.0
 
     def inputs(self, buckets: np.ndarray, values: np.ndarray, stats: np.ndarray):
-        scaled = np.clip((stats - self.middle) / self.spread, -4, 4) / np.sqrt(STATISTICS)
+        scaled = np.clip((stats - self.middle) / self.spread, -4, 4) / np.sqrt(STATISTICS + METADATA)
         at = np.concatenate([buckets, np.arange(BUCKETS, SIZE, dtype=np.int32)])
         return at, np.concatenate([values, scaled.astype(np.float32)])
 
@@ -200,9 +217,21 @@ def calibrate(machine: FactorisationMachine, examples: list[Example], prior: flo
 # --- Spark -----------------------------------------------------------------------------------
 
 
+def numbers(column: pa.Array) -> np.ndarray:
+    """A column of numbers, not a number where they are missing."""
+    return column.cast(pa.float64()).to_numpy(zero_copy_only=False)
+
+
+def _n_chars(documents: DataFrame) -> Column:
+    """The column of the metadata; missing where the table has none, or none that is a number."""
+    kind = dict(documents.dtypes).get("n_chars", "void")
+    given = F.col("n_chars").try_cast("double") if kind != "void" else F.lit(None)
+    return given.cast("double").alias("n_chars")
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = list(features(*as_bytes(batch.column(2))))
+        found = list(features(*as_bytes(batch.column(2)), numbers(batch.column(3))))
         parts = zip(*found, strict=True) if found else [()] * 3
         kinds = ("<i4", "<f4", "<f4")
         yield pa.RecordBatch.from_arrays(
@@ -230,10 +259,10 @@ def fit(documents: DataFrame, labels: DataFrame) -> FactorisationMachine | None:
     bound = ROWS_PER_LABEL * len(counts)
     picked = known.select("doc_id", "label", at.alias("at"), share.alias("s")).where("at < s")
     picked = picked.orderBy("at", "doc_id").limit(bound)
-    texts = documents.select("doc_id", "text").join(
+    texts = documents.select("doc_id", "text", _n_chars(documents)).join(
         F.broadcast(picked.select("doc_id", "label", "at")), "doc_id"
     )
-    rows = texts.select("at", "label", "text").mapInArrow(
+    rows = texts.select("at", "label", "text", "n_chars").mapInArrow(
         tidy(_features), "at long, label int, buckets binary, values binary, stats binary"
     )
     rows = rows.orderBy("at", "buckets").limit(bound).collect()
@@ -254,7 +283,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> FactorisationMachine | None:
 def _score(machine: FactorisationMachine | None):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given = features(*as_bytes(batch.column(2)))
+            given = features(*as_bytes(batch.column(2)), numbers(batch.column(3)))
             scores = np.array([machine.score(*x) if machine else 0.5 for x in given], float)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -277,6 +306,7 @@ def score_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long"),
         (remainder(F.col("doc_id"), 5) == 0).alias("held_out"),
         "text",
+        _n_chars(documents),
     )
     return texts.mapInArrow(
         tidy(_score(machine)), "doc_id long, held_out boolean, score double, predicted int"
