@@ -10,7 +10,8 @@ bucket, which is the same sum in another order.
 Defined results
 * only text and non-null lang of rows outside the held-out third are learned from;
 * text that is null or has no letter: `und`, score 0, rejected; so is all text where nothing
-  could be learned (no labelled row);
+  could be learned (no labelled row). drop_rejected() then keeps all documents, as it has no
+  ground to reject one;
 * rows with a null id belong to the rows learned from; repeated rows each get the same result;
 * an empty table gives an empty result; other columns are not read.
 """
@@ -252,9 +253,14 @@ def identify(documents: DataFrame, model: LanguageModel | None = None) -> DataFr
 
 
 def drop_rejected(documents: DataFrame) -> DataFrame:
-    """The documents whose language is told with enough confidence."""
+    """The documents whose language is told with enough confidence.
+
+    Where no row has a language to learn from nothing can be told, and all documents stay.
+    """
     prepare(documents.sparkSession)
     model = fit(documents)
+    if model is None:
+        return documents
     # Whole rows in one column, so that no name of theirs can clash.
     rows = documents.select(F.struct("*").alias("row"))
     schema = rows.select("row").schema.add("lang_pred", "string").add("score", "double")

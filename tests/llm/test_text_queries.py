@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections import defaultdict
 from pathlib import Path
@@ -141,6 +142,94 @@ def test_quality_is_right_on_held_out_rows(spark, tables):
     assert sum(row.predicted == known[row.doc_id] for row in held) >= 0.85 * len(held)
 
 
+def test_language_predictions_recomputed_one_by_one(spark, texts):
+    """From the stored model: subwords by their definition, one sum per language."""
+    from millrace.llm import langid
+    from millrace.llm.textops import byte_codes, mix
+
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(documents)
+    found = {row.doc_id: row for row in langid.identify(documents, model).collect()}
+    codes = byte_codes().tolist()
+    folded = {i: int(langid.FOLDED[i]) for i in range(256)}
+
+    def bucket(gram):
+        total = codes[gram[0]]
+        for byte in gram[1:]:
+            total = (total * 0x9E3779B97F4A7C15 + codes[byte]) % 2**64
+        return int(mix(np.array([total], np.uint64))[0]) >> 49
+
+    short = [i for i, text in texts.items() if text is None or len(text) < 1500]
+    assert len(short) > 50
+    for doc_id in short:
+        text = texts[doc_id] or ""
+        if not any(c.isalpha() for c in text):
+            assert (found[doc_id].lang_pred, found[doc_id].score) == ("und", 0)
+            continue
+        data = bytes([32, *(folded[b] for b in text.encode()), 32])
+        grams = [
+            data[i : i + size]
+            for size in langid.SIZES
+            for i in range(len(data) - size + 1)
+            if (32 not in data[i + 1 : i + size - 1] if size > 2 else data[i : i + 2] != b"  ")
+        ]
+        sums = [math.fsum(float(model.table[bucket(g)][k]) for g in grams) for k in range(len(model.languages))]
+        logits = [x / len(grams) / model.temperature for x in sums]
+        powers = [math.exp(x - max(logits)) for x in logits]
+        best = max(range(len(powers)), key=powers.__getitem__)
+        assert found[doc_id].lang_pred == model.languages[best]
+        assert found[doc_id].score == pytest.approx(powers[best] / sum(powers), rel=1e-4)
+
+
+def test_quality_scores_recomputed_pair_by_pair(spark, tables, texts):
+    """From the stored machine: every pair of features by itself, without the identity."""
+    from millrace.llm import classifier
+    from millrace.llm.textops import span_hashes
+
+    documents, labels = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    machine = classifier.fit(documents, labels)
+    found = {row.doc_id: row.score for row in classifier.score_quality(documents, labels).collect()}
+    sizes = dict(tables.execute("SELECT doc_id, n_chars FROM documents").fetchall())
+    short = [i for i, text in texts.items() if text is not None and len(text.split()) < 150]
+    assert len(short) > 15
+    for doc_id in short:
+        data = texts[doc_id].encode()
+        words = data.split()
+        counts = {}
+        for word in words:
+            lower = np.frombuffer(bytes(b + 32 if 65 <= b <= 90 else b for b in word), np.uint8)
+            name = int(span_hashes(lower, np.array([0]), np.array([len(lower)]))[0]) >> 49
+            counts[name] = counts.get(name, 0) + 1
+        norm = math.sqrt(sum(counts.values())) or 1.0
+        x = {name: math.sqrt(n) / norm for name, n in counts.items()}
+        raw = np.frombuffer(data, np.uint8)
+        lengths = np.array([len(w) for w in words], np.float32)
+        stats = classifier.statistics(raw, lengths, np.array(sorted(counts.values())))
+        size = sizes[doc_id]
+        n = len(texts[doc_id])
+        known = [0, 1, 1] if size is None else [math.log1p(size), 0, min((size + 1) / (n + 1), 10)]
+        whole = np.concatenate([stats, np.array(known, np.float32)])
+        scaled = np.clip((whole - machine.middle) / machine.spread, -4, 4)
+        scaled = scaled / math.sqrt(classifier.STATISTICS + classifier.METADATA)
+        x |= {classifier.BUCKETS + k: float(v) for k, v in enumerate(scaled)}
+        total = machine.bias + sum(float(machine.weights[i]) * v for i, v in x.items())
+        names = sorted(x)
+        for a, i in enumerate(names):
+            for j in names[a + 1 :]:
+                total += float(machine.factors[i] @ machine.factors[j]) * x[i] * x[j]
+        expected = 1 / (1 + math.exp(-(machine.slope * total + machine.shift)))
+        assert found[doc_id] == pytest.approx(expected, abs=2e-3)
+
+
+def test_queries_leave_the_session_as_it_is(spark):
+    for name in sorted(QUERIES):
+        if name == "pipeline":
+            continue
+        before = dict(spark.conf.getAll)
+        QUERIES[name](spark, SF).count()
+        assert dict(spark.conf.getAll) == before, name
+
+
 def test_extraction_keeps_the_article_and_nothing_else(spark, tables):
     import html
     import re
@@ -157,7 +246,7 @@ def test_extraction_keeps_the_article_and_nothing_else(spark, tables):
 
 def test_whole_passages_go(spark, texts):
     """Runs of lines over 50 words that an earlier document holds, line by line, all go."""
-    rows = {row.doc_id: row for row in QUERIES["op9_line_passages"](spark, SF).collect()}
+    rows = {row.doc_id: row for row in QUERIES["op9_line_dedup"](spark, SF).collect()}
     lines = {i: (text or "").split("\n") for i, text in texts.items()}
     places, runs, kept = defaultdict(list), 0, set()
     for doc_id in sorted(lines):
