@@ -23,6 +23,7 @@ from millrace.schema import RAW_COLUMNS
 from millrace.session import scratch, session
 from millrace.sinks import database as db
 from millrace.sinks.files import BatchTable, write_event_files
+from millrace.sinks.filters import KeyFilters
 from millrace.sources.feed import raw_feed
 from millrace.sources.files import QUOTING
 from millrace.streaming import batches, jobs
@@ -42,12 +43,20 @@ HEADLINES = (
     "stream_parquet",
     "stream_unique_parquet",
     "stream_batch_sink",
+    "stream_unique_batch_sink",
     "stream_to_database",
+    "kept_counts",
+    "curve_lookups",
+    "heavy_products",
+    "replayed_days",
+    "mixed_headers",
 )
 ROUNDS = 2
 # Rows and number of the small files of which each is a batch.
 SMALL_BATCH = 125
 SMALL_BATCHES = 40
+# The same for batches whose keys are compared by filters, whose number of filters grows.
+FILTERED_BATCHES = 100
 
 
 def discard(rows: DataFrame) -> None:
@@ -70,8 +79,9 @@ def targets(spark: SparkSession) -> dict[str, batches.Writer]:
     db.create_event_table(spark, database, table)
     return {
         "database": batches.merge_into(database, table),
-        "files": batches.to_table(
-            BatchTable(spark, scratch(spark, "bench"))
+        "files": batches.to_table(BatchTable(spark, scratch(spark, "bench"))),
+        "filtered_files": batches.to_unique_table(
+            BatchTable(spark, scratch(spark, "bench")), KeyFilters(scratch(spark, "filters"))
         ),
     }
 
@@ -122,22 +132,27 @@ def time_ingest(spark: SparkSession, sf_dir: str) -> dict[str, dict]:
     measurement: draining the whole feed so would only repeat the same batch.
     """
     feed = raw_feed(spark, sf_dir)
-    backlog, trickle = scratch(spark, "backlog"), scratch(spark, "trickle")
+    backlog = scratch(spark, "backlog")
     write_event_files(feed.repartition(spark.sparkContext.defaultParallelism), backlog)
 
     few = one_per_key(feed.where("action IN ('view', 'purchase')")).select(*RAW_COLUMNS)
     few = few.where("event_id IS NOT NULL").orderBy("event_id")
-    few = few.limit(SMALL_BATCH * SMALL_BATCHES).repartition(1)
-    writer = few.write.option("header", True).option("maxRecordsPerFile", SMALL_BATCH)
-    writer.options(**QUOTING).csv(trickle)
 
-    found = {}
-    for name in ("database", "files", "unique_files"):
+    def trickle(count: int) -> str:
+        path = scratch(spark, "trickle")
+        rows = few.limit(SMALL_BATCH * count).repartition(1)
+        writer = rows.write.option("header", True).option("maxRecordsPerFile", SMALL_BATCH)
+        writer.options(**QUOTING).csv(path)
+        return path
+
+    found, short, long = {}, trickle(SMALL_BATCHES), trickle(FILTERED_BATCHES)
+    for name in ("database", "files", "unique_files", "filtered_files"):
         unique = name == "unique_files"
         sink = name.removeprefix("unique_")
+        small = long if name == "filtered_files" else short
         ingest(spark, backlog, targets(spark)[sink], None, unique)  # warm-up
         found[f"catch_up_{name}"] = ingest(spark, backlog, targets(spark)[sink], None, unique)
-        found[f"steady_{name}"] = ingest(spark, trickle, targets(spark)[sink], 1, unique)
+        found[f"steady_{name}"] = ingest(spark, small, targets(spark)[sink], 1, unique)
     return found
 
 

@@ -6,7 +6,8 @@ every stage's result to the folder in spark.checkpoint.dir and reads it again, s
 costs at most one stage and lineage stays short.
 
 Defined results: every stage keeps what its operator's docstring says of nulls, empty and repeated
-rows; an empty table goes through all stages and gives no pieces.
+rows; an empty table goes through all stages and gives no pieces. Where no document has a language
+to learn from, no document goes for its language.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told with enough confidence."""
+    """Documents whose language is told with enough confidence; all, if nothing can be learned."""
     return langid.drop_rejected(docs)
 
 
