@@ -5,20 +5,37 @@ from __future__ import annotations
 import argparse
 import logging
 import uuid
+from datetime import date
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from millrace.connection import Database, postgres
-from millrace.operators import report
+from millrace.operators import report, summaries
+from millrace.operators.clean import clean
+from millrace.operators.dedup import one_per_key
+from millrace.schema import event_schema
 from millrace.session import session
 from millrace.sinks import database as db
-from millrace.sinks.files import BatchTable, reject_schema, write_lookup_table
+from millrace.sinks.files import (
+    BatchTable,
+    reject_schema,
+    replay_days,
+    write_curve_table,
+    write_lookup_table,
+)
+from millrace.sinks.filters import KeyFilters
 from millrace.sources.database import read_database
-from millrace.sources.files import read_table
+from millrace.sources.files import read_events, read_table
 from millrace.streaming import batches, jobs
 from millrace.streaming.metrics import MetricsLog, ProgressLog
 
 
+def _days(text: str) -> list[date]:
+    return [date.fromisoformat(day.strip()) for day in text.split(",")]
+
+
+# Names of commands and options.
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="millrace", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
@@ -54,11 +71,29 @@ def _parser() -> argparse.ArgumentParser:
     to_files.add_argument("--parquet_out", required=True)
     to_files.add_argument("--unique", action="store_true", help="store each key once")
     to_files.add_argument("--state_partitions", type=int, help="fixed by the first start")
+    to_files.add_argument("--filters_dir", help="store each key once, by filters kept here")
+    to_files.add_argument("--horizon", help="remember keys for so long, such as '20 days'")
+    to_files.add_argument("--late_dir", help="where events older than the horizon go")
+    to_files.add_argument("--figures_dir", help="keep the figures of each batch here")
+    to_files.add_argument("--by_name", action="store_true", help="find columns by header names")
     to_files.add_argument("--console", action="store_true", help="show the rows as well")
 
     layout = commands.add_parser("layout", help="lay stored events out for lookups")
     layout.add_argument("--parquet_in", required=True)
     layout.add_argument("--parquet_out", required=True)
+    layout.add_argument("--curve", action="store_true", help="along a curve, not by day")
+
+    replay = commands.add_parser("replay", help="write days of a table by day anew")
+    replay.add_argument("--input_dir", required=True, help="the event files")
+    replay.add_argument("--parquet_out", required=True, help="the table")
+    replay.add_argument("--days", required=True, type=_days, help="such as 2026-01-05,2026-01-06")
+
+    compact = commands.add_parser("compact", help="merge the folders of old batches")
+    compact.add_argument("--parquet_out", required=True)
+    compact.add_argument("--before", required=True, type=int, help="first batch that stays")
+
+    figures = commands.add_parser("figures", help="row count and count per action, no event read")
+    figures.add_argument("--figures_dir", required=True)
 
     reset = commands.add_parser("reset", parents=[relational])
     reset.add_argument("--checkpoint_dir", required=True)
@@ -104,7 +139,20 @@ def to_database(spark: SparkSession, args: argparse.Namespace, database: Databas
 def to_files(spark: SparkSession, args: argparse.Namespace) -> None:
     """Stream events into a Parquet folder, and show them if asked to."""
     job = _job(args, ingest_time="processed_at")
-    if args.unique:
+    table = BatchTable(spark, args.parquet_out, event_schema(job.ingest_time))
+    if args.horizon:
+        late = BatchTable(spark, args.late_dir, event_schema(job.ingest_time))
+        query = jobs.start_remembered(spark, job, table, late, args.horizon, args.state_partitions)
+    elif args.filters_dir or args.figures_dir or args.by_name:
+        write = batches.to_table(table)
+        if args.filters_dir:
+            write = batches.to_unique_table(table, KeyFilters(args.filters_dir))
+        if args.figures_dir:
+            parts = BatchTable(spark, args.figures_dir, summaries.SUMMARY_SCHEMA)
+            write = batches.with_summaries(write, table, parts)
+        start = jobs.start_named_batches if args.by_name else jobs.start_batches
+        query = start(spark, job, write)
+    elif args.unique:
         query = jobs.start_unique_files(
             spark, job, args.parquet_out, args.state_partitions
         )
@@ -121,9 +169,24 @@ def to_files(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def layout(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Stored events, as files by batch or not, to a table by day with rows in user order."""
+    """Stored events, as files by batch or not, to a table by day or along a curve."""
     events = read_table(spark, args.parquet_in).drop("batch_id")
-    write_lookup_table(events, args.parquet_out)
+    write = write_curve_table if args.curve else write_lookup_table
+    write(events, args.parquet_out)
+
+
+def replay(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The named days of a table by day, once more from the event files."""
+    days = F.to_date("event_time").isin(*map(F.lit, args.days))
+    events = one_per_key(clean(read_events(spark, args.input_dir)).where(days))
+    replay_days(events, args.parquet_out, args.days)
+
+
+def figures(spark: SparkSession, args: argparse.Namespace) -> None:
+    """How many rows and how many per action, from what the batches left."""
+    parts = BatchTable(spark, args.figures_dir, summaries.SUMMARY_SCHEMA).read(spark)
+    summaries.total(parts).show()
+    summaries.counts(parts).show()
 
 
 def reset(spark: SparkSession, args: argparse.Namespace, database: Database) -> str:
@@ -164,6 +227,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         to_database(spark, args, _database(args))
     elif args.command == "layout":
         layout(spark, args)
+    elif args.command == "replay":
+        replay(spark, args)
+    elif args.command == "compact":
+        merged = BatchTable(spark, args.parquet_out).compact(spark, args.before)
+        print(f"{merged} folders merged")
+    elif args.command == "figures":
+        figures(spark, args)
     elif args.command == "reset":
         reset(spark, args, _database(args))
     elif args.command == "check":

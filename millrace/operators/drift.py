@@ -32,6 +32,13 @@ def cusum(
     return rows.withColumn("flagged", F.col("statistic") > limit).drop("_first", "_total")
 
 
+def slow_triggers(triggers: DataFrame, reference: int, slack: float, limit: float) -> DataFrame:
+    """Change in the seconds that triggers take, from the rows of a `ProgressLog`."""
+    series = triggers.withColumn("series", F.lit("trigger_s"))
+    found = cusum(series, "series", "batch_id", "trigger_s", reference, slack, limit)
+    return found.drop("series")
+
+
 def reject_shares(counted: DataFrame, reasons: list[str]) -> DataFrame:
     """Rows of a `RejectLog` as batch_id, rows, reason, rejected, share."""
     long = counted.unpivot(["batch_id", "rows"], reasons, "reason", "rejected")

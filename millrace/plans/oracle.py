@@ -193,6 +193,7 @@ _BODIES = {
     "stream_parquet": f"SELECT {ROW} FROM clean",
     "stream_unique_parquet": FIRST_ROWS,
     "stream_batch_sink": f"SELECT {ROW}, CAST(wave AS BIGINT) AS batch_id FROM first_arrived",
+    "compacted_batches": f"SELECT {ROW}, CAST(wave AS BIGINT) AS batch_id FROM first_arrived",
     "stream_unique_batch_sink": f"SELECT {ROW}, CAST(wave AS BIGINT) AS batch_id FROM first_arrived",
     "stream_to_database": FIRST_ROWS,
     "stream_two_sinks": f"""
@@ -310,7 +311,7 @@ SELECT CAST(wave AS BIGINT) AS batch_id, input_rows,
 STREAMED = {n for n in _BODIES if n.startswith("stream_") and n != "stream_mixed_headers"} | {
     "batch_metrics", "trigger_progress", "metrics_summary", "latest_stored", "stored_at_per_batch",
     "stored_lookups", "kept_counts", "redelivered_keys", "price_quantiles", "metric_quantiles",
-    "recorded_triggers",
+    "recorded_triggers", "compacted_batches",
 }
 
 

@@ -466,6 +466,21 @@ def stream_batch_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(table.read(spark), "batch_id")
 
 
+@query
+def compacted_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the folders of earlier batches merged while the stream goes on."""
+    table = files.BatchTable(spark, scratch(spark, "batches"))
+    write = batches.to_unique_table(table, KeyFilters(scratch(spark, "filters")))
+
+    def merging(rows: DataFrame, batch: batches.Batch) -> int:
+        added = write(rows, batch)
+        table.compact(rows.sparkSession, batch.number)  # earlier ones are committed
+        return added
+
+    _deliver(spark, sf_dir, lambda job: jobs.start_batches(spark, job, merging))
+    return comparable(table.read(spark), "batch_id")
+
+
 @query
 def stream_unique_batch_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same by stream state."""

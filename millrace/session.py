@@ -72,3 +72,43 @@ def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder of intermediate rows."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _store(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def read_lines(spark: SparkSession, name: str) -> list[str]:
+    """Lines of one small file, none if it is not there."""
+    store, path = _store(spark, name)
+    if not store.exists(path):
+        return []
+    stream = store.open(path)
+    try:
+        content = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return content.splitlines()
+
+
+def replace_lines(spark: SparkSession, name: str, lines: list[str]) -> None:
+    """Write one small file, under a temporary name first; a reader never sees half of it."""
+    store, path = _store(spark, name)
+    _, hidden = _store(spark, f"{name.rpartition('/')[0]}/_new_{name.rpartition('/')[2]}")
+    stream = store.create(hidden, True)
+    try:
+        stream.write(bytearray(("\n".join(lines) + "\n").encode()))
+    finally:
+        stream.close()
+    if not store.rename(hidden, path):  # stores that do not rename onto a file
+        store.delete(path, False)
+        store.rename(hidden, path)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    store, place = _store(spark, path)
+    if not store.exists(place):
+        return []
+    return [f.getPath().getName() for f in store.listStatus(place) if f.isDirectory()]

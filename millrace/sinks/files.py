@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +23,7 @@ from millrace.schema import (
     event_columns,
     event_schema,
 )
-from millrace.session import remove
+from millrace.session import folders, read_lines, remove, replace_lines
 from millrace.sources.files import QUOTING
 
 
@@ -147,7 +150,10 @@ def reject_schema(ingest_time: str = INGEST_TIME) -> T.StructType:
 class BatchTable:
     """A Parquet table with one folder per micro-batch.
 
-    Writing a batch replaces its folder, so a replayed batch leaves the same rows once.
+    Writing a batch replaces its folder, so a replayed batch leaves the same rows once. Folders of
+    batches that are done with can be merged (`compact`): their rows go to an archive of few
+    files, sorted by batch, and a small file names the archives that count, so that readers see
+    a batch in one place, before and after.
     """
 
     def __init__(
@@ -160,18 +166,46 @@ class BatchTable:
         empty = spark.createDataFrame([], self.schema)
         empty.write.mode("append").partitionBy("batch_id").parquet(path)
 
+    @property
+    def _pointer(self) -> str:
+        return f"{self.path}/_archives.json"
+
+    def archives(self, spark: SparkSession) -> list[dict]:
+        """The archives that count: their path, and the first batch that is not in them."""
+        return [json.loads(line) for line in read_lines(spark, self._pointer)]
+
     def read(self, spark: SparkSession) -> DataFrame:
         """All batches, with their `batch_id`."""
-        return spark.read.schema(self.schema).parquet(self.path)
+        reader, merged = spark.read.schema(self.schema), self.archives(spark)
+        rows = reader.parquet(self.path)
+        if not merged:
+            return rows
+        old = reader.parquet(*(archive["path"] for archive in merged))
+        return old.unionAll(rows.where(F.col("batch_id") >= merged[-1]["before"]))
 
     def folder(self, batch_id: int) -> str:
         return f"{self.path}/batch_id={batch_id}"
 
     def read_batches(self, spark: SparkSession, numbers: list[int]) -> DataFrame:
-        """The rows of some batches; the folders of others are not opened."""
-        fields = [field for field in self.schema if field.name != "batch_id"]
-        reader = spark.read.schema(T.StructType(fields))
-        return reader.parquet(*(self.folder(number) for number in numbers))
+        """The rows of some batches; the folders of others are not opened.
+
+        Of archives the statistics of row groups, which are sorted by batch, say where they are.
+        """
+        fields = T.StructType([field for field in self.schema if field.name != "batch_id"])
+        merged = self.archives(spark)
+        before = merged[-1]["before"] if merged else 0
+        names = [field.name for field in fields]
+        parts = []
+        if fresh := [number for number in numbers if number >= before]:
+            parts.append(spark.read.schema(fields).parquet(*map(self.folder, fresh)))
+        if old := [number for number in numbers if number < before]:
+            low = 0
+            for archive in merged:
+                if any(low <= number < archive["before"] for number in old):
+                    rows = spark.read.schema(self.schema).parquet(archive["path"])
+                    parts.append(rows.where(F.col("batch_id").isin(old)).select(*names))
+                low = archive["before"]
+        return reduce(DataFrame.unionAll, parts)
 
     def replace(self, rows: DataFrame, batch_id: int) -> None:
         """Write a batch in place of what an earlier attempt left.
@@ -179,3 +213,29 @@ class BatchTable:
         Rebalancing gives a small batch one file, however many tasks its rows come from.
         """
         rows.hint("rebalance").write.mode("overwrite").parquet(self.folder(batch_id))
+
+    def compact(self, spark: SparkSession, before: int) -> int:
+        """Merge the folders of batches below a number, which must be committed; how many.
+
+        Only what is new is rewritten. The folders stay until the next call, for readers that
+        listed them.
+        """
+        merged = self.archives(spark)
+        done = merged[-1]["before"] if merged else 0
+        found = sorted(
+            int(name.partition("=")[2]) for name in folders(spark, self.path) if name.startswith("batch_id=")
+        )
+        for number in found:
+            if number < done:
+                remove(spark, self.folder(number))
+        wanted = [number for number in found if done <= number < before]
+        if not wanted:
+            return 0
+        rows = spark.read.schema(self.schema).option("basePath", self.path)
+        rows = rows.parquet(*map(self.folder, wanted))
+        target = f"{self.path}/_archive/before-{before}-{uuid.uuid4().hex}"
+        ordered = rows.repartitionByRange("batch_id", rows.columns[0])
+        ordered.sortWithinPartitions("batch_id").write.parquet(target)
+        lines = [*merged, {"path": target, "before": before}]
+        replace_lines(spark, self._pointer, [json.dumps(line) for line in lines])
+        return len(wanted)

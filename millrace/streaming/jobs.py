@@ -19,6 +19,7 @@ from millrace.operators.clean import clean
 from millrace.schema import INGEST_TIME, KEY, event_schema
 from millrace.session import kept, settings
 from millrace.sinks.files import BatchTable
+from millrace.sources.by_name import named_events, watch_lines
 from millrace.sources.files import watch_events
 from millrace.streaming.batches import (
     Writer,
@@ -224,6 +225,24 @@ def start_batches(
         return job.started(first_seen(events) if unique else events).foreachBatch(handle).start()
 
 
+def start_named_batches(
+    spark: SparkSession, job: StreamJob, write: Writer, metrics: MetricsLog | None = None
+) -> StreamingQuery:
+    """Like `start_batches`, for files whose columns are found by the names in their headers.
+
+    A batch holds whole files, so its lines are matched with the headers among them.
+    """
+    handle = batch_callback(write, metrics or MetricsLog(), job.checkpoint_dir)
+
+    def named(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession), kept(batch) as lines:
+            events = clean(named_events(lines).drop("others"), job.ingest_time, job.strict_time)
+            handle(events, batch_id)
+
+    lines = watch_lines(spark, job.input_dir, job.max_files)
+    return job.started(lines).foreachBatch(named).start()
+
+
 def start_split(
     spark: SparkSession,
     job: StreamJob,

@@ -11,6 +11,8 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
+from millrace.session import read_lines, replace_lines
+
 log = logging.getLogger("millrace")
 
 # Log lines of a batch.
@@ -42,41 +44,10 @@ class RowLog:
             group = batch_id // BATCHES_PER_FILE
             name = f"{self.path}/batches_{group:08d}.json"
             if group != self.group:
-                self.rows = {r["batch_id"]: r for r in map(json.loads, _lines(spark, name))}
+                self.rows = {r["batch_id"]: r for r in map(json.loads, read_lines(spark, name))}
                 self.group = group
             self.rows[batch_id] = {"batch_id": batch_id, **row}
-            _replace(spark, name, [json.dumps(self.rows[n]) for n in sorted(self.rows)])
-
-
-def _store(spark: SparkSession, name: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(name)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
-
-
-def _lines(spark: SparkSession, name: str) -> list[str]:
-    """Lines of one small file, none if it is not there."""
-    store, path = _store(spark, name)
-    if not store.exists(path):
-        return []
-    stream = store.open(path)
-    try:
-        content = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return content.splitlines()
-
-
-def _replace(spark: SparkSession, name: str, lines: list[str]) -> None:
-    store, path = _store(spark, name)
-    _, hidden = _store(spark, f"{name.rpartition('/')[0]}/_new_{name.rpartition('/')[2]}")
-    stream = store.create(hidden, True)
-    try:
-        stream.write(bytearray(("\n".join(lines) + "\n").encode()))
-    finally:
-        stream.close()
-    if not store.rename(hidden, path):  # stores that do not rename onto a file
-        store.delete(path, False)
-        store.rename(hidden, path)
+            replace_lines(spark, name, [json.dumps(self.rows[n]) for n in sorted(self.rows)])
 
 
 @dataclass(frozen=True)

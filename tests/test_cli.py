@@ -6,6 +6,7 @@ import pytest
 
 from millrace import cli
 from millrace.connection import target
+from millrace.schema import RAW_COLUMNS
 from millrace.sinks import database as db
 from millrace.sources.database import read_database
 from millrace.sources.files import read_table
@@ -85,3 +86,45 @@ def test_table_is_made_before_the_stream(spark, store):
     assert not database.has_table(spark, table)
     db.create_event_table(spark, database, table)
     assert database.has_table(spark, table)
+
+
+def test_files_by_filters_figures_and_names(spark, put_csv, tmp_path, capsys):
+    swapped = tuple(reversed(RAW_COLUMNS))
+    put_csv("1.csv", {"event_id": "a"}, {"event_id": "b", "action": "purchase"})
+    folder = put_csv("2.csv", {"event_id": "a"}, {"event_id": "c"}, header=swapped)
+    places = {name: str(tmp_path / name) for name in ("parquet_out", "checkpoint_dir", "filters_dir", "figures_dir")}
+    options = [part for name, place in places.items() for part in (f"--{name}", place)]
+    command = ["to-files", "--input_dir", folder, "--once", "--max_files", "1", "--by_name", *options]
+    cli.main(command, spark)
+    stored = read_table(spark, places["parquet_out"])
+    assert sorted(row.event_id for row in stored.collect()) == ["a", "b", "c"]
+    cli.main(["figures", "--figures_dir", places["figures_dir"]], spark)
+    shown = capsys.readouterr().out
+    assert "|  3|" in shown and "|    view|  2|" in shown
+    cli.main(["compact", "--parquet_out", places["parquet_out"], "--before", "1"], spark)
+    assert "1 folders merged" in capsys.readouterr().out
+
+
+def test_files_with_a_horizon(spark, put_csv, tmp_path):
+    put_csv("1.csv", {"event_id": "a", "event_time": "2026-01-05"})
+    folder = put_csv("2.csv", {"event_id": "b", "event_time": "2025-01-05"})
+    out, late = str(tmp_path / "out"), str(tmp_path / "late")
+    command = ["to-files", "--input_dir", folder, "--parquet_out", out, "--once", "--max_files", "1"]
+    command += ["--horizon", "3 days", "--late_dir", late, "--state_partitions", "2"]
+    cli.main([*command, "--checkpoint_dir", str(tmp_path / "progress")], spark)
+    assert [r.event_id for r in read_table(spark, out).collect()] == ["a"]
+    assert [r.event_id for r in read_table(spark, late).collect()] == ["b"]
+
+
+def test_layout_and_replay(spark, put_csv, tmp_path):
+    folder = put_csv("1.csv", {"event_id": "a", "event_time": "2026-01-05"}, {"event_id": "b", "event_time": "2026-01-06"})
+    progress, out = str(tmp_path / "progress"), str(tmp_path / "out")
+    cli.main(["to-files", "--input_dir", folder, "--parquet_out", out, "--once", "--checkpoint_dir", progress], spark)
+    days, curve = str(tmp_path / "days"), str(tmp_path / "curve")
+    cli.main(["layout", "--parquet_in", out, "--parquet_out", curve, "--curve"], spark)
+    assert read_table(spark, curve).count() == 2
+    cli.main(["layout", "--parquet_in", out, "--parquet_out", days], spark)
+    put_csv("2.csv", {"event_id": "c", "event_time": "2026-01-06"}, {"event_id": "d", "event_time": "2026-01-05"})
+    cli.main(["replay", "--input_dir", folder, "--parquet_out", days, "--days", "2026-01-06"], spark)
+    rows = sorted((r.event_id, str(r.event_date)) for r in read_table(spark, days).collect())
+    assert rows == [("a", "2026-01-05"), ("b", "2026-01-06"), ("c", "2026-01-06")]

@@ -99,6 +99,13 @@ def test_a_lasting_rise_is_flagged_and_noise_is_not(spark):
     assert flagged and {s for s, _ in flagged} == {"risen"} and min(i for _, i in flagged) in range(27, 35)
 
 
+def test_slower_triggers_are_flagged(spark):
+    rows = [(i, 10, 0.2 + (0.3 if i >= 15 else 0.02 * (i % 2)), 50.0) for i in range(20)]
+    triggers = spark.createDataFrame(rows, "batch_id long, input_rows long, trigger_s double, rows_per_s double")
+    found = drift.slow_triggers(triggers, reference=10, slack=0.05, limit=0.4)
+    assert {r.batch_id for r in found.where("flagged").collect()} == {16, 17, 18, 19}
+
+
 @given(st.lists(st.lists(st.integers(0, 12), max_size=30), max_size=5), st.integers(1, 6))
 @limits(max_examples=200, deadline=None)
 def test_counters_are_too_low_by_a_bounded_number(parts, size):

@@ -71,6 +71,30 @@ def test_a_batch_opens_only_the_folders_whose_filter_answers(spark, put_csv, tmp
     assert found.count() == 150 and found.where("event_id = 'e1-7'").first().source == "web"
 
 
+def test_merged_folders_hold_every_batch_once(spark, put_csv, tmp_path):
+    for number in range(6):
+        folder = put_csv(f"{number}.csv", *({"event_id": f"e{number}-{k}"} for k in range(5)), {"event_id": "again"})
+    table = BatchTable(spark, str(tmp_path / "table"))
+    write = batches.to_unique_table(table, KeyFilters(str(tmp_path / "filters")))
+    run(spark, folder, tmp_path, write)
+    before = sorted((r.event_id, r.batch_id) for r in table.read(spark).collect())
+    listed = table.read(spark)  # a reader that has listed the folders
+    assert table.compact(spark, 3) == 3 and table.compact(spark, 3) == 0
+    assert sorted((r.event_id, r.batch_id) for r in table.read(spark).collect()) == before
+    assert table.compact(spark, 5) == 2
+    again = BatchTable(spark, table.path)
+    assert sorted((r.event_id, r.batch_id) for r in again.read(spark).collect()) == before
+    assert listed.schema == again.read(spark).schema
+    for numbers in ([0], [4, 1], [5], [0, 3, 5]):
+        found = sorted(r.event_id for r in again.read_batches(spark, numbers).collect())
+        assert found == sorted(name for name, batch in before if batch in numbers)
+    names = {p.name for p in (tmp_path / "table").glob("batch_id=*")}
+    assert names == {"batch_id=3", "batch_id=4", "batch_id=5"}  # merged ones go with the next call
+    put_csv("6.csv", {"event_id": "e0-0"}, {"event_id": "new"})
+    run(spark, folder, tmp_path, batches.to_unique_table(again, KeyFilters(str(tmp_path / "filters"))))
+    assert sorted(r.event_id for r in again.read(spark).where("batch_id = 6").collect()) == ["new"]
+
+
 @pytest.mark.parametrize("at", [0, 1, 2])
 def test_a_stop_within_a_batch_leaves_each_key_once(spark, put_csv, tmp_path, monkeypatch, at):
     put_csv("1.csv", {"event_id": "a"}, {"event_id": "b"})
