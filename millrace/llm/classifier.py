@@ -256,7 +256,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> FactorisationMachine | None:
     for label, n in counts.items():
         limit = min(1 << 30, int((1 << 30) * ROWS_PER_LABEL / n) + 1)
         share = F.when(F.col("label") == label, limit).otherwise(share)
-    bound = ROWS_PER_LABEL * len(counts)
+    # The shares give about the wanted rows; twice as many is a bound that takes from no label.
+    bound = 2 * ROWS_PER_LABEL * len(counts)
     picked = known.select("doc_id", "label", at.alias("at"), share.alias("s")).where("at < s")
     picked = picked.orderBy("at", "doc_id").limit(bound)
     texts = documents.select("doc_id", "text", _n_chars(documents)).join(
@@ -266,6 +267,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> FactorisationMachine | None:
         tidy(_features), "at long, label int, buckets binary, values binary, stats binary"
     )
     rows = rows.orderBy("at", "buckets").limit(bound).collect()
+    of_label = {label: [row for row in rows if row.label == label] for label in counts}
+    rows = [row for label in sorted(counts) for row in of_label[label][:ROWS_PER_LABEL]]
     return train(
         [
             (

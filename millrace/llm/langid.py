@@ -18,6 +18,7 @@ Defined results
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -196,11 +197,16 @@ def fit(documents: DataFrame) -> LanguageModel | None:
     picked = picked.where("at < s").select("at", "lang", "text").mapInArrow(
         tidy(_features), "at long, lang string, buckets binary, counts binary"
     )
-    rows = picked.orderBy("at", "lang").limit(ROWS_PER_LANGUAGE * len(counts)).collect()
-    return train([
-        (row.lang, np.frombuffer(row.buckets, "<i4"), np.frombuffer(row.counts, "<i4"))
-        for row in rows if row.buckets
-    ])
+    # The shares give about the wanted rows; twice as many is a bound that takes from no language.
+    rows = picked.orderBy("at", "lang").limit(2 * ROWS_PER_LANGUAGE * len(counts)).collect()
+    examples, taken = [], Counter()
+    for row in rows:
+        if row.buckets and taken[row.lang] < ROWS_PER_LANGUAGE:
+            taken[row.lang] += 1
+            examples.append(
+                (row.lang, np.frombuffer(row.buckets, "<i4"), np.frombuffer(row.counts, "<i4"))
+            )
+    return train(examples)
 
 
 def has_letter(text: str | None) -> bool:
