@@ -56,8 +56,13 @@ def adaptive(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def batch_callback(write: Writer, metrics: MetricsLog, checkpoint_dir: str) -> Handler:
-    """A callback for foreachBatch. The time covers dedup and write, not the emptiness test."""
+def batch_callback(
+    write: Writer, metrics: MetricsLog, checkpoint_dir: str, unique: bool = False
+) -> Handler:
+    """A callback for foreachBatch. The time covers dedup and write, not the emptiness test.
+
+    `unique` says that the stream has left one row of each key already.
+    """
     named: list[str] = []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -68,7 +73,7 @@ def batch_callback(write: Writer, metrics: MetricsLog, checkpoint_dir: str) -> H
             return
         start = time.monotonic()
         with adaptive(batch.sparkSession):
-            rows = write(one_per_key(batch), Batch(batch_id, named[0]))
+            rows = write(batch if unique else one_per_key(batch), Batch(batch_id, named[0]))
         metrics.add(batch.sparkSession, batch_id, BatchMetric(rows, time.monotonic() - start))
 
     return handle
@@ -82,13 +87,14 @@ def split_callback(
     ingest_time: str = INGEST_TIME,
     strict_time: bool = False,
     counted: RejectLog | None = None,
+    unique: bool = False,
 ) -> Handler:
     """A callback for raw batches: valid rows go on to `write`, the others to `rejected`.
 
     The batch is kept while both halves are written, so its files are parsed once. `counted`
     notes how many rows broke each rule, counted while the rejected rows are written.
     """
-    handle = batch_callback(write, metrics, checkpoint_dir)
+    handle = batch_callback(write, metrics, checkpoint_dir, unique)
 
     def split(batch: DataFrame, batch_id: int) -> None:
         with adaptive(batch.sparkSession), kept(batch) as raw:

@@ -216,7 +216,7 @@ def start_batches(
     With `unique`, keys of earlier batches are dropped as well (`first_seen`); such a stream runs
     in a session of its own. `progress` listens in the session that the stream runs in.
     """
-    handle = batch_callback(write, metrics or MetricsLog(), job.checkpoint_dir)
+    handle = batch_callback(write, metrics or MetricsLog(), job.checkpoint_dir, unique)
     values = _unique(spark, state_partitions) if unique else {}
     with settings(spark, values) if unique else nullcontext(spark) as own:
         if progress:
@@ -267,6 +267,7 @@ def start_split(
         job.ingest_time,
         job.strict_time,
         counted,
+        unique,
     )
     values = _unique(spark, state_partitions) if unique else {}
     with settings(spark, values) if unique else nullcontext(spark) as own:
