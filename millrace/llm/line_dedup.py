@@ -267,14 +267,13 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     """Lines to remove: doc_id, text_hash, begin and end, from (doc_id, text_hash, text)."""
     kinds = f"{DOC}, begin int, end int, several boolean, digest binary"
     found = _kept(texts.mapInArrow(tidy(_chunk), kinds), "chunks")
-    # Digests alone are counted; a frequent one is summed up before the shuffle.
-    often = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    seeds = _kept(
-        _by_document(found.join(often, "digest"), "begin", "end", "several").withColumnRenamed("held", "seeds"),
-        "seeds",
-    )
-    # Byte comparison: lines with one content are one class. Grouping and join stand apart, so
-    # that Spark may split a line which very many documents share.
+    # Digests alone are counted; a frequent one is summed up before the shuffle. Here and below
+    # counting and join stand apart, so that Spark may split what very many documents share.
+    often = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    often = _kept(often.select("digest"), "repeated-chunks")
+    seeds = _by_document(found.join(often, "digest"), "begin", "end", "several")
+    seeds = _kept(seeds.withColumnRenamed("held", "seeds"), "seeds")
+    # Byte comparison: lines with one content are one class.
     held = _same(texts, seeds).select("doc_id", "text_hash", "text", "seeds")
     lines = held.mapInArrow(tidy(_lines_near), f"{DOC}, line int, words int, content string")
     lines = _kept(lines, "lines")
@@ -287,7 +286,6 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     spans = _kept(spans.select("classes", F.struct(*PLACE).alias("place")), "matches")
     groups = spans.groupBy("classes").agg(F.min("place").alias("first"), F.max("place").alias("last"))
     firsts = _kept(groups.where("first < last").select("classes", "first"), "first-matches")
-    # Alone as well, see above.
     joined = spans.join(firsts, "classes")
     elsewhere = ~(
         F.col("place.doc_id").eqNullSafe(F.col("first.doc_id"))
