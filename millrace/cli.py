@@ -217,7 +217,10 @@ def verify(spark: SparkSession, args: argparse.Namespace, database: Database) ->
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if getattr(args, "horizon", None) and not args.late_dir:
+        parser.error("--horizon needs --late_dir, for what comes later")
     logging.basicConfig(level=logging.WARNING, format="%(message)s")
     logging.getLogger("millrace").setLevel(logging.INFO)
     spark = spark or session(f"millrace {args.command}")
