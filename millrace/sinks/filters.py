@@ -94,6 +94,9 @@ class KeyFilters:
 
     def may_hold(self, keys: DataFrame, key: str = KEY) -> DataFrame:
         """Pairs of a key and a batch whose filter says yes: columns `key`, `batch_id`."""
+        return self._answers(keys, key).distinct()
+
+    def _answers(self, keys: DataFrame, key: str) -> DataFrame:
         spark = keys.sparkSession
         if not self._files(spark):
             return spark.createDataFrame([], keys.select(key).schema.add("batch_id", "long"))
@@ -105,12 +108,11 @@ class KeyFilters:
         asked = keys.select(key, sizes, *(bits[word].alias(f"own_{word}") for word in WORDS))
         asked = asked.withColumn("block", _block(key, "size"))
         found = asked.join(filters, ["size", "block"])
-        for word in WORDS:
-            own = F.col(f"own_{word}")
-            found = found.where(F.col(word).bitwiseAND(own) == own)
-        return found.select(key, "batch_id").distinct()
+        held = " AND ".join(f"{word} & own_{word} = own_{word}" for word in WORDS)
+        return found.where(held).select(key, "batch_id")
 
     def batches_for(self, keys: DataFrame, but: int, key: str = KEY) -> list[int]:
         """Numbers of the batches, other than `but`, that may hold one of the keys."""
-        found = self.may_hold(keys, key).select("batch_id").distinct().where(F.col("batch_id") != but)
-        return sorted(row.batch_id for row in found.collect())
+        found = self._answers(keys, key).where(F.col("batch_id") != but)
+        # A number per batch at most.
+        return sorted(found.agg(F.collect_set("batch_id").alias("numbers")).first()["numbers"])

@@ -140,7 +140,8 @@ def to_unique_table(table: BatchTable, filters: KeyFilters) -> Writer:
 
     def write(rows: DataFrame, batch: Batch) -> int:
         spark = rows.sparkSession
-        with kept(rows) as held:
+        # Rebalanced, so that a small batch is one task in each of the steps that follow.
+        with kept(rows.hint("rebalance")) as held:
             others = filters.batches_for(held.select(KEY), but=batch.number)
             fresh = held
             if others:
