@@ -179,6 +179,12 @@ def damage(conversations: DataFrame) -> DataFrame:
     )
 
 
+def _kept(rows: DataFrame, name: str) -> DataFrame:
+    path = scratch(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def _digest() -> Column:
     return F.unhex(F.sha2("text", 256)).alias("digest")
 
@@ -205,13 +211,14 @@ def _coded(rows: DataFrame) -> DataFrame:
         F.any_value("initial").alias("initial"),
         F.any_value("fault").alias("fault"),
     )
+    light = _kept(light, "conversation-rows")
     # The first of equal rows, by an aggregate that combines before the exchange and a join that
-    # Spark splits where one message fills a conversation.
+    # stands apart from it, so that Spark splits it where one message fills a conversation.
     given = F.struct(F.col("turn").isNotNull().alias("given"), "turn")
     first = light.where(F.col("fault") != BLANK).groupBy(
         F.col("conv_id").alias("c"), F.col("role").alias("r"), F.col("digest").alias("d")
     )
-    first = first.agg(F.min(given).alias("first"))
+    first = _kept(first.agg(F.min(given).alias("first")), "conversation-firsts")
     joined = light.join(first, F.expr("conv_id <=> c AND role = r AND digest = d"), "left")
 
     def char(fault: Column) -> Column:
@@ -449,9 +456,7 @@ def repair_report(conversations: DataFrame) -> DataFrame:
     spark = conversations.sparkSession
     prepare(spark)
     damaged = damage(conversations)
-    path = scratch(spark, "conversation-audits")
-    audits(damaged).write.parquet(path)
-    found = spark.read.parquet(path)
+    found = _kept(audits(damaged), "conversation-audits")
     names = conversations.select("conv_id").distinct()
     # Whole without rows: nothing to find, nothing to hash.
     named = names.join(found.withColumnRenamed("conv_id", "own"), F.expr("conv_id <=> own"), "left")
