@@ -252,7 +252,8 @@ def _sharded(rows: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
         filled += size
         number += pieces - 1
     named = rows.sparkSession.createDataFrame(shards, "range long, first long, pieces long")
-    dealt = rows.withColumn("range", place).join(named, "range")
+    # RANGES rows and one at most, so no page is moved to meet them.
+    dealt = rows.withColumn("range", place).join(F.broadcast(named), "range")
     piece = F.pmod(F.xxhash64("digest"), F.col("pieces"))
     dealt = dealt.withColumn("shard", (F.col("first") + piece).cast("int"))
     return dealt.drop("range", "first", "pieces"), number + 1
