@@ -16,9 +16,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rounds in which sets go that cannot be in a pair; each makes members of others unique.
-ROUNDS = 2
-
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
@@ -50,21 +47,19 @@ def candidate_pairs(sets: DataFrame, percent: int, keep: Keep) -> DataFrame:
     and reads it again.
     """
     as_larger, as_smaller = _least_shared(percent)
-    for _ in range(ROUNDS):
-        sets = keep(_with_own(sets).where(F.col("own") <= F.col("n") - as_larger), "sets")
-    sets = sets.withColumns({"longer": F.col("n") - as_larger + 1, "shorter": F.col("n") - as_smaller + 1})
-    members = sets.select("id", "component", "n", "longer", "shorter", F.explode("members").alias("member"))
+    sets = keep(_with_own(sets).where(F.col("own") <= F.col("n") - as_larger), "sets")
+    members = sets.select("id", F.explode("members").alias("member"))
     shared = _counted(sets).where("count > 1").select("member", "count")
-    shared = keep(members.join(shared, "member"), "members")
     # Members that are a set's own come first, so positions of the others follow them.
-    order = Window.partitionBy("id").orderBy("count", "member")
-    having = shared.groupBy("id").agg(F.count(F.lit(1)).alias("having"))
-    placed = shared.withColumn("rank", F.row_number().over(order)).join(having, "id")
-    placed = placed.withColumn("place", F.col("n") - F.col("having") + F.col("rank"))
+    whole = Window.partitionBy("id")
+    own = F.col("n") - F.count(F.lit(1)).over(whole)
+    rank = F.row_number().over(whole.orderBy("count", "member"))
+    ranked = members.join(shared, "member").join(sets.select("id", "component", "n"), "id")
+    placed = ranked.withColumn("place", own + rank)
     named = keep(
-        placed.where(F.col("place") <= F.col("longer")).select(
+        placed.where(F.col("place") <= F.col("n") - as_larger + 1).select(
             "member", "id", "component", "n", "place",
-            (F.col("place") <= F.col("shorter")).alias("short"),
+            (F.col("place") <= F.col("n") - as_smaller + 1).alias("short"),
         ),
         "prefixes",
     )
@@ -76,21 +71,29 @@ def candidate_pairs(sets: DataFrame, percent: int, keep: Keep) -> DataFrame:
     named = named.join(sizes, "member").where(F.col("short") | near).drop("least", "most")
     mixed = named.groupBy("member").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     named = keep(named.join(mixed.where("x < y").select("member"), "member", "left_semi"), "prefixes")
-    # Components first, so that those of one component never meet.
-    groups = named.groupBy("member", "component").agg(F.max("short").alias("short"))
-    other = groups.select("member", F.col("component").alias("component_b"))
-    groups = groups.where("short").join(other, "member").where("component <> component_b")
-    small = named.where("short").join(groups.drop("short"), ["member", "component"])
-    large = named.select(
+    # Of each member the component that most of its sets are of stands apart: its sets meet those
+    # of others only, never each other.
+    groups = named.groupBy("member", "component").agg(F.count(F.lit(1)).alias("sets"))
+    major = groups.groupBy("member").agg(F.max(F.struct("sets", "component")).alias("major"))
+    marked = named.join(major, "member").withColumn("in_major", F.col("component") == F.col("major.component"))
+    small = marked.where("short").drop("major", "short")
+    large = marked.select(
         "member", F.col("component").alias("component_b"), F.col("id").alias("id_b"),
-        F.col("n").alias("n_b"), F.col("place").alias("place_b"),
+        F.col("n").alias("n_b"), F.col("place").alias("place_b"), F.col("in_major").alias("in_major_b"),
     )
     n, n_b = F.col("n"), F.col("n_b")
     # At the first member that two sets share, what follows it bounds what they share.
     most = F.least(n - F.col("place"), n_b - F.col("place_b")) + 1
-    found = small.join(large, ["member", "component_b"]).where(
-        (n <= n_b) & (100 * n >= percent * n_b) & ((100 + percent) * most >= percent * (n + n_b))
+    near = (
+        (F.col("component") != F.col("component_b"))
+        & (n <= n_b)
+        & (100 * n >= percent * n_b)
+        & ((100 + percent) * most >= percent * (n + n_b))
     )
-    return found.select(
-        F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")
-    ).distinct()
+
+    def met(smaller: DataFrame, larger: DataFrame) -> DataFrame:
+        found = smaller.join(larger, "member").where(near)
+        return found.select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b"))
+
+    others = met(small.where("NOT in_major"), large)
+    return others.unionAll(met(small.where("in_major"), large.where("NOT in_major_b"))).distinct()
