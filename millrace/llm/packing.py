@@ -34,8 +34,8 @@ from millrace.session import scratch
 
 CAPACITY = 2048
 CLOSING_ID = 0
-# Pieces of one length that one ranking task takes.
-RANK_ROWS = 100_000
+# Pieces of one length that are ranked together.
+RANK_ROWS = 1_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, place int"
 
