@@ -109,6 +109,8 @@ class CountingQuotientFilter:
 
 
 SEGMENT = "part int, quotients binary, run_ends binary, remainders binary, counts binary"
+# Repeated fingerprints, of 8 bytes, that are sent to every task at most.
+BROADCAST_FINGERPRINTS = 1 << 20
 # Fingerprints a partition's filter takes in before it is handed on; further ones start another,
 # and all are merged. So memory stays bounded however large a partition is.
 FILTER_ROWS = 1 << 20
@@ -167,7 +169,15 @@ def exact_duplicates(documents: DataFrame) -> DataFrame:
 
     parts = max(spark.sparkContext.defaultParallelism, -(-rows.count() // SEGMENT_ROWS))
     repeated = repeated_fingerprints(rows.select("fingerprint"), parts)
+    path = scratch(spark, "repeated-fingerprints")
+    repeated.write.parquet(path)
+    repeated = spark.read.parquet(path)
+    # While they are few, every task has all repeated fingerprints and no other text is moved;
+    # beyond that, texts are joined with them by the fingerprint.
+    if repeated.count() <= BROADCAST_FINGERPRINTS:
+        repeated = F.broadcast(repeated)
     # Byte verification: equal bytes are one group, so no two different texts ever share one.
+    # Copies within a task are one row before the shuffle.
     suspects = texts.join(repeated, "fingerprint", "left_semi")
     groups = (
         suspects.groupBy("text")

@@ -111,6 +111,30 @@ def test_exact_copies(documents):
     }
 
 
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_exact_copies_of_a_hot_text(spark, monkeypatch, most):
+    """A third of all rows have one text; with few repeated fingerprints and with many."""
+    monkeypatch.setattr(exact_dedup, "BROADCAST_FINGERPRINTS", most)
+    text = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.floor(F.col("id") / 2)))
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    found = exact_dedup.exact_duplicates(rows)
+    assert found.where("kept").count() == rows.select("text").distinct().count()
+    hot = found.where("group_size = 1000").collect()
+    assert len(hot) == 1000 and {r.keep_id for r in hot} == {2997}
+
+
+def test_lines_of_a_hot_passage(spark):
+    """A passage that a third of all documents share stays once."""
+    passage = "\n".join(f"{PROSE} and line {i} of it" for i in range(3))
+    text = F.when(F.col("id") % 3 == 0, F.concat_ws("\n", F.concat(F.lit("own "), "id"), F.lit(passage)))
+    rows = spark.range(900).select(
+        F.col("id").alias("doc_id"), text.otherwise(F.concat(F.lit("other "), "id")).alias("text")
+    )
+    found = line_dedup.dedup_lines(rows)
+    assert {r.doc_id for r in found.where("removed = ''").collect()} == {0} | {i for i in range(900) if i % 3}
+    assert {(r.removed, r.kept_lines) for r in found.where("removed <> ''").collect()} == {("1-4", 1)}
+
+
 def test_near_copies(documents):
     rule = minhash.NearRule(words=3, percent=85)
     rows = minhash.near_duplicates(documents, rule).collect()
@@ -183,6 +207,16 @@ def test_stages_keep_columns(spark, documents, nothing):
             assert stage(spark, docs, "").count() <= docs.count()
 
 
+def test_whole_pipeline(spark, documents, nothing):
+    """Edge cases, clashing names and an empty table through all stages."""
+    for docs in (documents, nothing):
+        folder = scratch(spark, "pipeline-test")
+        docs.write.parquet(f"{folder}/documents.parquet")
+        found = corpus_pipeline.run(spark, folder)
+        assert found.columns[:2] == ["doc_id", "piece"]
+        assert (found.count() > 0) == (docs is documents)
+
+
 PAGE = "<article><p>" + PROSE + ".</p></article>"
 PAGES = [
     (1, "http://a/", PAGE), (2, None, PAGE), (2, None, PAGE), (3, "u\r\nv", None), (4, "", ""),
