@@ -76,15 +76,10 @@ def candidate_pairs(sets: DataFrame, percent: int, keep: Keep) -> DataFrame:
     groups = named.groupBy("member", "component").agg(F.count(F.lit(1)).alias("sets"))
     major = groups.groupBy("member").agg(F.max(F.struct("sets", "component")).alias("major"))
     marked = named.join(major, "member").withColumn("in_major", F.col("component") == F.col("major.component"))
-    # With its whole prefix, so that a pair is made at the first member that both have, once.
-    listed = F.sort_array(F.collect_list(F.struct("place", "member")))
-    prefix = named.groupBy("id").agg(F.transform(listed, lambda x: x["member"]).alias("prefix"))
-    marked = marked.join(prefix, "id")
     small = marked.where("short").drop("major", "short")
     large = marked.select(
         "member", F.col("component").alias("component_b"), F.col("id").alias("id_b"),
         F.col("n").alias("n_b"), F.col("place").alias("place_b"), F.col("in_major").alias("in_major_b"),
-        F.col("prefix").alias("prefix_b"),
     )
     n, n_b = F.col("n"), F.col("n_b")
     # At the first member that two sets share, what follows it bounds what they share.
@@ -94,7 +89,6 @@ def candidate_pairs(sets: DataFrame, percent: int, keep: Keep) -> DataFrame:
         & (n <= n_b)
         & (100 * n >= percent * n_b)
         & ((100 + percent) * most >= percent * (n + n_b))
-        & (F.array_intersect("prefix", "prefix_b")[0] == F.col("member"))
     )
 
     def met(smaller: DataFrame, larger: DataFrame) -> DataFrame:
