@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
@@ -12,6 +15,7 @@ from millrace.sinks import filters
 from millrace.sinks.files import BatchTable
 from millrace.sinks.filters import KeyFilters
 from millrace.streaming import batches, jobs
+from millrace.streaming.memory import Remember
 from oracle_check import differences, open_oracle
 
 
@@ -165,3 +169,64 @@ def test_keys_are_remembered_for_a_horizon(spark, put_csv, tmp_path):
         ("f", 35, "web"),
     ]
     assert sorted((r.event_id, r.event_time.second) for r in late.read(spark).collect()) == [("a", 10), ("e", 34)]
+
+
+class FakeState:
+    """One bucket's state and timers, and how often they are asked."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, moment):
+        self.calls += 1
+        self.timers.add(moment)
+
+    def deleteTimer(self, moment):
+        self.calls += 1
+        self.timers.remove(moment)
+
+
+def test_a_bucket_of_keys_is_one_state_with_one_timer():
+    state, processor = FakeState(), Remember()
+    processor.init(state)
+
+    def batch(watermark, *events):
+        times = SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark)
+        rows = [Row(event_id=name, millis=moment, _bucket=3) for name, moment in events]
+        found = [(r.event_id, r.fate) for r in processor.handleInputRows((3,), iter(rows), times)]
+        for fired in sorted(t for t in state.timers if t < watermark):
+            info = SimpleNamespace(getExpiryTimeInMs=lambda fired=fired: fired)
+            assert not list(processor.handleExpiredTimer((3,), times, info))
+            state.timers.discard(fired)
+        return found
+
+    many = [(f"e{i}", 100 + i) for i in range(1000)]
+    assert batch(0, *many) == [(name, "stored") for name, _ in many]
+    assert state.calls <= 4 and state.timers == {101}
+    # Known and extended, known, late whether known or not, new.
+    assert batch(0, ("e0", 5000), ("e5", 105)) == []
+    assert state.timers == {102}
+    assert batch(200, ("e1", 101), ("x", 199), ("y", 200)) == [("e1", "late"), ("x", "late"), ("y", "stored")]
+    # What is before the watermark is forgotten, at once for the whole bucket.
+    assert min(state.value[1]) == 199 and state.timers == {200}
+    assert batch(1200, ("e7", 1300), ("e0", 4000)) == [("e7", "stored")]
+    assert dict(zip(*state.value, strict=True)) == {"e0": 5000, "e7": 1300}
+    assert batch(6000) == [] and state.value is None and not state.timers
