@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
 from datetime import date, datetime
 from pathlib import Path
 
@@ -14,7 +16,8 @@ from millrace.functions.rules import is_valid
 from millrace.operators.report import in_time_range
 from millrace.schema import DAY, RAW_COLUMNS
 from millrace.sinks import files
-from millrace.sources.by_name import named_events, read_events_by_name, watch_lines
+from millrace.sources.by_name import named_events, read_events_by_name, split_fields, watch_lines
+from millrace.sources.files import QUOTING
 
 
 @pytest.fixture(scope="module")
@@ -150,3 +153,26 @@ def test_stream_by_name_equals_batch(spark, mixed, tmp_path):
     found = spark.read.parquet(out).drop("b")
     assert found.exceptAll(whole).isEmpty() and whole.exceptAll(found).isEmpty()
     assert whole.where(is_valid(columns=whole.columns)).count() == 5
+
+
+def test_lines_are_split_as_the_csv_reader_does(spark, tmp_path):
+    rng = random.Random(7)
+    lines = ["".join(rng.choices('ab,"\\ \'#é', [4, 4, 6, 3, 1, 2, 1, 1, 1], k=rng.randrange(1, 24))) for _ in range(3000)]
+    lines += ["".join(rng.choices('a,"', [2, 9, 1], k=rng.randrange(40, 160))) for _ in range(300)]
+    lines += ['"a,""b""",c', 'a"b,"c', '"open,a', " ", "\t", ",,,", "x" * 5000, ",".join(map(str, range(70)))]
+    path = tmp_path / "lines.csv"
+    path.write_text("\n".join(lines) + "\n")
+    names = [f"field_{i}" for i in range(64)]
+    schema = ", ".join(f"{name} string" for name in names)
+    parsed = spark.read.schema(schema).options(**QUOTING, mode="PERMISSIVE").csv(str(path))
+    expected = Counter(tuple(row) for row in parsed.collect())
+    text = spark.read.text(str(path)).where(F.col("value").rlike(r"[^\x00-\x20]"))
+    found = text.select(split_fields(F.col("value")).alias("fields")).collect()
+    assert Counter((*r.fields, *[None] * (64 - len(r.fields))) for r in found) == expected
+
+
+def test_files_by_name_are_parsed_without_missing_fields(spark, mixed):
+    """The plan holds no scan of CSV, whose parser fails once for each column a line lacks."""
+    rows = read_events_by_name(spark, mixed)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Scan csv" not in plan and "FileScan csv" not in plan and "BroadcastHashJoin" in plan
