@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as registered
 from conftest import SF
+from millrace.plans import queries
 from millrace.plans.oracle import oracle as all_sql
 from millrace.plans.queries import QUERIES
 from oracle_check import differences, open_oracle
@@ -59,3 +60,19 @@ def test_no_query_pairs_all_rows(spark):
     for name in ("clean_events", "dedup_events", "constraint_audit", "rejected_events"):
         plan = registered.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("name, rows", [("reject_drift", 40), ("mixed_headers", None)])
+def test_feed_is_made_once_for_all_its_deliveries(spark, monkeypatch, name, rows):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    feed = queries.raw_feed(spark, SF)
+    monkeypatch.setattr(queries, "raw_feed", lambda *_: feed.mapInArrow(counted, feed.schema))
+    found = QUERIES[name](spark, SF).count()
+    assert found == rows if rows else found
+    assert made.value == feed.count()
