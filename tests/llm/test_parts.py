@@ -210,6 +210,23 @@ def test_prefixes_lose_no_pair(spark, percent):
     assert len(near) > 20 and near <= pairs
 
 
+def test_rows_move_once_for_join_and_repeats(spark):
+    """The rows that stay are long: one exchange serves the join and the repeated rows."""
+    from millrace.session import settings
+
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text), (1, text), (2, text), (None, "a b c d e f"), (None, "a b c d e f"), (0, "x y z"), (3, None)]
+    plain = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    with settings(spark, plain) as own:
+        documents = own.createDataFrame(rows, "doc_id long, text string")
+        kept = minhash.drop_near_duplicates(documents)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        found = kept.collect()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan.split("SortMergeJoin")[0]
+    assert {tuple(row) for row in found} == {(1, text), (None, "a b c d e f"), (0, "x y z"), (3, None)}
+    assert len(found) == 4
+
+
 def test_groups_just_below_the_limit_are_not_paired(spark):
     """A hot group of texts that differ a little too much, with a few links in it."""
     rng = random.Random(9)
