@@ -210,6 +210,26 @@ def test_prefixes_lose_no_pair(spark, percent):
     assert len(near) > 20 and near <= pairs
 
 
+def test_later_turns_meet_several_centers(spark):
+    """One bucket of 256 classes: with one center for all, a bad one would leave all links open."""
+    rows = [(1, i, 256, 1000 - i, i) for i in range(256)]
+    bucket = spark.createDataFrame(rows, "key long, id long, size long, weight long, component long")
+    pairs = {turn: {(r.a, r.b) for r in minhash._stars(bucket, turn).collect()} for turn in (0, 1, 2)}
+    assert pairs[0] == {(0, i) for i in range(1, 256)}
+    for turn in (1, 2):
+        centers = {a for a, _ in pairs[turn]}
+        assert 8 <= len(centers) <= 16 and len(pairs[turn]) == 256 - len(centers)
+    assert pairs[1] != pairs[2]
+
+
+def test_classes_take_few_centers(spark):
+    """Many buckets in common, some small: a class takes those centers it shares most with."""
+    rows = [(key, i, 64, (i * 37) % 101, i) for key in range(40) for i in range(key, key + 64)]
+    bucket = spark.createDataFrame(rows, "key long, id long, size long, weight long, component long")
+    pairs = minhash._stars(bucket, 1).distinct().count()
+    assert 0 < pairs <= minhash.CENTERS * len({row[1] for row in rows})
+
+
 def test_rows_move_once_for_join_and_repeats(spark):
     """The rows that stay are long: one exchange serves the join and the repeated rows."""
     from millrace.session import settings
